@@ -1,0 +1,52 @@
+"""Job: score promoted SKUs from stored models."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stockcast import SERIES
+from stockcast.operators import post, promo
+from stockcast.operators.structural import parse_models, predict
+from stockcast.settings import PERIODS
+from stockcast.sources.stores import usable_models
+
+
+def score_models(
+    models: DataFrame,
+    promo_daily: DataFrame | None,
+    periods: int = PERIODS,
+    lag_fill: str = "zero",
+    clip: bool = True,
+) -> DataFrame:
+    """The days after each model's training data, with the promotion calendar of the request."""
+    scored = predict(parse_models(models), periods, promo_daily, include_history=False, lag_fill=lag_fill)
+    return post.int_cleanup(scored) if clip else scored
+
+
+def score_promotions(
+    models: DataFrame,
+    promotions: DataFrame,
+    *,
+    customer_code: str | None = None,
+    warehousecode: str | None = None,
+    all_skus: DataFrame | None = None,
+    periods: int = PERIODS,
+    lag_fill: str = "zero",
+) -> tuple[DataFrame, DataFrame]:
+    """Forecast of every promoted SKU that has a model, and one status row per promoted SKU."""
+    skus = promo.promo_skus(promotions)
+    if customer_code is not None:
+        models = models.filter(F.col("customer_code") == customer_code)
+    if warehousecode is not None:
+        models = models.filter(F.col("warehousecode") == warehousecode)
+    daily = promo.promo_daily(promo.promo_master_valid(promo.promo_master(promotions)), all_skus)
+    own = usable_models(models.join(skus, "Shop_SKU", "left_semi").select(*models.columns), strict=False)
+    found = own.groupBy("Shop_SKU").agg(F.count(F.lit(1)).alias("n_models"))
+    status = skus.join(found, "Shop_SKU", "left").select(
+        "Shop_SKU",
+        F.coalesce("n_models", F.lit(0)).alias("n_models"),
+        F.when(F.col("n_models").isNull(), "missing model").otherwise("ok").alias("status"),
+    )
+    forecast = score_models(own, daily, periods, lag_fill)
+    return forecast.select("ds", *SERIES, *post.VALUES, "promo_flag"), status

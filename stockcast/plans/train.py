@@ -1,0 +1,269 @@
+"""Jobs: train and forecast all pairs of a run in one plan, store models, publish, report."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stockcast import PAIR, SERIES
+from stockcast.operators import calendar, config as settings_table, demand as cuts, post, promo, routing
+from stockcast.operators.impact import impact_dates
+from stockcast.operators.poisson import poisson_forecast, series_spans
+from stockcast.operators.structural import fit_inputs, fit_models, parse_models, predict
+from stockcast.session import materialize
+from stockcast.settings import BIAS_MIN_DAYS, BIAS_MIN_DEMAND, PERIODS, SEED, TEST_DAYS, ZSCORE_RULES
+from stockcast.sources import stores
+
+
+@dataclass
+class Training:
+    """What a training run yields; every table is lazy and covers all pairs."""
+
+    settings: DataFrame
+    train: DataFrame
+    test: DataFrame
+    pareto: DataFrame
+    impact_dates: DataFrame
+    holidays: DataFrame
+    promo_daily: DataFrame | None
+    model_series: DataFrame
+    fitted: DataFrame
+    forecast: DataFrame
+    forecast_future: DataFrame
+    forecast_past: DataFrame
+    promo_inspect: DataFrame | None
+    promo_summary: DataFrame | None
+    validation: DataFrame
+
+
+def run_settings(pairs: DataFrame, config: DataFrame | None, override: Mapping | None) -> DataFrame:
+    """Effective settings per pair, from the request, the config table and the built-in values."""
+    found = pairs if config is None else settings_table.lookup_config(pairs, config)
+    return settings_table.effective_config(found, settings_table.flatten_override(override))
+
+
+def train_forecast(
+    demand: DataFrame,
+    holidays: DataFrame,
+    *,
+    as_of: str,
+    promotions: DataFrame | None = None,
+    config: DataFrame | None = None,
+    override: Mapping | None = None,
+    pairs: DataFrame | None = None,
+    only_skus: DataFrame | None = None,
+    periods: int = PERIODS,
+    test_days: int = TEST_DAYS,
+    bias_min_demand: float = BIAS_MIN_DEMAND,
+    bias_min_days: int = BIAS_MIN_DAYS,
+    rules: list[tuple[int, float]] = ZSCORE_RULES,
+    seed: int = SEED,
+) -> Training:
+    """Train and forecast every pair of the demand at once.
+
+    Pairs that fail validation (see `validation`) take no part. Fits run once: the model documents
+    are written down before the forecasts, reports and the model store read them.
+    """
+    if pairs is not None:
+        demand = cuts.filter_scope(demand, pairs)
+    validation = cuts.validate_inputs(demand, holidays)
+    valid = validation.filter(F.col("reason").isNull()).select(*PAIR)
+    demand = demand.join(valid, PAIR, "left_semi").select(*demand.columns)
+
+    # one row per series and one per pair from here on; the demand is read again only where needed
+    spans = materialize(series_spans(demand))
+    dates = spans.groupBy(*PAIR).agg(F.max("last_ds").alias("latest_date"))
+    settings = materialize(run_settings(dates.select(*PAIR), config, override))
+    train = cuts.train_split(demand)
+    test = cuts.test_split(demand, test_days)
+
+    base = calendar.base_holidays(holidays)
+    impact = impact_dates(train, settings, rules=rules)
+    windows = settings.select(*PAIR, "impact_lower_window", "impact_upper_window")
+    impact_days = materialize(calendar.impact_holidays(impact.join(windows, PAIR)))
+    all_holidays = calendar.with_impact(calendar.toggle_holidays(base, settings), impact_days)
+
+    daily = None
+    if promotions is not None:
+        master = promo.promo_master_valid(promo.promo_master(promotions))
+        daily = promo.promo_daily(master, spans.select("Shop_SKU"))
+        if only_skus is not None:
+            daily = routing.override_series(daily, only_skus)
+        daily = materialize(daily)
+
+    pareto = routing.pareto_series(cuts.series_volume(train))
+    if only_skus is not None:
+        spans = routing.override_series(spans, only_skus)
+        demand = routing.override_series(demand, only_skus)
+        train, test = (routing.override_series(part, only_skus) for part in (train, test))
+        chosen = spans.select(*SERIES)
+    else:
+        promoting = spans.join(settings.filter("use_promotions").select(*PAIR), PAIR, "left_semi")
+        chosen = routing.model_series(pareto, promoting, daily)
+    routes = materialize(routing.route(spans, chosen))
+    structural_keys = routes.filter(F.col("method") == "structural").select(*SERIES)
+
+    ahead = (
+        cuts.missing_days(spans.withColumnRenamed("last_ds", "ds"), as_of)
+        .join(dates, PAIR)
+        .join(settings.select(*PAIR, "use_promotions"), PAIR)
+        .select(*PAIR, (F.lit(periods) + F.col("dif_days")).alias("periods"), "latest_date", "use_promotions")
+    )
+    inputs = fit_inputs(
+        demand.join(structural_keys, SERIES, "left_semi"), settings, base, impact_days, daily
+    )
+    fitted = materialize(fit_models(inputs))
+    modelled = predict(parse_models(fitted).join(ahead, PAIR), periods, daily).drop("promo_flag")
+    drawn = poisson_forecast(
+        spans.join(routes.filter(F.col("method") == "poisson").select(*SERIES), SERIES, "left_semi").join(ahead, PAIR),
+        periods,
+        seed,
+    )
+    cleaned = post.int_cleanup(modelled.unionByName(drawn)).join(ahead.select(*PAIR, "latest_date"), PAIR)
+    windowed = materialize(post.production_window(cleaned, as_of))
+    corrections = post.bias_correction(
+        test, windowed.filter(F.col("segment") == "past"), bias_min_demand, bias_min_days
+    )
+    corrected = post.apply_bias(windowed, corrections)
+    forecast = post.int_cleanup(post.forecast_promo_flag(corrected, daily))
+    return Training(
+        settings=settings,
+        train=train,
+        test=test,
+        pareto=pareto,
+        impact_dates=impact_days.select(*PAIR, "ds"),
+        holidays=all_holidays,
+        promo_daily=daily,
+        model_series=chosen,
+        fitted=fitted,
+        forecast=forecast,
+        forecast_future=forecast.filter(F.col("segment") == "future"),
+        forecast_past=forecast.filter(F.col("segment") == "past"),
+        promo_inspect=None if daily is None else promo.promo_inspect(forecast, daily),
+        promo_summary=None if daily is None else promo.promo_summary(forecast, daily),
+        validation=validation,
+    )
+
+
+def train_and_store(
+    demand: DataFrame,
+    holidays: DataFrame,
+    model_path: str,
+    *,
+    as_of: str,
+    promotions: DataFrame | None = None,
+    promo_only: bool = True,
+    **options,
+) -> Training:
+    """Train, then add the model documents to the store. `promo_only` restricts to promoted SKUs."""
+    skus = None
+    if promo_only:
+        if promotions is None:
+            raise ValueError("promo_only needs promotions")
+        skus = promo.promo_skus(promotions)
+        if skus.isEmpty():
+            raise ValueError("no SKU is listed in the promotions")
+    run = train_forecast(demand, holidays, as_of=as_of, promotions=promotions, only_skus=skus, **options)
+    stores.write_models(stores.model_rows(run.fitted, as_of), model_path)
+    return run
+
+
+def retrain_promoted(
+    demand: DataFrame, holidays: DataFrame, promotions: DataFrame, model_path: str, *, as_of: str, customer_code: str, **options
+) -> DataFrame:
+    """Retrain one customer's promoted SKUs; the result is one status row per SKU."""
+    own = cuts.collapse_warehouses(cuts.filter_customer(demand, customer_code), "prophet")
+    run = train_and_store(own, holidays, model_path, as_of=as_of, promotions=promotions, **options)
+    return retrain_status(promotions, customer_code, options.get("periods", PERIODS), run.fitted)
+
+
+def retrain_status(
+    promotions: DataFrame, customer_code: str, periods: int, fitted: DataFrame | None = None
+) -> DataFrame:
+    """Status of a promotion retrain: each promoted SKU and whether its model was stored."""
+    work = promo.promo_worklist(promotions, customer_code, periods)
+    if fitted is None:
+        return work.withColumn("status", F.lit("uploaded"))
+    state = F.when(F.col("error").isNull(), "uploaded").otherwise("failed").alias("_state")
+    done = fitted.select("Shop_SKU", state)
+    return work.join(done, "Shop_SKU", "left").select(
+        "customer_code", "Shop_SKU", "periods", F.coalesce("_state", F.lit("no demand")).alias("status")
+    )
+
+
+def train_customer(
+    demand: DataFrame,
+    holidays: DataFrame,
+    customer_code: str,
+    model_path: str,
+    *,
+    as_of: str,
+    warehouses: list[str] | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """All or the listed warehouses of one customer: the whole and the future forecast."""
+    own = cuts.filter_customer(demand, customer_code)
+    if warehouses is not None:
+        own = own.filter(F.col("warehousecode").isin(warehouses))
+    run = train_and_store(own, holidays, model_path, as_of=as_of, promo_only=False, **options)
+    return run.forecast, run.forecast_future
+
+
+def pair_status(pairs: DataFrame, validation: DataFrame, fitted: DataFrame, upload: DataFrame) -> DataFrame:
+    """One row per requested pair: published, skipped as empty, or failed and why."""
+    failed = (
+        fitted.filter(F.col("error").isNotNull()).groupBy(*PAIR).agg(F.min("error").alias("_fit_error"))
+    )
+    shipped = upload.groupBy(
+        F.col("customercode").alias("customer_code"), "warehousecode"
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+    joined = (
+        pairs.select(*PAIR)
+        .distinct()
+        .join(validation.select(*PAIR, "reason", F.lit(True).alias("_seen")), PAIR, "left")
+        .join(failed, PAIR, "left")
+        .join(shipped, PAIR, "left")
+    )
+    unknown = F.when(F.col("_seen").isNull(), "no demand")
+    error = F.coalesce("reason", "_fit_error", unknown)
+    skipped = error.isNull() & F.col("n_rows").isNull()
+    return joined.select(
+        F.col("customer_code").alias("customercode"),
+        "warehousecode",
+        error.isNull().alias("ok"),
+        skipped.alias("skipped"),
+        F.when(skipped, "empty_upload").alias("reason"),
+        error.alias("error"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+    )
+
+
+def publish_rows(run: Training) -> DataFrame:
+    """Future forecast in its published shape; a pair with a failed fit keeps its old rows."""
+    failed = run.fitted.filter(F.col("error").isNotNull()).select(*PAIR).distinct()
+    return post.output_shape(run.forecast_future.join(failed, PAIR, "left_anti"))
+
+
+def train_pairs(
+    demand: DataFrame,
+    holidays: DataFrame,
+    pairs: DataFrame,
+    *,
+    as_of: str,
+    model_path: str | None = None,
+    publish_path: str | None = None,
+    **options,
+) -> DataFrame:
+    """Train and publish the pairs of a run; the result is one status row per pair."""
+    run = train_forecast(demand, holidays, as_of=as_of, pairs=pairs, **options)
+    upload = materialize(publish_rows(run))
+    if model_path:
+        stores.write_models(stores.model_rows(run.fitted, as_of), model_path)
+    if publish_path:
+        stores.replace_published(upload, publish_path)
+    return pair_status(pairs, run.validation, run.fitted, upload)
+
+
