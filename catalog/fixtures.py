@@ -176,7 +176,7 @@ def campaign(spark) -> DataFrame:
         ("MACHINERY", "bad", "C4", "bad", "2001-11-01", "INCLUDE", None, [_entry("Brand#6")]),
         ("MACHINERY", "odd", "C5", "2001-10-28", "2001-10-29", "INCLUDE", None, [_entry(None), _entry("Brand#99")]),
     ]
-    return small_table(spark, rows, schemas.PROMOTION.elementType)
+    return small_table(spark, rows, schemas.PROMOTION)
 
 
 def config(spark, sf_dir) -> DataFrame:

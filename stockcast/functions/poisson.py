@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COVERAGE = (0.025, 0.975)
-_BOUNDS = T.StructType.fromDDL("yhat_lower BIGINT, yhat_upper BIGINT")
-_DRAW = T.StructType.fromDDL("yhat BIGINT, yhat_lower BIGINT, yhat_upper BIGINT")
+_BOUNDS = T.StructType().add("yhat_lower", T.LongType()).add("yhat_upper", T.LongType())
+_DRAW = T.StructType([T.StructField("yhat", T.LongType()), *_BOUNDS.fields])
 
 
 @lru_cache(maxsize=512)

@@ -73,18 +73,18 @@ def pair_dates(demand: DataFrame) -> DataFrame:
     return demand.groupBy(*PAIR).agg(F.max("ds").alias("latest_date"))
 
 
-def _against_latest(demand: DataFrame, keep) -> DataFrame:
+def _against_latest(demand: DataFrame, dates: DataFrame | None, keep) -> DataFrame:
     # the latest day comes from an aggregate: a window per pair would gather a hot pair in one task
-    dated = demand.join(pair_dates(demand), PAIR)
+    dated = demand.join(pair_dates(demand) if dates is None else dates, PAIR)
     return dated.filter(keep(F.col("ds"), F.col("latest_date"))).select(*demand.columns)
 
 
-def train_split(demand: DataFrame) -> DataFrame:
-    return _against_latest(demand, lambda ds, latest: ds <= F.date_sub(latest, 1))
+def train_split(demand: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    return _against_latest(demand, dates, lambda ds, latest: ds <= F.date_sub(latest, 1))
 
 
-def test_split(demand: DataFrame, test_days: int) -> DataFrame:
-    return _against_latest(demand, lambda ds, latest: ds > F.date_sub(latest, test_days))
+def test_split(demand: DataFrame, test_days: int, dates: DataFrame | None = None) -> DataFrame:
+    return _against_latest(demand, dates, lambda ds, latest: ds > F.date_sub(latest, test_days))
 
 
 def missing_days(demand: DataFrame, as_of: str, by: list[str] = PAIR) -> DataFrame:
@@ -103,10 +103,39 @@ def missing_days(demand: DataFrame, as_of: str, by: list[str] = PAIR) -> DataFra
     )
 
 
+def series_stats(demand: DataFrame) -> DataFrame:
+    """What the jobs need to know of each series, from one pass over the demand.
+
+    A series has one row per day, so `last_y` is the demand of its last day.
+    """
+    dated = F.when(F.col("ds").isNotNull(), F.col("y"))
+    mean = F.avg("y")
+    return demand.groupBy(*SERIES).agg(
+        F.when(mean > 0, mean).otherwise(0.0).alias("rate"),
+        F.min("ds").alias("first_ds"),
+        F.max("ds").alias("last_ds"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("ds").alias("n_dated"),
+        F.sum(dated).alias("sum_y"),
+        F.max_by("y", "ds").alias("last_y"),
+    )
+
+
+def pair_latest(stats: DataFrame) -> DataFrame:
+    return stats.groupBy(*PAIR).agg(F.max("last_ds").alias("latest_date"))
+
+
 def series_volume(train: DataFrame) -> DataFrame:
     return train.groupBy(*SERIES).agg(F.sum("y").alias("volume"))
 
 
+def train_volume(stats: DataFrame) -> DataFrame:
+    """Volume of each series up to the day before its pair's last day, without reading the demand."""
+    cut = F.when(F.col("last_ds") == F.col("latest_date"), F.coalesce("last_y", F.lit(0.0))).otherwise(0.0)
+    volume = F.coalesce("sum_y", F.lit(0.0)) - cut
+    return stats.join(pair_latest(stats), PAIR).select(*SERIES, volume.alias("volume"))
+
+
 def coefficient_of_variation(y: Column) -> Column:
     return F.try_divide(F.stddev_samp(y), F.avg(y))
 
@@ -118,33 +147,30 @@ def series_profile(train: DataFrame) -> DataFrame:
     )
 
 
-def validate_inputs(demand: DataFrame, holidays: DataFrame | None) -> DataFrame:
-    """One row per pair with the reason it cannot be trained, or null."""
+def validate_inputs(stats: DataFrame, holidays: DataFrame | None) -> DataFrame:
+    """One row per pair, from its series' statistics, with the reason it cannot be trained, or null."""
     if holidays is None:
         raise ValueError("holidays are required")
-    missing = {"ds", "Shop_SKU", "y"} - set(demand.columns)
-    if missing:
-        raise ValueError(f"demand lacks columns: {sorted(missing)}")
-    by_day = demand.groupBy(*PAIR, "ds").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("day_y"), F.count("ds").alias("n_dated")
+    by_end = stats.groupBy(*PAIR, "last_ds").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_dated").alias("n_dated"),
+        F.sum("sum_y").alias("sum_y"),
+        F.count("last_ds").alias("n_last"),
+        F.sum("last_y").alias("y_last"),
     )
-    latest = F.max("ds").alias("latest")
-    last_day = F.max_by(F.struct("n", "day_y"), F.col("ds"))
-    totals = by_day.groupBy(*PAIR).agg(
-        latest,
-        F.sum("n").alias("n_rows"),
-        F.sum("n_dated").alias("_dated"),
-        F.sum(F.when(F.col("ds").isNotNull(), F.col("day_y"))).alias("_y"),
-        last_day.alias("_last"),
+    last_day = F.max_by(F.struct("n_last", "y_last"), F.col("last_ds")).alias("_last")
+    totals = by_end.groupBy(*PAIR).agg(
+        F.max("last_ds").alias("latest"),
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_dated", "sum_y")],
+        last_day,
     )
+    zero = F.lit(0.0)
     checked = totals.select(
         *PAIR,
         "n_rows",
-        (F.col("_dated") - F.coalesce(F.col("_last.n"), F.lit(0))).alias("train_rows"),
-        (F.coalesce(F.col("_y"), F.lit(0.0)) - F.coalesce(F.col("_last.day_y"), F.lit(0.0))).alias(
-            "train_volume"
-        ),
-        F.col("latest"),
+        (F.col("n_dated") - F.coalesce("_last.n_last", F.lit(0))).alias("train_rows"),
+        (F.coalesce("sum_y", zero) - F.coalesce("_last.y_last", zero)).alias("train_volume"),
+        "latest",
     )
     reason = (
         F.when(F.col("latest").isNull(), "no valid ds")

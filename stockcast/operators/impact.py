@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockcast import PAIR, SERIES
-from stockcast.operators.demand import series_profile
 from stockcast.operators.ranking import top_n
 from stockcast.settings import DEFAULT_SETTINGS, ZSCORE_RULES
 
 
-def top_series(train: DataFrame, settings: DataFrame | None = None, n: int | None = None) -> DataFrame:
-    """The top series of each pair by volume, with coefficient of variation and rank."""
-    profile = series_profile(train)
+def top_series(volumes: DataFrame, settings: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """The series of each pair that sold most, with their rank; equal volumes go by SKU."""
     by_volume = [F.desc("volume"), F.asc("Shop_SKU")]
     if settings is None:
-        return top_n(profile, PAIR, by_volume, n or DEFAULT_SETTINGS["impact_top_skus_n"])
+        return top_n(volumes, PAIR, by_volume, n or DEFAULT_SETTINGS["impact_top_skus_n"])
     wanted = settings.select(*PAIR, "impact_top_skus_n", "impact_cv_band_low", "impact_cv_band_high")
-    limit = F.coalesce("impact_top_skus_n", F.lit(DEFAULT_SETTINGS["impact_top_skus_n"]))
-    return top_n(profile.join(wanted, PAIR, "left"), PAIR, by_volume, limit)
+    return top_n(volumes.join(wanted, PAIR), PAIR, by_volume, F.col("impact_top_skus_n"))
 
 
 def zscore_detail(
     train: DataFrame,
+    volumes: DataFrame,
     settings: DataFrame | None = None,
     n: int | None = None,
     bands: tuple[float, float] | None = None,
@@ -37,17 +35,20 @@ def zscore_detail(
     rules = sorted(rules, key=lambda rule: rule[0], reverse=True)
     low, high = bands or (DEFAULT_SETTINGS["impact_cv_band_low"], DEFAULT_SETTINGS["impact_cv_band_high"])
     low, high = F.lit(low), F.lit(high)
-    top = top_series(train, settings, n)
+    kept = [*SERIES]
     if settings is not None:
-        low = F.coalesce("impact_cv_band_low", low)
-        high = F.coalesce("impact_cv_band_high", high)
+        low, high = F.col("impact_cv_band_low"), F.col("impact_cv_band_high")
+        kept += ["impact_cv_band_low", "impact_cv_band_high"]
+    top = top_series(volumes, settings, n).select(*kept)
+    whole = Window.partitionBy(*SERIES)
+    cv = F.try_divide(F.stddev_samp("y").over(whole), F.avg("y").over(whole))
     last = len(rules) - 1
     band = (
         F.when(F.col("cv").isNull() | (F.col("cv") < low), 0)
         .when(F.col("cv") < high, min(1, last))
         .otherwise(min(2, last))
     )
-    rows = train.join(top.select(*SERIES, band.alias("rule")), SERIES)
+    rows = train.join(top, SERIES).withColumn("cv", cv).withColumn("rule", band)
 
     def by_rule(expression):
         chosen = F.lit(None).cast("double")
@@ -70,7 +71,7 @@ def zscore_detail(
     return rolled.select("ds", *SERIES, "y", "rule", z.alias("z_score"), "threshold")
 
 
-def impact_dates(train: DataFrame, settings: DataFrame | None = None, **options) -> DataFrame:
+def impact_dates(train: DataFrame, volumes: DataFrame, settings: DataFrame | None = None, **options) -> DataFrame:
     """Distinct impact days of each pair; one day counts for every SKU of the pair."""
-    scored = zscore_detail(train, settings, **options)
+    scored = zscore_detail(train, volumes, settings, **options)
     return scored.filter(F.abs("z_score") > F.col("threshold")).select(*PAIR, "ds").distinct()

@@ -11,16 +11,6 @@ from stockcast.functions.poisson import poisson_bounds, poisson_draw
 from stockcast.settings import SEED
 
 
-def series_spans(demand: DataFrame) -> DataFrame:
-    """Rate and first and last day of each series, in one aggregation."""
-    mean = F.avg("y")
-    return demand.groupBy(*SERIES).agg(
-        F.when(mean > 0, mean).otherwise(0.0).alias("rate"),
-        F.min("ds").alias("first_ds"),
-        F.max("ds").alias("last_ds"),
-    )
-
-
 def poisson_forecast(spans: DataFrame, periods: int, seed: int = SEED) -> DataFrame:
     """A repeatable draw for every day of the history and `periods` days more.
 

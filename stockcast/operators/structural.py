@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stockcast import PAIR, SERIES, schemas
 from stockcast.functions.structural_fit import YEAR, YEARLY_ORDER, fit_series
@@ -18,9 +17,7 @@ from stockcast.operators.features import future_frame
 from stockcast.settings import DEFAULT_SETTINGS, HOLIDAY_TOGGLES
 
 Z80 = 1.2815515655446004  # fixed value: the normal quantile of a two-sided 80 % interval
-FITTED = T.StructType.fromDDL(
-    "customer_code STRING, warehousecode STRING, Shop_SKU STRING, model_json STRING, error STRING"
-)
+FITTED = "customer_code STRING, warehousecode STRING, Shop_SKU STRING, model_json STRING, error STRING"
 _FIT_SETTINGS = [
     "lag_days",
     "rolling_mean_windows",
@@ -57,12 +54,10 @@ def fit_inputs(
     promo_daily: DataFrame | None = None,
 ) -> DataFrame:
     """Everything the fit of a series needs, in one row."""
-    rows = series_rows(demand).join(settings, PAIR)
+    shared = feature_list(base_holidays, []).select("features").scalar()
+    rows = series_rows(demand).join(settings, PAIR).withColumn("_base", shared)
     enabled = F.array_compact(F.array(*[F.when(F.col(flag), code) for code, flag in HOLIDAY_TOGGLES.items()]))
-    shared = F.coalesce(
-        feature_list(base_holidays, []).select("features").scalar(), F.array().cast(_FEATURE_LIST)
-    )
-    features = F.filter(shared, lambda f: F.array_contains(enabled, f["holiday"]))
+    features = F.filter(F.coalesce("_base", F.array().cast(_FEATURE_LIST)), lambda f: F.array_contains(enabled, f["holiday"]))
     if impact_holidays is not None:
         own = feature_list(impact_holidays, PAIR).withColumnRenamed("features", "_impact")
         rows = rows.join(own, PAIR, "left")
@@ -98,7 +93,7 @@ def _fit_batches(batches):
             except Exception as problem:  # one bad series must not stop the others
                 error = f"{type(problem).__name__}: {problem}"
             out.append((row.customer_code, row.warehousecode, row.Shop_SKU, model, error))
-        yield pd.DataFrame(out, columns=FITTED.names)
+        yield pd.DataFrame(out, columns=[*SERIES, "model_json", "error"])
 
 
 def fit_models(inputs: DataFrame) -> DataFrame:

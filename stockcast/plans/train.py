@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from stockcast import PAIR, SERIES
 from stockcast.operators import calendar, config as settings_table, demand as cuts, post, promo, routing
+from stockcast.operators.demand import filter_scope
 from stockcast.operators.impact import impact_dates
-from stockcast.operators.poisson import poisson_forecast, series_spans
+from stockcast.operators.poisson import poisson_forecast
 from stockcast.operators.structural import fit_inputs, fit_models, parse_models, predict
 from stockcast.session import materialize
 from stockcast.settings import BIAS_MIN_DAYS, BIAS_MIN_DEMAND, PERIODS, SEED, TEST_DAYS, ZSCORE_RULES
@@ -68,20 +69,21 @@ def train_forecast(
     are written down before the forecasts, reports and the model store read them.
     """
     if pairs is not None:
-        demand = cuts.filter_scope(demand, pairs)
-    validation = cuts.validate_inputs(demand, holidays)
-    valid = validation.filter(F.col("reason").isNull()).select(*PAIR)
-    demand = demand.join(valid, PAIR, "left_semi").select(*demand.columns)
-
+        demand = filter_scope(demand, pairs)
     # one row per series and one per pair from here on; the demand is read again only where needed
-    spans = materialize(series_spans(demand))
-    dates = spans.groupBy(*PAIR).agg(F.max("last_ds").alias("latest_date"))
+    stats = materialize(cuts.series_stats(demand))
+    validation = cuts.validate_inputs(stats, holidays)
+    valid = validation.filter(F.col("reason").isNull()).select(*PAIR)
+    spans = stats.join(valid, PAIR, "left_semi")
+    demand = filter_scope(demand, valid)
+    dates = cuts.pair_latest(spans)
     settings = materialize(run_settings(dates.select(*PAIR), config, override))
-    train = cuts.train_split(demand)
-    test = cuts.test_split(demand, test_days)
+    volumes = cuts.train_volume(spans)
+    train = cuts.train_split(demand, dates)
+    test = cuts.test_split(demand, test_days, dates)
 
     base = calendar.base_holidays(holidays)
-    impact = impact_dates(train, settings, rules=rules)
+    impact = impact_dates(train, volumes, settings, rules=rules)
     windows = settings.select(*PAIR, "impact_lower_window", "impact_upper_window")
     impact_days = materialize(calendar.impact_holidays(impact.join(windows, PAIR)))
     all_holidays = calendar.with_impact(calendar.toggle_holidays(base, settings), impact_days)
@@ -94,7 +96,7 @@ def train_forecast(
             daily = routing.override_series(daily, only_skus)
         daily = materialize(daily)
 
-    pareto = routing.pareto_series(cuts.series_volume(train))
+    pareto = routing.pareto_series(volumes)
     if only_skus is not None:
         spans = routing.override_series(spans, only_skus)
         demand = routing.override_series(demand, only_skus)
@@ -123,12 +125,12 @@ def train_forecast(
         seed,
     )
     cleaned = post.int_cleanup(modelled.unionByName(drawn)).join(ahead.select(*PAIR, "latest_date"), PAIR)
-    windowed = materialize(post.production_window(cleaned, as_of))
-    corrections = post.bias_correction(
-        test, windowed.filter(F.col("segment") == "past"), bias_min_demand, bias_min_days
-    )
-    corrected = post.apply_bias(windowed, corrections)
-    forecast = post.int_cleanup(post.forecast_promo_flag(corrected, daily))
+    forecast = post.production_window(cleaned, as_of)
+    if bias_min_days <= test_days:  # else no series has enough test days, and no correction can apply
+        forecast = materialize(forecast)
+        past = forecast.filter(F.col("segment") == "past")
+        forecast = post.apply_bias(forecast, post.bias_correction(test, past, bias_min_demand, bias_min_days))
+    forecast = post.int_cleanup(post.forecast_promo_flag(forecast, daily))
     return Training(
         settings=settings,
         train=train,

@@ -39,7 +39,7 @@ def write_demand(demand: DataFrame, path: str) -> None:
 
 
 def read_demand(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DEMAND).parquet(path).select(*schemas.DEMAND.names)
+    return spark.read.schema(schemas.DEMAND).parquet(path).select("ds", *SERIES, "y")
 
 
 def object_path(customer: Column, warehouse: Column, sku: Column) -> Column:

@@ -19,7 +19,7 @@ RENAMES = "customer_code string, old_sku string, new_sku string"
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet", **options
+    spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet", **options
 ) -> DataFrame:
     reader = spark.read.format(fmt).options(**options)
     return (reader.schema(schema) if schema else reader).load(path)
@@ -53,7 +53,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
-def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def read_optional(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """A source that may be unavailable: then a warning and an empty table with the schema."""
     try:
         return read_table(spark, path, schema, fmt)
@@ -75,9 +75,9 @@ def active_config(config: DataFrame) -> DataFrame:
     return config.filter(F.col("is_active"))
 
 
-def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Rows of a request as a local table, whose known size lets Spark choose the join."""
-    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kind = T.StructType.fromDDL(schema)
     columns = [list(c) for c in zip(*rows)] or [[] for _ in kind]
     arrays = [pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(kind))]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, names=kind.names), kind)
@@ -90,5 +90,5 @@ def sku_renames(spark: SparkSession, renames: dict[str, dict[str, str]] = SKU_RE
 
 def promotions_from_json(documents: DataFrame, column: str = "promotions") -> DataFrame:
     """Promotion documents (each a JSON array) to one row per promotion."""
-    parsed = F.from_json(F.col(column), schemas.PROMOTION)
+    parsed = F.from_json(F.col(column), f"array<struct<{schemas.PROMOTION}>>")
     return documents.select(F.inline(parsed))
