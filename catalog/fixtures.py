@@ -19,7 +19,22 @@ RENAMES = [
     ("MACHINERY", "Brand#2", "Brand#3"),
     ("FURNITURE", "Brand#1", "Brand#9"),
 ]
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+}
 
 FROM_ALL = """
   from {lineitem} join {orders} on l_orderkey = o_orderkey
@@ -123,10 +138,13 @@ DOCUMENTS = """
   union all select concat('b', cast(item_id as string)), '' from {benchmark}"""
 
 
-def query(spark: SparkSession, sf_dir: str, text: str, **frames: DataFrame) -> DataFrame:
-    names = [n for n in [*TABLES, "events", "pages", "documents", "benchmark"] if "{" + n + "}" in text]
-    read = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
-    return spark.sql(text, **read, **frames)
+def query(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    read = {
+        name: tables.read_table(spark, f"{sf_dir}/{name}.parquet", schema)
+        for name, schema in TABLES.items()
+        if "{" + name + "}" in text
+    }
+    return spark.sql(text, **read)
 
 
 def shipments(spark, sf_dir) -> DataFrame:

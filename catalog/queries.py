@@ -33,6 +33,18 @@ def lists_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in lists})
 
 
+def stored_demand(spark, sf) -> DataFrame:
+    """The demand table as the jobs after preparation get it: written once, then read."""
+    return materialize(fx.demand(spark, sf))
+
+
+def _volumes(rows: DataFrame) -> DataFrame:
+    """Training volume per series, stored: the rankings read it several times."""
+    stats = materialize(demand.series_stats(rows))
+    volumes = demand.train_volume(stats.join(demand.series_latest(stats), SERIES))
+    return materialize(volumes.select(*SERIES, "volume"))
+
+
 def campaign_daily(spark, keys: DataFrame | None = None) -> DataFrame:
     return promo.promo_daily(promo.promo_master_valid(promo.promo_master(fx.campaign(spark))), keys)
 
@@ -136,12 +148,12 @@ def validate_inputs(spark, sf):
 
 @register
 def train_split(spark, sf):
-    return demand.train_split(fx.demand(spark, sf))
+    return demand.train_split(stored_demand(spark, sf))
 
 
 @register
 def test_split(spark, sf):
-    return demand.test_split(fx.demand(spark, sf), 30)
+    return demand.test_split(stored_demand(spark, sf), 30)
 
 
 @register
@@ -157,37 +169,37 @@ def collapse_warehouses(spark, sf):
 
 @register
 def sku_volume(spark, sf):
-    return demand.series_volume(demand.train_split(fx.demand(spark, sf)))
+    return demand.series_volume(demand.train_split(stored_demand(spark, sf)))
 
 
 @register
 def sku_cv(spark, sf):
-    return rounded(demand.series_profile(demand.train_split(fx.demand(spark, sf))).drop("volume"))
+    return rounded(demand.series_profile(demand.train_split(stored_demand(spark, sf))).drop("volume"))
 
 
 @register
 def top_skus(spark, sf):
-    return impact.top_series(demand.train_volume(demand.series_stats(fx.demand(spark, sf))), n=10)
+    return impact.top_series(_volumes(stored_demand(spark, sf)), 10)
 
 
-def _train_and_volumes(spark, sf):
-    train_rows = demand.train_split(fx.demand(spark, sf))
-    return train_rows, demand.series_volume(train_rows)
+def _train_and_top(spark, sf, n):
+    rows = stored_demand(spark, sf)
+    return demand.train_split(rows), impact.top_series(_volumes(rows), n)
 
 
 @register
 def zscore_detail(spark, sf):
-    return rounded(impact.zscore_detail(*_train_and_volumes(spark, sf), n=10))
+    return rounded(impact.zscore_detail(*_train_and_top(spark, sf, 10)))
 
 
 @register
 def impact_dates(spark, sf):
-    return impact.impact_dates(*_train_and_volumes(spark, sf))
+    return impact.impact_dates(*_train_and_top(spark, sf, 30))
 
 
 @register
 def pareto_skus(spark, sf):
-    return routing.pareto_series(demand.series_volume(demand.train_split(fx.demand(spark, sf))))
+    return routing.pareto_series(_volumes(stored_demand(spark, sf)))
 
 
 @register
@@ -210,7 +222,7 @@ def holiday_toggles(spark, sf):
 
 
 def _impact_holidays(spark, sf):
-    return calendar.impact_holidays(impact.impact_dates(*_train_and_volumes(spark, sf)))
+    return calendar.impact_holidays(impact.impact_dates(*_train_and_top(spark, sf, 30)))
 
 
 @register
@@ -358,9 +370,9 @@ def poisson_forecast(spark, sf):
 
 
 def _routes(spark, sf, promo_days):
-    rows = fx.demand(spark, sf)
+    rows = stored_demand(spark, sf)
     keys = demand.series_keys(rows)
-    pareto = routing.pareto_series(demand.series_volume(demand.train_split(rows)))
+    pareto = routing.pareto_series(_volumes(rows))
     return keys, routing.model_series(pareto, keys, promo_days)
 
 
@@ -394,13 +406,13 @@ def int_cleanup(spark, sf):
 
 @register
 def bias_correction(spark, sf):
-    rows = fx.demand(spark, sf)
+    rows = stored_demand(spark, sf)
     return rounded(post.bias_correction(demand.test_split(rows, 30), fx.stand_in_forecast(rows), 50, 3))
 
 
 @register
 def bias_apply(spark, sf):
-    rows = fx.demand(spark, sf)
+    rows = stored_demand(spark, sf)
     forecast = fx.stand_in_forecast(rows)
     corrections = post.bias_correction(demand.test_split(rows, 30), forecast, 50, 3)
     return rounded(post.apply_bias(forecast, corrections))
@@ -424,8 +436,8 @@ def promo_summary(spark, sf):
 
 @register
 def production_window(spark, sf):
-    rows = fx.demand(spark, sf)
-    forecast = fx.stand_in_forecast(rows).join(demand.pair_dates(rows), PAIR)
+    rows = stored_demand(spark, sf)
+    forecast = fx.stand_in_forecast(rows).join(demand.series_latest(demand.series_stats(rows)), SERIES)
     return rounded(post.production_window(forecast, "2001-11-03"))
 
 
@@ -437,11 +449,12 @@ def output_shape(spark, sf):
 
 @register
 def scoped_replace(spark, sf):
-    old = post.output_shape(_forecast(spark, sf))
+    forecast = materialize(_forecast(spark, sf))
+    old = post.output_shape(forecast)
     none = F.when(F.col("warehousecode") != "None", F.col("warehousecode"))
     old = old.withColumn("warehousecode", none).withColumn("yhat", F.lit(-1).cast("bigint"))
     padded = F.when(F.col("warehousecode") == "None", "").otherwise(F.concat(F.lit(" "), "warehousecode"))
-    batch = post.output_shape(demand.filter_scope(_forecast(spark, sf), _batch_pairs(spark, sf)))
+    batch = post.output_shape(demand.filter_scope(forecast, _batch_pairs(spark, sf)))
     result = post.scoped_replace(old, batch.withColumn("warehousecode", padded))
     return result.withColumn("ds", F.col("ds").cast("date"))
 
@@ -467,24 +480,19 @@ def model_validation(spark, sf):
 # --- structural model and jobs
 
 
-def _stored_demand(spark, sf):
-    """The demand table as the training jobs get it: written once, then read."""
-    return materialize(fx.demand(spark, sf))
-
-
 def _train(spark, sf, **options):
     return train.train_forecast(
-        _stored_demand(spark, sf), fx.holidays(spark, sf), as_of=fx.AS_OF, config=fx.config(spark, sf),
+        stored_demand(spark, sf), fx.holidays(spark, sf), as_of=fx.AS_OF, config=fx.config(spark, sf),
         promotions=fx.campaign(spark), **options,
     )
 
 
 def _fitted(spark, sf):
-    rows = _stored_demand(spark, sf)
-    pareto = routing.pareto_series(demand.series_volume(demand.train_split(rows)))
-    settings = config.effective_config(demand.series_keys(rows).select(*PAIR).distinct())
+    rows = stored_demand(spark, sf)
+    pareto = routing.pareto_series(_volumes(rows))
+    series = config.with_defaults(pareto.select(*SERIES))
     inputs = structural.fit_inputs(
-        rows.join(pareto.select(*SERIES), SERIES, "left_semi"), settings,
+        rows, series,
         calendar.base_holidays(fx.holidays(spark, sf)), None, campaign_daily(spark),
     )
     return structural.fit_models(inputs)
@@ -558,13 +566,13 @@ def train_forecast(spark, sf):
 def pair_status(spark, sf):
     pairs = _wanted_pairs(spark, sf)
     return train.train_pairs(
-        _stored_demand(spark, sf), fx.holidays(spark, sf), pairs, as_of=fx.AS_OF, config=fx.config(spark, sf)
+        stored_demand(spark, sf), fx.holidays(spark, sf), pairs, as_of=fx.AS_OF, config=fx.config(spark, sf)
     )
 
 
 @register
 def promo_retrain_status(spark, sf):
-    own = demand.collapse_warehouses(demand.filter_customer(_stored_demand(spark, sf), fx.SPECIAL), "prophet")
+    own = demand.collapse_warehouses(demand.filter_customer(stored_demand(spark, sf), fx.SPECIAL), "prophet")
     skus = promo.promo_skus(fx.campaign(spark))
     run = train.train_forecast(
         own, fx.holidays(spark, sf), as_of=fx.AS_OF, promotions=fx.campaign(spark), only_skus=skus

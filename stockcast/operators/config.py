@@ -125,17 +125,21 @@ def lookup_config(pairs: DataFrame, config: DataFrame) -> DataFrame:
 
 def effective_config(found: DataFrame, override: Mapping | None = None) -> DataFrame:
     """One complete row of settings per pair: request, then config row, then built-in default."""
+    return with_defaults(found, override).select(*PAIR, *SETTING_TYPES)
+
+
+def with_defaults(rows: DataFrame, override: Mapping | None = None) -> DataFrame:
+    """Rows with every setting filled in: from the request, the row itself or the built-in value."""
     override = dict(override or {})
 
     def literal(value, kind):
         column = F.array(*[F.lit(v) for v in value]) if isinstance(value, list) else F.lit(value)
         return column.cast(kind)
 
-    chosen = []
-    for name, kind in SETTING_TYPES.items():
-        levels = [F.col(name)] if name in found.columns else []
+    def chosen(name, kind):
+        levels = [F.col(name)] if name in rows.columns else []
         if override.get(name) is not None:
             levels.insert(0, literal(override[name], kind))
-        levels.append(literal(DEFAULT_SETTINGS[name], kind))
-        chosen.append(F.coalesce(*levels).alias(name))
-    return found.select(*PAIR, *chosen)
+        return F.coalesce(*levels, literal(DEFAULT_SETTINGS[name], kind))
+
+    return rows.withColumns({name: chosen(name, kind) for name, kind in SETTING_TYPES.items()})

@@ -69,22 +69,28 @@ def collapse_warehouses(demand: DataFrame, name: str | None = None) -> DataFrame
     return summed.withColumn("warehousecode", F.lit(name).cast("string")).select("ds", *SERIES, "y")
 
 
-def pair_dates(demand: DataFrame) -> DataFrame:
-    return demand.groupBy(*PAIR).agg(F.max("ds").alias("latest_date"))
+def series_latest(stats: DataFrame) -> DataFrame:
+    """Each series with its pair's last day.
+
+    Pair values reach the demand through its series, never by a join on the pair: rows shuffled by
+    pair would put a hot pair, and every window after it, in one task.
+    """
+    return stats.join(pair_latest(stats), PAIR).select(*SERIES, "latest_date")
 
 
-def _against_latest(demand: DataFrame, dates: DataFrame | None, keep) -> DataFrame:
-    # the latest day comes from an aggregate: a window per pair would gather a hot pair in one task
-    dated = demand.join(pair_dates(demand) if dates is None else dates, PAIR)
+def _against_latest(demand: DataFrame, latest: DataFrame | None, keep) -> DataFrame:
+    if latest is None:
+        latest = series_latest(demand.groupBy(*SERIES).agg(F.max("ds").alias("last_ds")))
+    dated = demand.join(latest.select(*SERIES, "latest_date"), SERIES)
     return dated.filter(keep(F.col("ds"), F.col("latest_date"))).select(*demand.columns)
 
 
-def train_split(demand: DataFrame, dates: DataFrame | None = None) -> DataFrame:
-    return _against_latest(demand, dates, lambda ds, latest: ds <= F.date_sub(latest, 1))
+def train_split(demand: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    return _against_latest(demand, latest, lambda ds, last: ds <= F.date_sub(last, 1))
 
 
-def test_split(demand: DataFrame, test_days: int, dates: DataFrame | None = None) -> DataFrame:
-    return _against_latest(demand, dates, lambda ds, latest: ds > F.date_sub(latest, test_days))
+def test_split(demand: DataFrame, test_days: int, latest: DataFrame | None = None) -> DataFrame:
+    return _against_latest(demand, latest, lambda ds, last: ds > F.date_sub(last, test_days))
 
 
 def missing_days(demand: DataFrame, as_of: str, by: list[str] = PAIR) -> DataFrame:
@@ -129,11 +135,13 @@ def series_volume(train: DataFrame) -> DataFrame:
     return train.groupBy(*SERIES).agg(F.sum("y").alias("volume"))
 
 
-def train_volume(stats: DataFrame) -> DataFrame:
-    """Volume of each series up to the day before its pair's last day, without reading the demand."""
+def train_volume(series: DataFrame) -> DataFrame:
+    """Add the volume up to the day before the pair's last day, without reading the demand again.
+
+    Rows are series statistics with the pair's latest_date.
+    """
     cut = F.when(F.col("last_ds") == F.col("latest_date"), F.coalesce("last_y", F.lit(0.0))).otherwise(0.0)
-    volume = F.coalesce("sum_y", F.lit(0.0)) - cut
-    return stats.join(pair_latest(stats), PAIR).select(*SERIES, volume.alias("volume"))
+    return series.withColumn("volume", F.coalesce("sum_y", F.lit(0.0)) - cut)
 
 
 def coefficient_of_variation(y: Column) -> Column:

@@ -11,35 +11,27 @@ from stockcast.operators.ranking import top_n
 from stockcast.settings import DEFAULT_SETTINGS, ZSCORE_RULES
 
 
-def top_series(volumes: DataFrame, settings: DataFrame | None = None, n: int | None = None) -> DataFrame:
-    """The series of each pair that sold most, with their rank; equal volumes go by SKU."""
-    by_volume = [F.desc("volume"), F.asc("Shop_SKU")]
-    if settings is None:
-        return top_n(volumes, PAIR, by_volume, n or DEFAULT_SETTINGS["impact_top_skus_n"])
-    wanted = settings.select(*PAIR, "impact_top_skus_n", "impact_cv_band_low", "impact_cv_band_high")
-    return top_n(volumes.join(wanted, PAIR), PAIR, by_volume, F.col("impact_top_skus_n"))
+def top_series(series: DataFrame, n: int | None = None) -> DataFrame:
+    """The series of each pair that sold most, with their rank; equal volumes go by SKU.
+
+    Without `n` the rows' own impact_top_skus_n says how many.
+    """
+    limit = F.col("impact_top_skus_n") if n is None else n
+    return top_n(series, PAIR, [F.desc("volume"), F.asc("Shop_SKU")], limit)
 
 
 def zscore_detail(
-    train: DataFrame,
-    volumes: DataFrame,
-    settings: DataFrame | None = None,
-    n: int | None = None,
-    bands: tuple[float, float] | None = None,
-    rules: list[tuple[int, float]] = ZSCORE_RULES,
+    train: DataFrame, top: DataFrame, rules: list[tuple[int, float]] = ZSCORE_RULES
 ) -> DataFrame:
     """Rolling z-score of the top series by the rule of their coefficient-of-variation band.
 
-    Only the few top series of each pair reach the rolling windows, which run per series.
+    Only the few top series of each pair reach the windows, which run per series. Band columns of
+    the top rows win over the built-in bands.
     """
     rules = sorted(rules, key=lambda rule: rule[0], reverse=True)
-    low, high = bands or (DEFAULT_SETTINGS["impact_cv_band_low"], DEFAULT_SETTINGS["impact_cv_band_high"])
-    low, high = F.lit(low), F.lit(high)
-    kept = [*SERIES]
-    if settings is not None:
-        low, high = F.col("impact_cv_band_low"), F.col("impact_cv_band_high")
-        kept += ["impact_cv_band_low", "impact_cv_band_high"]
-    top = top_series(volumes, settings, n).select(*kept)
+    bands = ["impact_cv_band_low", "impact_cv_band_high"]
+    low, high = (F.col(b) if b in top.columns else F.lit(DEFAULT_SETTINGS[b]) for b in bands)
+    top = top.select(*SERIES, *[b for b in bands if b in top.columns])
     whole = Window.partitionBy(*SERIES)
     cv = F.try_divide(F.stddev_samp("y").over(whole), F.avg("y").over(whole))
     last = len(rules) - 1
@@ -56,11 +48,12 @@ def zscore_detail(
             chosen = F.when(F.col("rule") == at, expression(window, threshold)).otherwise(chosen)
         return chosen
 
+    in_order = Window.partitionBy(*SERIES).orderBy("ds")
+
     def full(window, value):
-        frame = Window.partitionBy(*SERIES).orderBy("ds").rowsBetween(-(window - 1), 0)
-        return F.when(F.count("y").over(frame) == window, value("y").over(frame))
+        return F.when(F.col("_at") >= window, value("y").over(in_order.rowsBetween(-(window - 1), 0)))
 
-    rolled = rows.withColumns(
+    rolled = rows.withColumn("_at", F.row_number().over(in_order)).withColumns(
         {
             "rolling_mean": by_rule(lambda window, _: full(window, F.avg)),
             "rolling_std": by_rule(lambda window, _: F.nullif(full(window, F.stddev_samp), F.lit(0.0))),
@@ -71,7 +64,7 @@ def zscore_detail(
     return rolled.select("ds", *SERIES, "y", "rule", z.alias("z_score"), "threshold")
 
 
-def impact_dates(train: DataFrame, volumes: DataFrame, settings: DataFrame | None = None, **options) -> DataFrame:
+def impact_dates(train: DataFrame, top: DataFrame, rules: list[tuple[int, float]] = ZSCORE_RULES) -> DataFrame:
     """Distinct impact days of each pair; one day counts for every SKU of the pair."""
-    scored = zscore_detail(train, volumes, settings, **options)
+    scored = zscore_detail(train, top, rules)
     return scored.filter(F.abs("z_score") > F.col("threshold")).select(*PAIR, "ds").distinct()

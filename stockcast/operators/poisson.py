@@ -11,18 +11,19 @@ from stockcast.functions.poisson import poisson_bounds, poisson_draw
 from stockcast.settings import SEED
 
 
-def poisson_forecast(spans: DataFrame, periods: int, seed: int = SEED) -> DataFrame:
+def poisson_forecast(
+    spans: DataFrame, periods: int, seed: int = SEED, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """A repeatable draw for every day of the history and `periods` days more.
 
     The days come from each series' span (its demand has no gaps), so the demand is not read again.
-    An own `periods` column of the spans wins over the parameter.
+    An own `periods` column of the spans wins over the parameter; columns in `keep` are carried on.
     """
     ahead = F.col("periods") if "periods" in spans.columns else F.lit(periods)
     end = F.date_add(F.col("last_ds"), ahead.cast("int"))
-    days = spans.select(*SERIES, "rate", F.explode(F.sequence("first_ds", end)).alias("ds"))
-    # a shuffle by series and day would spread more evenly, but spans are small and even already
+    days = spans.select(*SERIES, "rate", *keep, F.explode(F.sequence("first_ds", end)).alias("ds"))
     drawn = days.withColumn("_draw", poisson_draw("rate", uniform(seed, *map(F.col, [*SERIES, "ds"]))))
-    return drawn.select("ds", *SERIES, "_draw.yhat", "_draw.yhat_lower", "_draw.yhat_upper")
+    return drawn.select("ds", *SERIES, "_draw.yhat", "_draw.yhat_lower", "_draw.yhat_upper", *keep)
 
 
 def poisson_quantiles(means: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from stockcast.settings import VOLUME_SHARE
 def pareto_series(volumes: DataFrame, share: float = VOLUME_SHARE) -> DataFrame:
     """The largest series of each pair that together stay within `share` of its volume.
 
-    Where already the largest exceeds the share, it alone is taken. Equal volumes go by SKU.
+    Where already the largest exceeds the share, it alone is taken. Equal volumes go by SKU. The
+    volumes are read four times, so pass a stored table.
     """
     order = [F.desc("volume"), F.asc("Shop_SKU")]
     totals = volumes.groupBy(*PAIR).agg(F.sum("volume").alias("total"))
@@ -37,7 +38,7 @@ def route(demand_keys: DataFrame, models: DataFrame) -> DataFrame:
     """Each series of the demand with its method; a chosen series without demand yields nothing."""
     marked = models.select(*SERIES, F.lit(True).alias("_model"))
     method = F.when(F.col("_model"), "structural").otherwise("poisson")
-    return demand_keys.select(*SERIES).join(marked, SERIES, "left").select(*SERIES, method.alias("method"))
+    return demand_keys.join(marked, SERIES, "left").select(*demand_keys.columns, method.alias("method"))
 
 
 def override_series(rows: DataFrame, skus: DataFrame) -> DataFrame:

@@ -48,37 +48,42 @@ def series_rows(demand: DataFrame) -> DataFrame:
 
 def fit_inputs(
     demand: DataFrame,
-    settings: DataFrame,
+    series: DataFrame,
     base_holidays: DataFrame,
     impact_holidays: DataFrame | None = None,
     promo_daily: DataFrame | None = None,
 ) -> DataFrame:
-    """Everything the fit of a series needs, in one row."""
+    """Everything the fit of a series needs, in one row.
+
+    `series` has the series to fit with their settings. The pair's impact dates are joined to its
+    light rows; the long value arrays are shuffled once, by series.
+    """
     shared = feature_list(base_holidays, []).select("features").scalar()
-    rows = series_rows(demand).join(settings, PAIR).withColumn("_base", shared)
+    light = series.select(*SERIES, "use_promotions", *HOLIDAY_TOGGLES.values(), *_FIT_SETTINGS).withColumn("_base", shared)
     enabled = F.array_compact(F.array(*[F.when(F.col(flag), code) for code, flag in HOLIDAY_TOGGLES.items()]))
-    features = F.filter(F.coalesce("_base", F.array().cast(_FEATURE_LIST)), lambda f: F.array_contains(enabled, f["holiday"]))
+    features = F.filter(
+        F.coalesce("_base", F.array().cast(_FEATURE_LIST)), lambda f: F.array_contains(enabled, f["holiday"])
+    )
     if impact_holidays is not None:
         own = feature_list(impact_holidays, PAIR).withColumnRenamed("features", "_impact")
-        rows = rows.join(own, PAIR, "left")
+        light = light.join(own, PAIR, "left")
         features = F.concat(features, F.coalesce("_impact", F.array().cast(_FEATURE_LIST)))
     promoted = F.array().cast("array<int>")
     if promo_daily is not None:
         own_days = promo_daily.groupBy("Shop_SKU").agg(
             F.array_sort(F.collect_set(F.unix_date("ds"))).alias("_promo")
         )
-        rows = rows.join(own_days, "Shop_SKU", "left")
+        light = light.join(own_days, "Shop_SKU", "left")
         promoted = F.when(F.col("use_promotions") & F.col("_promo").isNotNull(), F.col("_promo")).otherwise(promoted)
-    rows = rows.withColumn("_features", features)
-    return rows.select(
+    light = light.withColumn("_features", features).select(
         *SERIES,
-        "days",
-        "y",
         promoted.alias("promo_days"),
         F.col("_features.feature").alias("feature_names"),
         F.col("_features.days").alias("feature_days"),
         *_FIT_SETTINGS,
     )
+    wanted = demand.join(series.select(*SERIES), SERIES, "left_semi")
+    return series_rows(wanted).join(light, SERIES)
 
 
 def _fit_batches(batches):
@@ -146,11 +151,13 @@ def predict(
     promo_daily: DataFrame | None = None,
     include_history: bool = True,
     lag_fill: str = "last",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Forecast of each model's days, all in JVM expressions.
 
     Training fills the lags of every day with the last known values ('last'), scoring with 0
-    ('zero'). A `periods` column of the models wins over the parameter.
+    ('zero'). A `periods` column of the models wins over the parameter; columns in `keep` are
+    carried on.
     """
     if lag_fill not in ("last", "zero"):
         raise ValueError("lag_fill is 'last' or 'zero'")
@@ -166,11 +173,8 @@ def predict(
     model = F.col("model")
     yhat = _model_value(model, F.col("ds"), F.col("promo_flag"), lag_fill)
     margin = F.lit(Z80) * model["sigma"] * model["y_scale"]
-    return frame.select("ds", *SERIES, "promo_flag", yhat.alias("yhat"), margin.alias("_margin")).select(
-        "ds",
-        *SERIES,
-        "yhat",
-        (F.col("yhat") - F.col("_margin")).alias("yhat_lower"),
-        (F.col("yhat") + F.col("_margin")).alias("yhat_upper"),
-        "promo_flag",
+    valued = frame.select("ds", *SERIES, "promo_flag", yhat.alias("yhat"), margin.alias("_margin"), *keep)
+    low, high = F.col("yhat") - F.col("_margin"), F.col("yhat") + F.col("_margin")
+    return valued.select(
+        "ds", *SERIES, "yhat", low.alias("yhat_lower"), high.alias("yhat_upper"), "promo_flag", *keep
     )

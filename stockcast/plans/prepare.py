@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from stockcast.operators.clean import adapt, clean, eligible_rows, rename_skus, union_sources
 from stockcast.operators.demand import daily_demand, dense_demand
+from stockcast.session import materialize
 from stockcast.settings import SPECIAL_CUSTOMER, SPECIAL_CUTOFF, SPINE_START
 from stockcast.sources.tables import scan_orders, scan_shipments
 
@@ -31,5 +32,10 @@ def clean_sources(
 def prepare_demand(
     shipments: DataFrame, orders: DataFrame, renames: DataFrame, *, start: str = SPINE_START, **options
 ) -> DataFrame:
-    """Daily demand of every series from `start` to the last day with data, gaps filled with 0."""
-    return dense_demand(daily_demand(clean_sources(shipments, orders, renames, **options)), start)
+    """Daily demand of every series from `start` to the last day with data, gaps filled with 0.
+
+    The sparse daily sums are written down in between: filling needs the last day of the whole table
+    first, and the raw logs are to be read just once.
+    """
+    daily = materialize(daily_demand(clean_sources(shipments, orders, renames, **options)))
+    return dense_demand(daily, start)

@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 from stockcast import PAIR, SERIES
 from stockcast.operators import calendar, config as settings_table, demand as cuts, post, promo, routing
 from stockcast.operators.demand import filter_scope
-from stockcast.operators.impact import impact_dates
+from stockcast.operators.impact import impact_dates, top_series
 from stockcast.operators.poisson import poisson_forecast
 from stockcast.operators.structural import fit_inputs, fit_models, parse_models, predict
 from stockcast.session import materialize
-from stockcast.settings import BIAS_MIN_DAYS, BIAS_MIN_DEMAND, PERIODS, SEED, TEST_DAYS, ZSCORE_RULES
+from stockcast.settings import (
+    BIAS_MIN_DAYS,
+    BIAS_MIN_DEMAND,
+    DEFAULT_SETTINGS,
+    PERIODS,
+    SEED,
+    TEST_DAYS,
+    ZSCORE_RULES,
+)
 from stockcast.sources import stores
 
 
@@ -46,6 +54,23 @@ def run_settings(pairs: DataFrame, config: DataFrame | None, override: Mapping |
     return settings_table.effective_config(found, settings_table.flatten_override(override))
 
 
+def _run_series(
+    stats: DataFrame,
+    validation: DataFrame,
+    as_of: str,
+    periods: int,
+    config: DataFrame | None,
+    override: Mapping | None,
+) -> DataFrame:
+    """The series of valid pairs, each with its pair's last day, horizon and settings."""
+    valid = validation.filter(F.col("reason").isNull()).select(*PAIR)
+    late = cuts.missing_days(stats.withColumnRenamed("last_ds", "ds"), as_of).select(
+        *PAIR, F.col("last_ds").alias("latest_date"), (F.lit(periods) + F.col("dif_days")).alias("periods")
+    )
+    pairs = valid.join(late, PAIR).join(run_settings(valid, config, override), PAIR)
+    return cuts.train_volume(stats.join(pairs, PAIR))
+
+
 def train_forecast(
     demand: DataFrame,
     holidays: DataFrame,
@@ -70,61 +95,43 @@ def train_forecast(
     """
     if pairs is not None:
         demand = filter_scope(demand, pairs)
-    # one row per series and one per pair from here on; the demand is read again only where needed
+    # one row per series from here on; the demand is read again only for a few series or days
     stats = materialize(cuts.series_stats(demand))
     validation = cuts.validate_inputs(stats, holidays)
-    valid = validation.filter(F.col("reason").isNull()).select(*PAIR)
-    spans = stats.join(valid, PAIR, "left_semi")
-    demand = filter_scope(demand, valid)
-    dates = cuts.pair_latest(spans)
-    settings = materialize(run_settings(dates.select(*PAIR), config, override))
-    volumes = cuts.train_volume(spans)
-    train = cuts.train_split(demand, dates)
-    test = cuts.test_split(demand, test_days, dates)
+    series = materialize(_run_series(stats, validation, as_of, periods, config, override))
+    settings = series.groupBy(*PAIR).agg(*[F.any_value(n).alias(n) for n in DEFAULT_SETTINGS])
 
     base = calendar.base_holidays(holidays)
-    impact = impact_dates(train, volumes, settings, rules=rules)
+    train, test = cuts.train_split(demand, series), cuts.test_split(demand, test_days, series)
+    top = top_series(series)
     windows = settings.select(*PAIR, "impact_lower_window", "impact_upper_window")
-    impact_days = materialize(calendar.impact_holidays(impact.join(windows, PAIR)))
+    impact_days = materialize(calendar.impact_holidays(impact_dates(train, top, rules).join(windows, PAIR)))
     all_holidays = calendar.with_impact(calendar.toggle_holidays(base, settings), impact_days)
 
     daily = None
     if promotions is not None:
         master = promo.promo_master_valid(promo.promo_master(promotions))
-        daily = promo.promo_daily(master, spans.select("Shop_SKU"))
+        daily = promo.promo_daily(master, series.select("Shop_SKU"))
         if only_skus is not None:
             daily = routing.override_series(daily, only_skus)
         daily = materialize(daily)
 
-    pareto = routing.pareto_series(volumes)
+    pareto = routing.pareto_series(series.select(*SERIES, "volume"))
     if only_skus is not None:
-        spans = routing.override_series(spans, only_skus)
-        demand = routing.override_series(demand, only_skus)
-        train, test = (routing.override_series(part, only_skus) for part in (train, test))
-        chosen = spans.select(*SERIES)
+        series, train, test = (routing.override_series(part, only_skus) for part in (series, train, test))
+        chosen = series.select(*SERIES)
     else:
-        promoting = spans.join(settings.filter("use_promotions").select(*PAIR), PAIR, "left_semi")
-        chosen = routing.model_series(pareto, promoting, daily)
-    routes = materialize(routing.route(spans, chosen))
-    structural_keys = routes.filter(F.col("method") == "structural").select(*SERIES)
-
-    ahead = (
-        cuts.missing_days(spans.withColumnRenamed("last_ds", "ds"), as_of)
-        .join(dates, PAIR)
-        .join(settings.select(*PAIR, "use_promotions"), PAIR)
-        .select(*PAIR, (F.lit(periods) + F.col("dif_days")).alias("periods"), "latest_date", "use_promotions")
-    )
-    inputs = fit_inputs(
-        demand.join(structural_keys, SERIES, "left_semi"), settings, base, impact_days, daily
-    )
-    fitted = materialize(fit_models(inputs))
-    modelled = predict(parse_models(fitted).join(ahead, PAIR), periods, daily).drop("promo_flag")
+        chosen = routing.model_series(pareto, series.filter("use_promotions"), daily)
+    routed = materialize(routing.route(series, chosen))
+    modelled_series = routed.filter(F.col("method") == "structural")
+    fitted = materialize(fit_models(fit_inputs(demand, modelled_series, base, impact_days, daily)))
+
+    extra = modelled_series.select(*SERIES, "periods", "latest_date", "use_promotions")
+    modelled = predict(parse_models(fitted).join(extra, SERIES), periods, daily, keep=("latest_date",))
     drawn = poisson_forecast(
-        spans.join(routes.filter(F.col("method") == "poisson").select(*SERIES), SERIES, "left_semi").join(ahead, PAIR),
-        periods,
-        seed,
+        routed.filter(F.col("method") == "poisson"), periods, seed, keep=("latest_date",)
     )
-    cleaned = post.int_cleanup(modelled.unionByName(drawn)).join(ahead.select(*PAIR, "latest_date"), PAIR)
+    cleaned = post.int_cleanup(modelled.drop("promo_flag").unionByName(drawn))
     forecast = post.production_window(cleaned, as_of)
     if bias_min_days <= test_days:  # else no series has enough test days, and no correction can apply
         forecast = materialize(forecast)

@@ -1,8 +1,9 @@
-"""Session settings the jobs rely on, and the one place that cuts lineage."""
+"""Session settings the jobs rely on, and the one place that writes intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the windows and fits do much work per byte: merge small partitions, but not down to one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # codes such as 0000000811 keep their leading zeros when read back from partition folders
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # one row of the fitting stage holds a whole series, so batches stay short
@@ -26,19 +29,24 @@ def build_session(app: str = "stockcast", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; only a local session without one gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="stockcast-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` in the cluster's shared folder, so a lost executor does not redo the work.
+    """Write `df` once to the shared folder and go on from the written table.
 
-    The folder is the one the session names in spark.checkpoint.dir. Only a local session that
-    names none gets a temporary one.
+    A lost executor then does not redo the work before it, several readers do not repeat it, and
+    the planner knows the table's size.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="stockcast-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/stockcast/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
