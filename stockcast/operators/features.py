@@ -55,10 +55,8 @@ def promo_days_in_train(features: DataFrame) -> DataFrame:
     return features.groupBy(*SERIES).agg(F.sum("promo_flag").alias("promo_days"))
 
 
-def future_frame(
-    spans: DataFrame, periods: int, promo_daily: DataFrame | None, include_history: bool = True
-) -> DataFrame:
-    """Days to predict per series, with their promo flag.
+def future_days(spans: DataFrame, periods: int, include_history: bool = True) -> DataFrame:
+    """One row per series and day to predict.
 
     `spans` has first_ds and last_ds per series; an own `periods` column, if any, wins over the
     parameter.
@@ -66,5 +64,11 @@ def future_frame(
     ahead = F.col("periods") if "periods" in spans.columns else F.lit(periods)
     begin = F.col("first_ds") if include_history else F.date_add("last_ds", 1)
     end = F.date_add(F.col("last_ds"), ahead.cast("int"))
-    days = spans.filter(begin <= end).select("*", F.explode(F.sequence(begin, end)).alias("ds"))
-    return promo_regressor(days, promo_daily)
+    return spans.filter(begin <= end).select("*", F.explode(F.sequence(begin, end)).alias("ds"))
+
+
+def future_frame(
+    spans: DataFrame, periods: int, promo_daily: DataFrame | None, include_history: bool = True
+) -> DataFrame:
+    """Days to predict per series, with their promo flag."""
+    return promo_regressor(future_days(spans, periods, include_history), promo_daily)

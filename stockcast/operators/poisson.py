@@ -17,11 +17,13 @@ def poisson_forecast(
     """A repeatable draw for every day of the history and `periods` days more.
 
     The days come from each series' span (its demand has no gaps), so the demand is not read again.
-    An own `periods` column of the spans wins over the parameter; columns in `keep` are carried on.
+    Each row grows to hundreds, so the few spans are first spread over all tasks. An own `periods` column of the spans wins over the parameter; columns in `keep` are carried on.
     """
     ahead = F.col("periods") if "periods" in spans.columns else F.lit(periods)
     end = F.date_add(F.col("last_ds"), ahead.cast("int"))
-    days = spans.select(*SERIES, "rate", *keep, F.explode(F.sequence("first_ds", end)).alias("ds"))
+    parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spans.repartition(parts, *SERIES)
+    days = spread.select(*SERIES, "rate", *keep, F.explode(F.sequence("first_ds", end)).alias("ds"))
     drawn = days.withColumn("_draw", poisson_draw("rate", uniform(seed, *map(F.col, [*SERIES, "ds"]))))
     return drawn.select("ds", *SERIES, "_draw.yhat", "_draw.yhat_lower", "_draw.yhat_upper", *keep)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stockcast import PAIR, SERIES, schemas
 from stockcast.functions.structural_fit import YEAR, YEARLY_ORDER, fit_series
 from stockcast.operators.calendar import holiday_features
-from stockcast.operators.features import future_frame
+from stockcast.operators.features import future_days
 from stockcast.settings import DEFAULT_SETTINGS, HOLIDAY_TOGGLES
 
 Z80 = 1.2815515655446004  # fixed value: the normal quantile of a two-sided 80 % interval
@@ -46,6 +46,12 @@ def series_rows(demand: DataFrame) -> DataFrame:
     )
 
 
+def promo_days(promo_daily: DataFrame) -> DataFrame:
+    """The promoted days of each SKU as one sorted array, which the calendar bounds."""
+    days = F.array_sort(F.collect_set(F.unix_date("ds")))
+    return promo_daily.groupBy("Shop_SKU").agg(days.alias("_promo"))
+
+
 def fit_inputs(
     demand: DataFrame,
     series: DataFrame,
@@ -70,10 +76,7 @@ def fit_inputs(
         features = F.concat(features, F.coalesce("_impact", F.array().cast(_FEATURE_LIST)))
     promoted = F.array().cast("array<int>")
     if promo_daily is not None:
-        own_days = promo_daily.groupBy("Shop_SKU").agg(
-            F.array_sort(F.collect_set(F.unix_date("ds"))).alias("_promo")
-        )
-        light = light.join(own_days, "Shop_SKU", "left")
+        light = light.join(promo_days(promo_daily), "Shop_SKU", "left")
         promoted = F.when(F.col("use_promotions") & F.col("_promo").isNotNull(), F.col("_promo")).otherwise(promoted)
     light = light.withColumn("_features", features).select(
         *SERIES,
@@ -167,9 +170,13 @@ def predict(
             "last_ds": F.col("model.last_ds").cast("date"),
         }
     )
-    frame = future_frame(spans, periods, promo_daily, include_history)
-    if promo_daily is not None and "use_promotions" in models.columns:
-        frame = frame.withColumn("promo_flag", F.when(F.col("use_promotions"), F.col("promo_flag")).otherwise(0))
+    promoted = F.lit(False)
+    if promo_daily is not None:  # joined per model, so that no shuffle ever moves a model once per day
+        spans = spans.join(promo_days(promo_daily), "Shop_SKU", "left")
+        promoted = F.coalesce(F.array_contains("_promo", F.unix_date("ds")), F.lit(False))
+        if "use_promotions" in models.columns:
+            promoted = promoted & F.col("use_promotions")
+    frame = future_days(spans, periods, include_history).withColumn("promo_flag", promoted.cast("int"))
     model = F.col("model")
     yhat = _model_value(model, F.col("ds"), F.col("promo_flag"), lag_fill)
     margin = F.lit(Z80) * model["sigma"] * model["y_scale"]

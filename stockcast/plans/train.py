@@ -267,6 +267,7 @@ def train_pairs(
     **options,
 ) -> DataFrame:
     """Train and publish the pairs of a run; the result is one status row per pair."""
+    pairs = materialize(pairs.select(*PAIR).distinct())  # its known size decides how the demand is cut
     run = train_forecast(demand, holidays, as_of=as_of, pairs=pairs, **options)
     upload = materialize(publish_rows(run))
     if model_path:

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows shuffled by pair do not serve a grouping by series, so a hot pair can still be split
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     # the windows and fits do much work per byte: merge small partitions, but not down to one task
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # codes such as 0000000811 keep their leading zeros when read back from partition folders
