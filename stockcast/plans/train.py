@@ -127,17 +127,20 @@ def train_forecast(
     fitted = materialize(fit_models(fit_inputs(demand, modelled_series, base, impact_days, daily)))
 
     extra = modelled_series.select(*SERIES, "periods", "latest_date", "use_promotions")
-    modelled = predict(parse_models(fitted).join(extra, SERIES), periods, daily, keep=("latest_date",))
-    drawn = poisson_forecast(
-        routed.filter(F.col("method") == "poisson"), periods, seed, keep=("latest_date",)
-    )
+    carried = ("latest_date", "use_promotions")
+    modelled = predict(parse_models(fitted).join(extra, SERIES), periods, daily, keep=carried)
+    drawn = poisson_forecast(routed.filter(F.col("method") == "poisson"), periods, seed, keep=carried)
     cleaned = post.int_cleanup(modelled.drop("promo_flag").unionByName(drawn))
     forecast = post.production_window(cleaned, as_of)
     if bias_min_days <= test_days:  # else no series has enough test days, and no correction can apply
         forecast = materialize(forecast)
         past = forecast.filter(F.col("segment") == "past")
         forecast = post.apply_bias(forecast, post.bias_correction(test, past, bias_min_demand, bias_min_days))
-    forecast = post.int_cleanup(post.forecast_promo_flag(forecast, daily))
+    flagged = post.int_cleanup(post.forecast_promo_flag(forecast, daily))
+    flag = F.when(F.col("use_promotions"), F.col("promo_flag")).otherwise(0)
+    flagged = flagged.withColumn("promo_flag", flag)
+    forecast = flagged.drop("use_promotions")
+    promoting = flagged.filter("use_promotions").drop("use_promotions")
     return Training(
         settings=settings,
         train=train,
@@ -151,8 +154,8 @@ def train_forecast(
         forecast=forecast,
         forecast_future=forecast.filter(F.col("segment") == "future"),
         forecast_past=forecast.filter(F.col("segment") == "past"),
-        promo_inspect=None if daily is None else promo.promo_inspect(forecast, daily),
-        promo_summary=None if daily is None else promo.promo_summary(forecast, daily),
+        promo_inspect=None if daily is None else promo.promo_inspect(promoting, daily),
+        promo_summary=None if daily is None else promo.promo_summary(promoting, daily),
         validation=validation,
     )
 
@@ -213,12 +216,19 @@ def train_customer(
     warehouses: list[str] | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """All or the listed warehouses of one customer: the whole and the future forecast."""
+    """All or the listed warehouses of one customer: the whole and the future forecast.
+
+    A warehouse that cannot be trained, or of which a fit failed, is left out.
+    """
     own = cuts.filter_customer(demand, customer_code)
     if warehouses is not None:
         own = own.filter(F.col("warehousecode").isin(warehouses))
     run = train_and_store(own, holidays, model_path, as_of=as_of, promo_only=False, **options)
-    return run.forecast, run.forecast_future
+    return tuple(rows.join(failed_pairs(run.fitted), PAIR, "left_anti") for rows in (run.forecast, run.forecast_future))
+
+
+def failed_pairs(fitted: DataFrame) -> DataFrame:
+    return fitted.filter(F.col("error").isNotNull()).select(*PAIR).distinct()
 
 
 def pair_status(pairs: DataFrame, validation: DataFrame, fitted: DataFrame, upload: DataFrame) -> DataFrame:
@@ -252,8 +262,7 @@ def pair_status(pairs: DataFrame, validation: DataFrame, fitted: DataFrame, uplo
 
 def publish_rows(run: Training) -> DataFrame:
     """Future forecast in its published shape; a pair with a failed fit keeps its old rows."""
-    failed = run.fitted.filter(F.col("error").isNotNull()).select(*PAIR).distinct()
-    return post.output_shape(run.forecast_future.join(failed, PAIR, "left_anti"))
+    return post.output_shape(run.forecast_future.join(failed_pairs(run.fitted), PAIR, "left_anti"))
 
 
 def train_pairs(

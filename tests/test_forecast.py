@@ -222,3 +222,53 @@ def test_int_cleanup_and_output_shape(spark):
     assert row.yhat == 3
     with pytest.raises(KeyError):
         post.output_shape(spark.sql("select 1 yhat"))
+
+
+def test_customer_run_skips_bad_warehouses_and_promotion_switch(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = _demand(
+        spark,
+        {("c1", "w1", "a"): rng.poisson(9, 90), ("c1", "w1", "b"): rng.poisson(1, 90), ("c1", "w2", "a"): np.zeros(90), ("c2", "w1", "a"): rng.poisson(9, 90)},
+    )
+    holidays = small_table(spark, [], HOLIDAY_SOURCE)
+    everything, future = train.train_customer(
+        rows, holidays, "c1", str(tmp_path), as_of="2001-04-01", promotions=_campaign(spark, "b"),
+        override={"promo": {"use_promotions": False}},
+    )
+    assert {(r.customer_code, r.warehousecode) for r in everything.select("customer_code", "warehousecode").distinct().collect()} == {("c1", "w1")}
+    assert everything.agg(F.max("promo_flag")).first()[0] == 0
+    assert future.count() == 2 * 14
+    # promotions are off, so the small promoted SKU keeps its Poisson draw and has no model
+    assert {r.Shop_SKU for r in stores.read_models(spark, str(tmp_path)).collect()} == {"a"}
+
+
+def test_promotion_retrain_covers_only_promoted_skus_of_the_customer(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = _demand(spark, {("c1", w, s): rng.poisson(5, 150) for w in ("w1", "w2") for s in ("s3", "other")})
+    holidays = small_table(spark, [], HOLIDAY_SOURCE)
+    status = train.retrain_promoted(
+        rows, holidays, _campaign(spark, "s3", "absent"), str(tmp_path), as_of="2001-05-31", customer_code="c1"
+    )
+    assert {r.Shop_SKU: r.status for r in status.collect()} == {"s3": "uploaded", "absent": "no demand"}
+    models = stores.read_models(spark, str(tmp_path))
+    assert [r.object_path for r in models.collect()] == ["c1/prophet/s3.json"]
+
+
+def test_no_join_or_window_on_the_pair_moves_demand_rows(spark):
+    """With broadcasting off, demand rows are shuffled by series only, so a hot pair spreads."""
+    from stockcast.operators import demand, impact
+    from stockcast.session import materialize
+
+    rows = materialize(_demand(spark, {("c", "w", s): range(40) for s in "ab"}))
+    stats = materialize(demand.series_stats(rows))
+    latest = demand.series_latest(stats)
+    series = materialize(demand.train_volume(stats.join(latest, SERIES)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        train_rows = demand.train_split(rows, series)
+        plan = impact.zscore_detail(train_rows, impact.top_series(series, 5))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    by_pair = [line for line in shuffles if "Shop_SKU" not in line.split("),")[0] and "_slice" not in line]
+    assert len(by_pair) == 1  # the final ranking of the sliced top series, not the demand
