@@ -195,6 +195,10 @@ STEPS["found"] = f"""
     qualify row_number() over (partition by p.customer_code, p.warehousecode
       order by case when c.warehousecode is null then 2 else 1 end, updated_at desc nulls first) = 1"""
 
+STEPS["found_for_demand"] = STEPS["found"].replace(
+    "select customercode customer_code, warehousecode from scope", "select distinct customer_code, warehousecode from keys"
+)
+
 
 def _default(name: str) -> str:
     value = DEFAULT_SETTINGS[name]
@@ -392,12 +396,22 @@ ORACLES: dict[str, str] = {
     "structural_fit": _sql(f"""select {SERIES}, cast(null as varchar) error, 'multiplicative' as mode, cast(min(ds) + 7 as varchar) first_ds,
         cast(max(ds) as varchar) last_ds, (count(*) - 7)::int n_rows, true has_sigma, 7 n_weekly, 4 n_regressors, 25 n_changepoints
         from demand join pareto using ({SERIES}) group by all"""),
+    "structural_frame": _sql(f"""select f.ds, {SERIES}, coalesce(promo_flag, 0) promo_flag, true in_order from (
+          select {SERIES}, unnest(generate_series(first_ds::timestamp + interval 7 day, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
+          from spans join pareto using ({SERIES})) f left join campaign using (ds, Shop_SKU)"""),
+    "model_index": _sql(f"""select {SERIES}, last_ds,
+        concat(customer_code, '/', replace(warehousecode, ' ', '_'), '/', replace(Shop_SKU, '#', '_'), '.json') object_path
+        from spans join pareto using ({SERIES})"""),
+    "score_frame": _sql(f"""select f.ds, {SERIES}, coalesce(promo_flag, 0) promo_flag, true is_count from (
+          select {SERIES}, unnest(generate_series(last_ds::timestamp + interval 1 day, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
+          from spans join pareto using ({SERIES})) f left join campaign using (ds, Shop_SKU)"""),
     "score_status": _sql("""select Shop_SKU, cast(coalesce(n, 0) as bigint) n_models, case when n is null then 'missing model' else 'ok' end status
     from (select unnest(list_value('Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#99')) Shop_SKU)
     left join (select Shop_SKU, count(*) n from pareto group by all) using (Shop_SKU)"""),
     "hybrid_coverage": _sql(f"""select {SERIES}, cast(14 as bigint) future_days, max(ds) + 14 last_ds, 1 all_non_negative, 1 bounds_in_order,
-        cast(coalesce(max(n), 0) as bigint) promo_days
-        from demand left join (select Shop_SKU, count(*) n from campaign group by all) using (Shop_SKU) group by all"""),
+        cast(max(case when coalesce(use_promotions, true) then coalesce(n, 0) else 0 end) as bigint) promo_days
+        from demand join found_for_demand using (customer_code, warehousecode)
+        left join (select Shop_SKU, count(*) n from campaign group by all) using (Shop_SKU) group by all"""),
     "pair_status": _sql("""select w.customer_code customercode, w.warehousecode, n is not null ok, false skipped,
         cast(null as varchar) reason, case when n is null then 'no demand' end error, cast(coalesce(n, 0) as bigint) n_rows
         from wanted_pairs w left join (select customer_code, warehousecode, count(*) * 14 n from keys group by all) k

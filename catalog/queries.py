@@ -525,6 +525,26 @@ def score_models(spark, sf):
     return score.score_models(stores.usable_models(models), campaign_daily(spark))
 
 
+@register
+def structural_frame(spark, sf):
+    """Days, promotion flags and order of the bounds of the structural forecast."""
+    rows = structural.predict(structural.parse_models(_fitted(spark, sf)), 14, campaign_daily(spark))
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return rows.select("ds", *SERIES, "promo_flag", ordered.alias("in_order"))
+
+
+@register
+def model_index(spark, sf):
+    return stores.model_rows(_fitted(spark, sf), fx.AS_OF).select(*SERIES, "object_path", "last_ds")
+
+
+@register
+def score_frame(spark, sf):
+    """Days and promotion flags of the scored models; every value is a count."""
+    rows = score_models(spark, sf)
+    return rows.select("ds", *SERIES, "promo_flag", (F.col("yhat") >= 0).alias("is_count"))
+
+
 @register
 def score_promos(spark, sf):
     models = stores.model_rows(_fitted(spark, sf), fx.AS_OF)

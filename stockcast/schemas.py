@@ -10,17 +10,11 @@ SHIPMENT_LOG = (
     "gi_date STRING, customercode STRING, warehouse_code STRING, sku STRING, qty STRING"
 )
 HOLIDAY_SOURCE = "holiday_code STRING, ds STRING, lower_window INT, upper_window INT"
-HOLIDAY = "holiday STRING, ds DATE, lower_window INT, upper_window INT"
 PROMOTION = (
     "customer_code STRING, promotion_name STRING, promotion_code STRING, start_date STRING,"
     " end_date STRING, apply_mode STRING, discount STRUCT<amount: DOUBLE, type: STRING>,"
     " include_sku ARRAY<STRUCT<sku_code: STRING, discount_amount: DOUBLE, discount_type: STRING>>"
 )
-PROMO_MASTER = (
-    "customer_code STRING, promotion_name STRING, promotion_code STRING, start_date STRING,"
-    " end_date STRING, apply_mode STRING, sku_code STRING, discount_amount DOUBLE, discount_type STRING"
-)
-PROMO_DAILY = "ds DATE, Shop_SKU STRING, promo_flag INT"
 
 _SETTING_TYPES = {list: "ARRAY<INT>", bool: "BOOLEAN", int: "INT", float: "DOUBLE", str: "STRING"}
 SETTING_TYPES = {name: _SETTING_TYPES[type(value)] for name, value in DEFAULT_SETTINGS.items()}

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +53,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
-def read_optional(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+def read_optional(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
     """A source that may be unavailable: then a warning and an empty table with the schema."""
     try:
-        return read_table(spark, path, schema, fmt)
-    except PySparkException as problem:
-        log.warning("source %s unavailable, going on without it: %s", path, problem)
+        return read()
+    except Exception as problem:  # whatever keeps this source away must not stop the others
+        log.warning("source unavailable, going on without it: %s", problem)
         return small_table(spark, [], schema)
 
 

@@ -5,7 +5,8 @@ import pytest
 from stockcast.operators import clean, demand
 from stockcast.plans.prepare import prepare_demand
 from stockcast.schemas import DEMAND, ORDER_LOG, SHIPMENT_LOG
-from stockcast.sources.tables import jdbc_options, read_optional, scan_shipments, small_table, sku_renames
+from stockcast.sources import stores
+from stockcast.sources.tables import jdbc_options, read_optional, read_table, scan_shipments, small_table, sku_renames
 
 D = dt.date
 RENAMES = "customer_code string, old_sku string, new_sku string"
@@ -58,7 +59,7 @@ def test_scan_drops_rows_without_customer(spark):
 
 
 def test_missing_optional_source_is_empty(spark, tmp_path):
-    orders = read_optional(spark, str(tmp_path / "nowhere"), ORDER_LOG)
+    orders = read_optional(spark, lambda: read_table(spark, str(tmp_path / "nowhere"), ORDER_LOG), ORDER_LOG)
     assert orders.count() == 0 and "paymentdate" in orders.columns
 
 
@@ -144,3 +145,12 @@ def test_dense_plan_shuffles_only_sales(spark):
     daily = _daily(spark, [(D(2001, 1, 2), "c", "w", "s", 5.0)]).repartition(3)
     plan = demand.dense_demand(daily, "2001-01-01")._jdf.queryExecution().sparkPlan().toString()
     assert "Join" not in plan and plan.index("Generate") < plan.index("Window")
+
+
+def test_stored_demand_keeps_codes_and_prunes_customers(spark, tmp_path):
+    rows = _daily(spark, [(D(2001, 1, 2), "0000000811", "007", "s", 5.0), (D(2001, 1, 2), "2", "None", "t", 7.0)])
+    stores.write_demand(rows, str(tmp_path / "demand"))
+    stored = stores.read_demand(spark, str(tmp_path / "demand"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+    one = stored.filter("customer_code = '0000000811'")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(customer_code" in one._jdf.queryExecution().toString()
