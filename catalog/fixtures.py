@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockcast import schemas
-from stockcast.plans.prepare import clean_sources, prepare_demand
+from stockcast.plans.preparation import clean_sources, prepare_demand
 from stockcast.sources import tables
 from stockcast.sources.tables import promotions_from_json, small_table
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog import fixtures as fx
 from stockcast import PAIR, SERIES, schemas
 from stockcast.operators import calendar, clean, config, demand, features, impact, poisson, post, promo, routing, scope, structural
-from stockcast.plans import score, train
+from stockcast.plans import scoring as score, training as train
 from stockcast.session import materialize
 from stockcast.sources import stores, tables
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,7 +14,6 @@ _BOUNDS = T.StructType().add("yhat_lower", T.LongType()).add("yhat_upper", T.Lon
 _DRAW = T.StructType([T.StructField("yhat", T.LongType()), *_BOUNDS.fields])
 
 
-@lru_cache(maxsize=512)
 def _cumulative(mean: float) -> tuple[int, np.ndarray]:
     """First count with weight and the running probabilities from there on.
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from stockcast.operators import clean, demand
-from stockcast.plans.prepare import prepare_demand
+from stockcast.plans.preparation import prepare_demand
 from stockcast.schemas import DEMAND, ORDER_LOG, SHIPMENT_LOG
 from stockcast.sources import stores
 from stockcast.sources.tables import jdbc_options, read_optional, read_table, scan_shipments, small_table, sku_renames

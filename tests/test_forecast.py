@@ -10,7 +10,7 @@ from stockcast import SERIES
 from stockcast.functions.poisson import quantile
 from stockcast.functions.structural_fit import fit_series, history_features
 from stockcast.operators import config, features, poisson, post, structural
-from stockcast.plans import score, train
+from stockcast.plans import scoring as score, training as train
 from stockcast.schemas import DEMAND, HOLIDAY_SOURCE, PROMOTION
 from stockcast.settings import DEFAULT_SETTINGS
 from stockcast.sources import stores
