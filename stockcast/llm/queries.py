@@ -5,16 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stockcast.llm import exact_dedup
+from stockcast.llm import class_lm, exact_dedup, language, quality, shingle_join
 from stockcast.llm.text import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(read_documents(spark, sf_dir))
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(read_documents(spark, sf_dir))
+
+
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.class_scores(read_documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_documents(spark, sf_dir))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op8_exact_dedup,)}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(read_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+QUERIES = (op2_language, op3_ngram_jaccard, op4_class_lm, op8_exact_dedup, op9_quality_rules)
+REGISTRY: dict[str, Query] = {f.__name__: f for f in QUERIES}
