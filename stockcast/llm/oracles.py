@@ -12,4 +12,26 @@ select doc_id,
 from t
 """
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_EXACT_DEDUP}
+OP10_LINE_DEDUP = r"""
+with p as (
+  select page_id,
+         lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)', 1)) as host,
+         list_transform(string_split(regexp_replace(coalesce(html, ''),
+           '(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)), x -> trim(x)) as lines
+  from pages
+),
+l as (select page_id, host, unnest(lines) as line, generate_subscripts(lines, 1) as k from p),
+totals as (select host, count(*) as pages from p group by host having count(*) >= 5),
+often as (
+  select l.host, line from l join totals using (host) where line <> ''
+  group by l.host, line, pages having count(distinct page_id) > 0.1 * pages
+)
+select l.page_id, l.host,
+       count(*) filter (l.line <> '') as n_lines,
+       count(often.line) as n_dropped,
+       coalesce(string_agg(l.line, chr(10) order by k) filter (often.line is null), '') as text
+from l left join often on l.host = often.host and l.line = often.line
+group by l.page_id, l.host
+"""
+
+ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_EXACT_DEDUP, "op10_line_dedup": OP10_LINE_DEDUP}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import class_lm, exact_dedup, language, quality, shingle_join
+from stockcast.llm import bpe, class_lm, exact_dedup, language, line_dedup, packing, pii, quality, shingle_join, toxicity
 from stockcast.llm.text import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_documents(spark, sf_dir))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(read_documents(spark, sf_dir))
 
@@ -28,6 +32,18 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.class_scores(read_documents(spark, sf_dir))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_documents(spark, sf_dir))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(read_documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_documents(spark, sf_dir))
 
@@ -36,5 +52,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read_documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
-QUERIES = (op2_language, op3_ngram_jaccard, op4_class_lm, op8_exact_dedup, op9_quality_rules)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return line_dedup.drop_boilerplate(pages, "page_id", line_dedup.host_of("url"), line_dedup.page_text("html"))
+
+
+QUERIES = (
+    op1_packing, op2_language, op3_ngram_jaccard, op4_class_lm, op5_bpe, op6_pii, op7_toxicity, op8_exact_dedup,
+    op9_quality_rules, op10_line_dedup,
+)
 REGISTRY: dict[str, Query] = {f.__name__: f for f in QUERIES}

@@ -9,10 +9,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from stockcast.session import materialize, shared_folder
 
-__all__ = ["Interned", "fold", "materialize", "on_batches", "owners", "read_documents", "shared_folder", "words"]
+__all__ = ["Interned", "appended", "fold", "materialize", "on_batches", "owners", "read_documents", "shared_folder", "words"]
 
 #: rows of an Arrow batch: texts can be long, so a batch stays a few MB in the usual case
 BATCH_ROWS = 1000
@@ -66,6 +67,22 @@ def on_batches(frame: DataFrame, work, schema: str) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def appended(frame: DataFrame, column: str, name: str, kind: str, start) -> DataFrame:
+    """`frame` with one more column, made from `column`; all others pass through untouched. start() is called once per task and
+    returns what maps a list of values to a list of results."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    at, target = frame.columns.index(column), KINDS[kind]
+    schema = StructType([*frame.schema.fields, StructField(name, _parse_datatype_string(kind))])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = start()
+        for batch in parts:
+            new = pa.array(made(batch.column(at).to_pylist()), target)
+            yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
+
+    return frame.mapInArrow(run, schema)
+
+
 def _array(values: Any, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
