@@ -12,9 +12,11 @@ Bitmaps. Each set has a parity bitmap, its width growing with the set. A shingle
 (|a| + |b| - differing bits) / 2 bounds the intersection from above (the wider map is folded to the narrower). Pairs whose bound is
 too small end there; the others get their sorted arrays and an exact intersection.
 
-Groups. Two first rounds compare each tile's members with one hub only. Later, members that are already linked with each other
-need no comparison, so a tile of a million near copies costs a million comparisons, not their square. The last round
-compares all the rest of every tile. Every pair above the threshold is thus compared, or its two sets are already connected.
+Groups. In each of the first rounds every set is compared with one other only: the smallest, by a hash that changes each round, of
+the hubs of its tiles. Later, members that are already linked with each other need no comparison, so a group of a million near
+copies costs a million comparisons a round, not their square. The last round compares what is still apart: tiles are cut
+into blocks by size, and only pairs whose bitmaps allow a link leave a block. Every pair above the threshold is thus
+compared, or its two sets are already connected.
 
 Defined cases: fewer than five words make one shingle; null, empty or blank texts have no set and no links. Rows without an id
 are left out. Rows with the same id and the same set are one row; with different sets, each is a row, and the id's smallest
@@ -36,7 +38,9 @@ from stockcast.llm.text import Interned, materialize, on_batches, owners, words
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 BUCKETS = 1 << 20
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
+#: members of a tile that are compared as one block
+TILE_BLOCK = 4096
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -65,8 +69,8 @@ def set_key(array: np.ndarray) -> int:
 
 
 def bitmap(array: np.ndarray) -> bytes:
-    """Parity bits of the hashes; the width is a power of two, about twice the set's size, from 64 to 8192 bits."""
-    width = 1 << min(13, max(6, int(2 * len(array) - 1).bit_length()))
+    """Parity bits of the hashes; the width is a power of two, four times the set's size or more, from 64 to 16384 bits."""
+    width = 1 << min(14, max(6, int(4 * len(array) - 1).bit_length()))
     bits = np.bincount((array & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -216,82 +220,141 @@ def _tiles(entries: DataFrame, num: int, den: int) -> DataFrame:
     return tiles.groupBy(F.xxhash64("keys").alias("tile")).agg(F.first("keys").alias("keys"), F.first("sizes").alias("sizes"))
 
 
-def _star_pairs(tiles: DataFrame, turn: int, num: int, den: int) -> DataFrame:
-    """Each member with its tile's hub: the member with the smallest hash this turn."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            x, y, a, b = [], [], [], []
-            for keys, sizes in zip(batch.column(0), batch.column(1), strict=True):
-                keys, sizes = keys.values.to_numpy(), sizes.values.to_numpy().astype(np.int64)
-                hub = int(np.argmin(mixed(keys.astype(np.uint64) * _MIX + np.uint64(turn))))
-                fit = (den * np.minimum(sizes, sizes[hub]) >= num * np.maximum(sizes, sizes[hub])) & (keys != keys[hub])
-                x.append(np.full(int(fit.sum()), keys[hub]))
-                y.append(keys[fit])
-                a.append(np.full(int(fit.sum()), sizes[hub]))
-                b.append(sizes[fit])
-            if x:
-                made = dict(zip("xyab", map(np.concatenate, (x, y, a, b)), strict=True))
-                swap = made["x"] > made["y"]
-                yield _distinct_pairs({
-                    "x": np.where(swap, made["y"], made["x"]), "y": np.where(swap, made["x"], made["y"]),
-                    "a": np.where(swap, made["b"], made["a"]), "b": np.where(swap, made["a"], made["b"]),
-                })
-
-    return on_batches(tiles.select("keys", "sizes"), work, PAIR)
-
-
 PAIR = "x long, y long, a long, b long"
 
 
-def _distinct_pairs(made: dict) -> dict:
-    order = np.lexsort((made["y"], made["x"]))
-    made = {k: v[order] for k, v in made.items()}
-    keep = np.ones(len(order), bool)
-    keep[1:] = (made["x"][1:] != made["x"][:-1]) | (made["y"][1:] != made["y"][:-1])
-    return {k: v[keep] for k, v in made.items()}
+def _hub_pairs(tiles: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """One pair (hub x, set y) for each set: of its tiles' hubs that it is not connected with, the smallest by this turn's hash.
+    tiles: keys, sizes, and roots from the second turn on."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            parts = []
+            for row in range(batch.num_rows):
+                keys, sizes, roots = (batch.column(c)[row].values.to_numpy().astype(np.int64) for c in range(3))
+                order = mixed(keys.astype(np.uint64) * _MIX + np.uint64(turn))
+                hub = int(np.argmin(order))
+                fit = (den * np.minimum(sizes, sizes[hub]) >= num * np.maximum(sizes, sizes[hub])) & (roots != roots[hub])
+                n = int(fit.sum())
+                if n:
+                    parts.append((keys[fit], sizes[fit], np.full(n, keys[hub]), np.full(n, sizes[hub]), np.full(n, order[hub] >> np.uint64(1)).astype(np.int64)))
+            if parts:
+                y, b, x, a, order = map(np.concatenate, zip(*parts, strict=True))
+                first = np.lexsort((order, y))
+                first = first[np.concatenate([[True], y[first][1:] != y[first][:-1]])]
+                yield {"x": x[first], "y": y[first], "a": a[first], "b": b[first], "rank": order[first]}
+
+    roots = "roots" if "roots" in tiles.columns else "keys"
+    rows = on_batches(tiles.select("keys", "sizes", F.col(roots).alias("roots")), work, PAIR + ", rank long")
+    return rows.groupBy("y").agg(F.min(F.struct("rank", "x", "a", "b")).alias("hub")).select("hub.x", "y", "hub.a", "hub.b")
+
+
+def _members(tiles: DataFrame) -> DataFrame:
+    return tiles.select("tile", F.posexplode(F.arrays_zip("keys", "sizes")).alias("at", "m")).select(
+        "tile", "at", F.col("m.keys").alias("key"), F.col("m.sizes").alias("size")
+    )
 
 
 def _open_tiles(tiles: DataFrame, roots: DataFrame) -> DataFrame:
     """Tiles whose members are in two components or more, with the members' components."""
-    members = tiles.select("tile", F.posexplode(F.arrays_zip("keys", "sizes")).alias("at", "m")).select(
-        "tile", F.col("m.keys").alias("key"), F.col("m.sizes").alias("size")
-    )
+    members = _members(tiles)
     known = members.join(roots, members["key"] == roots["node"], "left").select(
-        "tile", "key", "size", F.coalesce("root", "key").alias("root")
+        "tile", "at", "key", "size", F.coalesce("root", "key").alias("root")
     )
-    several = known.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("tile")
     return (
-        known.join(several, "tile", "left_semi").groupBy("tile")
-        .agg(F.sort_array(F.collect_list(F.struct("size", "key", "root"))).alias("m"))
+        known.groupBy("tile")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"),
+             F.sort_array(F.collect_list(F.struct("at", "key", "size", "root"))).alias("m"))
+        .where("low < high")
         .select("tile", F.col("m.key").alias("keys"), F.col("m.size").alias("sizes"), F.col("m.root").alias("roots"))
     )
 
 
-def _rest_pairs(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs of a tile within the size band that are not yet connected."""
+def folded(maps: list[bytes], width: int) -> np.ndarray:
+    """The bitmaps as rows of 64-bit words, the wider folded to `width` bytes; narrower ones are empty rows."""
+    out = np.zeros((len(maps), width), np.uint8)
+    for k, data in enumerate(maps):
+        x = np.frombuffer(data, np.uint8)
+        while len(x) > width:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        if len(x) == width:
+            out[k] = x
+    return out.view(np.uint64)
+
+
+def allowed_pairs(left: dict, right: dict | None, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of pairs that are apart, within the size band, and whose bitmaps allow a link: within `left`, or between
+    `left` and `right` whose sizes are not smaller. Sizes ascend."""
+    other = right or left
+    widths = np.array([len(x) for x in left["maps"]])
+    tables = {int(w): (folded(left["maps"], int(w)), folded(other["maps"], int(w))) for w in np.unique(widths)}
+    ends = np.searchsorted(other["sizes"] * num, left["sizes"] * den, side="right")
+    found_i, found_j = [], []
+    for i in range(len(widths)):
+        begin = 0 if right else i + 1
+        if ends[i] <= begin:
+            continue
+        own, rest = tables[int(widths[i])]
+        at = np.flatnonzero(other["roots"][begin : ends[i]] != left["roots"][i]) + begin
+        if not len(at):
+            continue
+        apart = np.bitwise_count(rest[at] ^ own[i]).sum(axis=1, dtype=np.int64)
+        a, b = int(left["sizes"][i]), other["sizes"][at]
+        at = at[close((a + b - apart) // 2, a, b, num, den)]
+        found_i.append(np.full(len(at), i))
+        found_j.append(at)
+    if not found_i:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def _rest_pairs(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """All pairs of open tiles that their bitmaps allow and that are not connected."""
+    roots = tiles.select("tile", F.posexplode(F.arrays_zip("keys", "sizes", "roots")).alias("at", "m")).select(
+        "tile", "at", F.col("m.keys").alias("of"), F.col("m.sizes").alias("size"), F.col("m.roots").alias("root")
+    )
+    members = roots.join(sets.select("key", "map"), F.col("of") == F.col("key"))
+    blocks = (
+        members.groupBy("tile", F.floor(F.col("at") / block).alias("block"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "key", "size", "root", "map"))).alias("m"))
+        .select("tile", "block", F.col("m.key").alias("keys"), F.col("m.size").alias("sizes"), F.col("m.root").alias("roots"),
+                F.col("m.map").alias("maps"))
+    )
+    blocks = materialize(blocks)
+    columns = ("keys", "sizes", "roots", "maps")
+    # a block with the later blocks of its tile that its size band reaches
+    later = blocks.where("block > 0").select(F.col("tile").alias("t"), F.col("block").alias("b"), *[F.col(c).alias(f"{c} 2") for c in columns])
+    across = blocks.join(later, (F.col("tile") == F.col("t")) & (F.col("block") < F.col("b"))).where(
+        F.expr(f"{num} * `sizes 2`[0] <= {den} * sizes[size(sizes) - 1]")
+    )
+    empty = [F.lit(None).cast(blocks.schema[c].dataType).alias(f"{c} 2") for c in columns]
+    tasks = blocks.select(*columns, *empty).unionByName(across.select(*columns, *[f"{c} 2" for c in columns]))
+
+    def part(batch: pa.RecordBatch, row: int, first: int) -> dict | None:
+        if not batch.column(first)[row].is_valid:
+            return None
+        keys, sizes, roots = (batch.column(first + c)[row].values.to_numpy().astype(np.int64) for c in range(3))
+        return {"keys": keys, "sizes": sizes, "roots": roots, "maps": batch.column(first + 3)[row].as_py()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            made, size = [], 0
-            for keys, sizes, roots in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                keys, sizes, roots = (c.values.to_numpy().astype(np.int64) for c in (keys, sizes, roots))
-                ends = np.searchsorted(sizes * num, sizes * den, side="right")  # sizes ascend: the band of i ends there
-                for i in range(len(keys) - 1):
-                    other = slice(i + 1, ends[i])
-                    fit = np.flatnonzero(roots[other] != roots[i]) + i + 1
-                    if len(fit):
-                        low = keys[fit] < keys[i]
-                        made.append((np.where(low, keys[fit], keys[i]), np.where(low, keys[i], keys[fit]),
-                                     np.where(low, sizes[fit], sizes[i]), np.where(low, sizes[i], sizes[fit])))
-                        size += len(fit)
-                    if size >= 1 << 20:
-                        yield _distinct_pairs(dict(zip("xyab", map(np.concatenate, zip(*made, strict=True)), strict=True)))
-                        made, size = [], 0
+            made = []
+            for row in range(batch.num_rows):
+                left, right = part(batch, row, 0), part(batch, row, 4)
+                i, j = allowed_pairs(left, right, num, den)
+                other = right or left
+                made.append((left["keys"][i], other["keys"][j], left["sizes"][i], other["sizes"][j]))
             if made:
-                yield _distinct_pairs(dict(zip("xyab", map(np.concatenate, zip(*made, strict=True)), strict=True)))
+                x, y, a, b = map(np.concatenate, zip(*made, strict=True))
+                swap = x > y
+                x, y, a, b = np.where(swap, y, x), np.where(swap, x, y), np.where(swap, b, a), np.where(swap, a, b)
+                order = np.lexsort((y, x))
+                new = np.ones(len(order), bool)
+                new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
+                order = order[new]
+                yield {"x": x[order], "y": y[order], "a": a[order], "b": b[order]}
 
-    return on_batches(tiles.select("keys", "sizes", "roots"), work, PAIR)
+    return on_batches(tasks, work, PAIR)
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -331,7 +394,7 @@ def _arrays(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs that hold the threshold, exactly."""
-    pairs = materialize(_possible(pairs.dropDuplicates(["x", "y"]), sets, num, den))
+    pairs = materialize(pairs)
     if pairs.isEmpty():
         return pairs.select("x", "y")
     arrays = _arrays(docs, pairs, sets).dropDuplicates(["key"])
@@ -350,7 +413,7 @@ def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: in
     return materialize(on_batches(joined.select("x", "y", "x array", "y array"), work, "x long, y long"))
 
 
-def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR, block: int = TILE_BLOCK) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, n, key; roots: node, root) of all documents and of the linked sets."""
     docs_rows = _with_text(docs)
     shares = owners(docs.sparkSession)
@@ -362,28 +425,29 @@ def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR)
     links = session.createDataFrame([], "x long, y long")
     roots = session.createDataFrame([], "node long, root long")
     for turn in range(HUB_ROUNDS + 1):
-        if turn == 0:
-            open_tiles = tiles
-        else:
-            open_tiles = materialize(_open_tiles(tiles, roots))
-            if open_tiles.isEmpty():
+        if turn:
+            tiles = materialize(_open_tiles(tiles, roots))
+            if tiles.isEmpty():
                 break
-        pairs = _star_pairs(open_tiles, turn, num, den) if turn < HUB_ROUNDS else _rest_pairs(open_tiles, num, den)
+        if turn < HUB_ROUNDS:
+            pairs = _possible(_hub_pairs(tiles, turn, num, den), sets, num, den)
+        else:
+            pairs = _rest_pairs(tiles, sets, num, den, block).dropDuplicates(["x", "y"])
         found = _links(docs_rows, pairs, sets, num, den)
         if not found.isEmpty():
             links = links.unionByName(found)
-            roots = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-            roots = materialize(roots)
+            roots = materialize(components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))))
     return rows.select("doc_id", "n", "key"), roots
 
 
-def near_duplicates(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
+def near_duplicates(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR, block: int = TILE_BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every document with an id."""
-    rows, roots = similar_sets(docs, num, den)
+    rows, roots = similar_sets(docs, num, den, block)
     rooted = rows.join(roots, rows["key"] == roots["node"], "left").select(
         "doc_id", "n", "key", F.coalesce("root", "key").alias("root")
     )
-    smallest = rooted.where("root is not null").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
+    # written, so that Spark may split a large component's rows in the join
+    smallest = materialize(rooted.where("root is not null").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id")))
     return rooted.join(smallest, F.col("root") == F.col("of"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
