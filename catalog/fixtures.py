@@ -43,12 +43,13 @@ FROM_ALL = """
   join {part} on l_partkey = p_partkey"""
 
 SHIPMENTS = """
-  select cast(l_shipdate as string) gi_date, c_mktsegment customercode,
+  select case when l_quantity = 16 and l_linenumber = 3 then 'T10:30' else cast(l_shipdate as string) end gi_date, c_mktsegment customercode,
     case when l_linenumber = 1 then concat(' ', r_name, ' ') when l_linenumber = 6 then null
          else r_name end warehouse_code,
     case when l_linenumber = 7 and l_quantity = 50 then null
          when l_linenumber = 2 then concat(p_brand, ' ') else p_brand end sku,
-    case when l_quantity = 13 then 'n/a' else cast(l_quantity as string) end qty""" + FROM_ALL
+    case when l_quantity = 13 then 'n/a' when l_quantity = 14 then '14d' when l_quantity = 15 then 'inf'
+         else cast(l_quantity as string) end qty""" + FROM_ALL
 
 ORDERS = """
   select cast(o_orderdate as date) order_date, c_mktsegment sendercode, r_name wh, p_brand sku,
@@ -130,6 +131,64 @@ REQUESTS = """
   from {customer} where c_mktsegment <> 'BUILDING'
   union all select distinct concat(c_mktsegment, '?'), null from {customer}"""
 
+# what the numbers of a stored model follow from: two counts per series of the raw rows, and the version
+MODEL_BASE = """
+  select c_mktsegment customer_code, r_name warehousecode, p_brand Shop_SKU,
+    cast(count(*) as int) n, cast(sum(l_linenumber) as int) k""" + FROM_ALL + " group by c_mktsegment, r_name, p_brand"
+
+MODEL_VERSIONS = f"""
+  select customer_code, warehousecode, Shop_SKU, n, k, 0 v, n m from ({MODEL_BASE}) a
+  union all select customer_code, warehousecode, Shop_SKU, n, k, 1 v, n + 3 m from ({MODEL_BASE}) b"""
+
+
+def _over(value: str, divisor: int) -> str:
+    return f"({value}) / cast({divisor} as double)"
+
+
+#: every number of a document as an expression of n, k, m; both engines evaluate them
+MODEL_NUMBERS = {
+    "span_days": "cast(600 + m % 9 as double)",
+    "y_scale": "cast(20 + m % 30 as double)",
+    "slope": _over("m % 7", 10),
+    "level": _over("k % 5", 10) + " + " + _over("30137294871531", 100000000000000),
+    "bend_1": _over("m % 3", 10),
+    "bend_2": _over("0 - k % 4", 10),
+    "lag_coef": _over("m % 4", 40),
+    "lag_last": "cast(k % 11 as double)",
+    "sigma": _over("1 + m % 6", 60),
+    "holiday_1": _over("k % 9", 30),
+    "holiday_2": _over("m % 8", 40),
+}
+MODEL_WEEK = [_over(f"{i} * (m % 5)", 50) + " - 0.1" for i in range(7)]
+MODEL_YEAR = [_over(f"({i} * k) % 7", 70) + " - 0.04" for i in range(20)]
+
+MODEL_STORE = f"""
+  with documents as (
+    select *, to_json(named_struct(
+      'mode', case when m % 2 = 0 then 'additive' else 'multiplicative' end,
+      'first_ds', cast(date_add(date '2000-01-01', m % 50) as string),
+      'last_ds', cast(date_sub(date '2001-10-31', k % 3) as string),
+      'span_days', {MODEL_NUMBERS["span_days"]}, 'y_scale', {MODEL_NUMBERS["y_scale"]},
+      'slope', {MODEL_NUMBERS["slope"]}, 'level', {MODEL_NUMBERS["level"]},
+      'change_at', array(0.25D, 0.5D), 'change_by', array({MODEL_NUMBERS["bend_1"]}, {MODEL_NUMBERS["bend_2"]}),
+      'weekly', case when k % 6 = 0 then cast(array() as array<double>) else array({", ".join(MODEL_WEEK)}) end,
+      'yearly', case when n % 4 = 0 then array({", ".join(MODEL_YEAR)}) else cast(array() as array<double>) end,
+      'holiday_effect', map(cast(date_add(date '2001-11-01', m % 14) as string), {MODEL_NUMBERS["holiday_1"]},
+        cast(date_add(date '2001-10-01', m % 9) as string), {MODEL_NUMBERS["holiday_2"]}),
+      'regressors', array(
+        named_struct('name', 'y_lag1', 'coef', {MODEL_NUMBERS["lag_coef"]}, 'center', 3D, 'scale', 2D, 'last', {MODEL_NUMBERS["lag_last"]}),
+        named_struct('name', 'promo_flag', 'coef', 0.15D, 'center', 0D, 'scale', 1D, 'last', 0D)),
+      'sigma', {MODEL_NUMBERS["sigma"]}, 'n_rows', m, 'daily_seasonality', false)) body
+    from ({MODEL_VERSIONS}) versions)
+  select customer_code, warehousecode, Shop_SKU,
+    concat(customer_code, '/', Shop_SKU, '.json') object_path,
+    case when v = 1 and n % 11 = 0 then substring(body, 1, 20) when v = 1 and n % 11 = 1 then ' \n ' when v = 1 and n % 11 = 2 then '  <html>'
+         when v = 1 and n % 11 = 3 then 'oops' when v = 1 and n % 11 = 4 then '{{{{}}}}' else concat('\n', body) end model_json,
+    date_sub(date '2001-10-31', k % 3) last_ds,
+    case when v = 0 and k % 5 = 0 then timestamp '2001-11-01 18:00:00' when v = 0 and k % 2 = 1 then timestamp '2001-11-01 02:00:00' else timestamp '2001-11-01 14:00:00' end trained_at,
+    concat('run', cast(v as string)) run_id
+  from documents"""
+
 # model documents of all kinds: JSON objects, web pages, prose and blanks
 DOCUMENTS = """
   select cast(event_id as string) id, concat('  ', props) model_json from {events}
@@ -209,6 +268,11 @@ def requests(spark, sf_dir) -> DataFrame:
     return query(spark, sf_dir, REQUESTS)
 
 
+def model_store(spark, sf_dir) -> DataFrame:
+    """Two stored versions of each series' model, both of one day; some of the newer ones are broken."""
+    return query(spark, sf_dir, MODEL_STORE)
+
+
 def documents(spark, sf_dir) -> DataFrame:
     return query(spark, sf_dir, DOCUMENTS)
 

@@ -32,7 +32,7 @@ STEPS: dict[str, str] = {
     "gi_clean": f"""
         select try_cast(gi_date as timestamp)::date ds, trim(customercode) customer_code,
           coalesce(trim(warehouse_code), 'None') warehousecode, trim(sku) Shop_SKU,
-          coalesce(try_cast(qty as double), 0.0) y, cast(null as date) paymentdate
+          case when isfinite(try_cast(qty as double)) then try_cast(qty as double) else 0.0 end y, cast(null as date) paymentdate
         from gi where sku is not null and try_cast(gi_date as timestamp)::date < date '{fx.AS_OF}'""",
     "ol_clean": f"""
         select order_date ds, trim(sendercode) customer_code, coalesce(trim(wh), 'None') warehousecode,
@@ -207,10 +207,52 @@ def _default(name: str) -> str:
     return f"'{value}'" if isinstance(value, str) else str(value).lower()
 
 
+# the request's usable values: an empty list stands for the built-in one, at least one SKU is ranked, the rest does not parse
+_REQUESTED = {
+    "prophet_seasonality_mode": "'additive'", "impact_top_skus_n": "1", "lag_days": "list_value(7, 3)",
+    "rolling_mean_windows": "list_value(3)",
+}
 STEPS["effective"] = "select customer_code, warehousecode, " + ", ".join(
-    {"prophet_seasonality_mode": "'additive'", "impact_top_skus_n": "12"}.get(n, f"coalesce({n}, {_default(n)})") + f" {n}"
-    for n in _NAMES
+    _REQUESTED.get(n, f"coalesce({n}, {_default(n)})") + f" {n}" for n in _NAMES
 ) + " from found"
+
+# the newest version of each stored model, with its numbers
+_BROKEN = "case n % 11 when 0 then 'broken json' when 1 then 'empty' when 2 then 'html' when 3 then 'not json' when 4 then 'incomplete' else 'ok' end"
+STEPS["versions"] = _input(fx.MODEL_VERSIONS)
+STEPS["models"] = (
+    f"select *, concat('run', v) run_id, case when v = 1 then {_BROKEN} else 'ok' end state, "
+    "date '2000-01-01' + m % 50 first_ds, date '2001-10-31' - k % 3 last_ds, "
+    + ", ".join(f"{text} {name}" for name, text in fx.MODEL_NUMBERS.items())
+    + " from versions where v = case when k % 5 = 0 then 0 else 1 end"
+)
+_ANGLE = "((ds - date '1970-01-01') * (2 * pi() / 365.25))"
+_YEARLY = " + ".join(
+    f"(({fx.MODEL_YEAR[2 * i - 2]}) * sin({_ANGLE} * {i}) + ({fx.MODEL_YEAR[2 * i - 1]}) * cos({_ANGLE} * {i}))" for i in range(1, 11)
+)
+
+
+def _predicted(first: str, lag: str) -> str:
+    """The published formula over the days from `first` to 14 days after the training data."""
+    return f"""
+    select ds, {SERIES}, promo_flag, z.y_scale * case when m % 2 = 0 then trend + effect else trend * (1 + effect) end yhat,
+      1.2815515655446004 * z.sigma * z.y_scale margin
+    from (select x.*,
+        level + slope * t + bend_1 * greatest(t - 0.25, 0) + bend_2 * greatest(t - 0.5, 0) trend,
+        case when k % 6 = 0 then 0 else list_extract(list_value({", ".join(fx.MODEL_WEEK)}), isodow(ds)::int) end
+          + case when n % 4 = 0 then {_YEARLY} else 0 end
+          + case when ds = date '2001-11-01' + m % 14 then holiday_1 when ds = date '2001-10-01' + m % 9 then holiday_2 else 0 end
+          + lag_coef * ({lag} - 3) / 2 + 0.15 * promo_flag effect
+      from (select d.*, coalesce(c.promo_flag, 0) promo_flag, (d.ds - first_ds) / span_days t
+        from (select *, unnest(generate_series({first}::timestamp, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
+          from models where state = 'ok') d
+        left join campaign c on c.ds = d.ds and c.Shop_SKU = d.Shop_SKU) x) z"""
+
+
+STEPS["predicted"] = _predicted("first_ds", "lag_last")
+STEPS["scored"] = _predicted("(last_ds + 1)", "0")
+_SCORED_COUNTS = f"""select ds, {SERIES}, round_even(greatest(yhat, 0), 0)::bigint yhat, round_even(greatest(yhat - margin, 0), 0)::bigint yhat_lower,
+    round_even(greatest(yhat + margin, 0), 0)::bigint yhat_upper, promo_flag from scored"""
+_LISTED = "('Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#99')"
 STEPS["effective_db"] = "select customer_code, warehousecode, " + ", ".join(
     f"coalesce({n}, {_default(n)}) {n}" for n in _NAMES
 ) + " from found"
@@ -249,10 +291,36 @@ _BOUNDS = """
     select mean, min(case when cdf >= 0.025 then k end) yhat_lower, min(case when cdf >= 0.975 then k end) yhat_upper
     from cdfs group by mean"""
 
+
+def _job_steps(route: str) -> tuple[tuple[str, str], ...]:
+    """Rows of a training run: exact draws of the series that are not routed to a model, days alone of the others."""
+    return (
+        ("chosen", route),
+        ("lead", f"""select {SERIES}, greatest(list_max(coalesce(lag_days, list_value(1, 7))),
+            list_max(coalesce(rolling_mean_windows, list_value(3)))) n from keys join found_for_demand using (customer_code, warehousecode)"""),
+        ("drawn_spans", f"select s.* from spans s left join chosen c using ({SERIES}) where c.Shop_SKU is null"),
+        ("tables", "select mean, min(k) first_k, list(cdf order by k) cdf from (" + _poisson_table("select distinct rate as mean from spans") + ") group by mean"),
+        ("days", f"""select {SERIES}, rate, unnest(generate_series(first_ds::timestamp, last_ds::timestamp + interval 14 day, interval 1 day))::date ds from drawn_spans"""),
+        ("draws", f"""select ds, {SERIES}, case when rate > 0 then first_k + len(list_filter(cdf, lambda c: c < u)) else 0 end::bigint yhat
+            from (select *, cast(concat('0x', substr(md5(concat_ws('|', {SERIES}, ds, '42')), 1, 8)) as bigint) / 4294967296.0::double u from days)
+            left join tables on tables.mean = rate"""),
+        ("cdfs", _poisson_table("select distinct yhat::double as mean from draws")),
+        ("bounds", _BOUNDS),
+        ("job_rows", f"""
+            select ds, {SERIES}, yhat, coalesce(yhat_lower, 0)::bigint yhat_lower, coalesce(yhat_upper, 0)::bigint yhat_upper, 'poisson' as method
+            from draws left join bounds on bounds.mean = draws.yhat
+            union all
+            select unnest(generate_series(first_ds::timestamp + to_days(n::int), last_ds::timestamp + interval 14 day, interval 1 day))::date ds,
+              {SERIES}, null, null, null, 'structural' from spans join chosen using ({SERIES}) join lead using ({SERIES})"""),
+    )
+
+
 _SHAPED = f"""
     select case when yhat >= 0 then ds end::timestamp ds, customer_code customercode, warehousecode, Shop_SKU,
       trunc(yhat)::bigint yhat from forecast"""
 
+_JOB_ROUTE = f"""select {SERIES} from pareto union select {SERIES} from keys join found_for_demand using (customer_code, warehousecode)
+    where Shop_SKU in (select Shop_SKU from campaign) and coalesce(use_promotions, true)"""
 _SETTINGS_ROUTE = f"select {SERIES} from pareto union select {SERIES} from keys where Shop_SKU in (select Shop_SKU from campaign)"
 
 ORACLES: dict[str, str] = {
@@ -298,6 +366,10 @@ ORACLES: dict[str, str] = {
         from holidays cross join effective_db e
         where (holiday = 'doubleday_peak' and use_doubleday_peak) or (holiday = 'holiday' and use_public_holiday)
           or (holiday = 'midmonth_dates' and use_midmonth_dates) or (holiday = 'payday_dates' and use_payday_dates)"""),
+    "impact_dates_request": _sql(f"""select distinct customer_code, warehousecode, ds from (
+        select t.*, rank, (y - case when count(*) over w = 7 then avg(y) over w end) / nullif(stddev_samp(y) over w, 0) z
+        from train t join ranked using ({SERIES}) window w as (partition by {SERIES} order by ds rows between 6 preceding and current row))
+        where rank <= 30 and abs(z) > 2.25"""),
     "holidays_with_impact": _sql("""select * from holidays where holiday in ('doubleday_peak', 'midmonth_dates', 'payday_dates')
         union select 'impact_dates', ds, 0, 1 from impact"""),
     "holiday_features": _sql("""select distinct concat(holiday, case when k < 0 then '_minus_' else '_plus_' end, abs(k)) feature,
@@ -309,6 +381,15 @@ ORACLES: dict[str, str] = {
     "promo_master": _sql("select * replace (round(discount_amount, 6) as discount_amount) from master"),
     "promo_master_valid": _sql("select * from valid"),
     "promo_daily": _sql("select * from promo"),
+    "promo_daily_by_customer": _sql(
+        """select distinct unnest(generate_series(start_date::timestamp, end_date::timestamp, interval 1 day))::date ds,
+          customer_code, Shop_SKU, 1 promo_flag from own_ranges""",
+        ("own_ranges", """
+        select distinct customer_code, start_date, end_date, sku_code Shop_SKU from valid where apply_mode <> 'ALL' and sku_code is not null
+        union all
+        select distinct v.customer_code, v.start_date, v.end_date, k.Shop_SKU from valid v
+          join (select distinct customer_code, Shop_SKU from keys) k using (customer_code) where apply_mode = 'ALL'"""),
+    ),
     "promo_holidays": _sql("select 'promotion' holiday, ds, -1 lower_window, 2 upper_window, Shop_SKU from promo"),
     "promo_skus": _sql("""select distinct sku_code Shop_SKU from promo_lines where sku_code is not null"""),
     "promo_worklist": _sql(f"select distinct '{fx.SPECIAL}' customer_code, sku_code Shop_SKU, 14 periods from promo_lines where sku_code is not null"),
@@ -389,12 +470,14 @@ ORACLES: dict[str, str] = {
     "model_paths": r"""select distinct url sku, case when page_id > 100 then concat('wh ', page_id) end warehouse,
         concat('c_1/', case when page_id > 100 then concat('wh_', page_id) else 'prophet' end, '/',
           regexp_replace(url, '[^\p{L}\p{N}_.\-]', '_', 'g'), '.json') object_path from pages""",
-    "model_validation": r"""select id, case when model_json = '' then 'empty'
+    "model_validation": r"""select id, case when regexp_replace(model_json, '^\s+', '') = '' then 'empty'
           when regexp_replace(model_json, '^\s+', '') like '<%' then 'html'
-          when regexp_replace(model_json, '^\s+', '') like '{%' then 'ok' else 'not json' end state
+          when regexp_replace(model_json, '^\s+', '') not like '{%' then 'not json'
+          when json_valid(model_json) then 'incomplete' else 'broken json' end state
         from (""" + _input(fx.DOCUMENTS) + ")",
     "structural_fit": _sql(f"""select {SERIES}, cast(null as varchar) error, 'multiplicative' as mode, cast(min(ds) + 7 as varchar) first_ds,
-        cast(max(ds) as varchar) last_ds, (count(*) - 7)::int n_rows, true has_sigma, 7 n_weekly, 4 n_regressors, 25 n_changepoints
+        cast(max(ds) as varchar) last_ds, (count(*) - 7)::int n_rows, true has_sigma, 7 n_weekly, 4 n_regressors, 25 n_changepoints,
+        true at_minimum
         from demand join pareto using ({SERIES}) group by all"""),
     "structural_frame": _sql(f"""select f.ds, {SERIES}, coalesce(promo_flag, 0) promo_flag, true in_order from (
           select {SERIES}, unnest(generate_series(first_ds::timestamp + interval 7 day, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
@@ -405,9 +488,32 @@ ORACLES: dict[str, str] = {
     "score_frame": _sql(f"""select f.ds, {SERIES}, coalesce(promo_flag, 0) promo_flag, true is_count from (
           select {SERIES}, unnest(generate_series(last_ds::timestamp + interval 1 day, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
           from spans join pareto using ({SERIES})) f left join campaign using (ds, Shop_SKU)"""),
-    "score_status": _sql("""select Shop_SKU, cast(coalesce(n, 0) as bigint) n_models, case when n is null then 'missing model' else 'ok' end status
-    from (select unnest(list_value('Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#99')) Shop_SKU)
-    left join (select Shop_SKU, count(*) n from pareto group by all) using (Shop_SKU)"""),
+    "model_export": _sql(f"""select {SERIES}, last_ds, '{fx.AS_OF} 06:30:00' trained_at, 'nightly' run_id, 'ok' state, (n_rows - 7)::int n_rows,
+        concat(customer_code, '/', replace(warehousecode, ' ', '_'), '/', replace(Shop_SKU, '#', '_'), '.json') object_path
+        from spans join pareto using ({SERIES}) join (select {SERIES}, count(*) n_rows from demand group by all) using ({SERIES})"""),
+    "newest_models": _sql(f"""select {SERIES}, concat(customer_code, '/', Shop_SKU, '.json') object_path, last_ds, run_id,
+        case when state = 'ok' then m end n_rows from models"""),
+    "model_rejects": _sql(f"""select {SERIES}, concat(customer_code, '/', Shop_SKU, '.json') object_path, run_id, state reason
+        from models where state <> 'ok'"""),
+    "structural_forecast": _sql(f"""select ds, {SERIES}, round(yhat, 6) yhat, round(yhat - margin, 6) yhat_lower, round(yhat + margin, 6) yhat_upper,
+        promo_flag from predicted"""),
+    "score_models": _sql(_SCORED_COUNTS),
+    "score_promos": _sql(_SCORED_COUNTS + f" where Shop_SKU in {_LISTED}"),
+    "score_status": _sql(f"""select m.customer_code, m.warehousecode, s.Shop_SKU, coalesce(state, 'missing model') status
+        from (select unnest(list_value{_LISTED}) Shop_SKU) s left join models m on m.Shop_SKU = s.Shop_SKU"""),
+    "hybrid_forecast": _sql(
+        f"""select r.ds, r.customer_code, r.warehousecode, r.Shop_SKU, yhat, yhat_lower, yhat_upper, method,
+          case when coalesce(use_promotions, true) then coalesce(c.promo_flag, 0) else 0 end promo_flag,
+          case when r.ds <= latest_date then 'past' else 'future' end segment
+        from job_rows r join latest using (customer_code, warehousecode) join found_for_demand using (customer_code, warehousecode)
+        left join campaign c on c.ds = r.ds and c.Shop_SKU = r.Shop_SKU""", *_job_steps(_JOB_ROUTE)),
+    "train_forecast": _sql(
+        """select ds::timestamp ds, customer_code customercode, warehousecode, Shop_SKU, yhat, true is_count
+        from job_rows join latest using (customer_code, warehousecode) where ds > latest_date""", *_job_steps(_JOB_ROUTE)),
+    "customer_forecast": _sql(
+        f"""select ds, {SERIES}, method, yhat from job_rows join latest using (customer_code, warehousecode)
+        where ds > latest_date and customer_code = 'FURNITURE' and warehousecode in ('ASIA', 'EUROPE')""",
+        *_job_steps(f"select {SERIES} from pareto")),
     "hybrid_coverage": _sql(f"""select {SERIES}, cast(14 as bigint) future_days, max(ds) + 14 last_ds, 1 all_non_negative, 1 bounds_in_order,
         cast(max(case when coalesce(use_promotions, true) then coalesce(n, 0) else 0 end) as bigint) promo_days
         from demand join found_for_demand using (customer_code, warehousecode)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from catalog import fixtures as fx
 from stockcast import PAIR, SERIES, schemas
 from stockcast.operators import calendar, clean, config, demand, features, impact, poisson, post, promo, routing, scope, structural
 from stockcast.plans import scoring as score, training as train
-from stockcast.session import materialize
+from stockcast.session import materialize, run_folder
 from stockcast.sources import stores, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,8 +184,12 @@ def top_skus(spark, sf):
 
 
 def _train_and_top(spark, sf, n):
+    """The top series with their pair's last day, and their demand before it: no other series' rows are cut."""
     rows = stored_demand(spark, sf)
-    return demand.train_split(rows), impact.top_series(_volumes(rows), n)
+    stats = materialize(demand.series_stats(rows))
+    series = materialize(demand.train_volume(stats.join(demand.series_latest(stats), SERIES)).select(*SERIES, "volume", "latest_date"))
+    top = impact.top_series(series, n)
+    return demand.train_split(rows, top), top
 
 
 @register
@@ -197,6 +202,14 @@ def impact_dates(spark, sf):
     return impact.impact_dates(*_train_and_top(spark, sf, 30))
 
 
+@register
+def impact_dates_request(spark, sf):
+    """Impact dates by the rules of a request, of which some entries are unusable."""
+    given = [{"window": 7, "threshold": 2.25}, {"window": 0, "threshold": 1}, {"window": "x", "threshold": 1}, {"threshold": 2}, None]
+    rules = config.flatten_override({"advanced": {"impact_dates": {"zscore_rules": given}}})["zscore_rules"]
+    return impact.impact_dates(*_train_and_top(spark, sf, 30), rules)
+
+
 @register
 def pareto_skus(spark, sf):
     return routing.pareto_series(_volumes(stored_demand(spark, sf)))
@@ -261,6 +274,12 @@ def promo_daily(spark, sf):
     return promo.promo_daily(valid, fx.cleaned(spark, sf))
 
 
+@register
+def promo_daily_by_customer(spark, sf):
+    valid = promo.promo_master_valid(promo.promo_master(fx.promotions(spark, sf)))
+    return promo.promo_daily(valid, fx.cleaned(spark, sf), by_customer=True)
+
+
 @register
 def promo_holidays(spark, sf):
     return calendar.promo_holidays(promo_daily(spark, sf), {"lower_window": -1, "upper_window": 2})
@@ -336,7 +355,11 @@ def config_lookup(spark, sf):
 @register
 def config_effective(spark, sf):
     found = config.lookup_config(_config_pairs(spark, sf), fx.config(spark, sf))
-    request = {"prophet": {"seasonality_mode": "additive"}, "advanced": {"impact_dates": {"top_skus_n": 12}}}
+    request = {
+        "prophet": {"seasonality_mode": "additive", "changepoint_range": "12d"},
+        "lag_features": {"lag_days": [7, -1, "x", 7, 3], "rolling_mean_windows": []},
+        "advanced": {"impact_dates": {"top_skus_n": 0, "cv_bands": ["0.1", "high"]}},
+    }
     return lists_as_text(config.effective_config(found, config.flatten_override(request)))
 
 
@@ -502,65 +525,98 @@ def _fitted(spark, sf):
 def structural_fit(spark, sf):
     model = F.from_json("model_json", schemas.MODEL_BODY)
     fitted = _fitted(spark, sf).withColumn("model", model)
+    slope = F.get_json_object("model_json", "$.gradient").cast("double")
     return fitted.select(
         *SERIES, "error", "model.mode", "model.first_ds", "model.last_ds", "model.n_rows",
         (F.col("model.sigma") >= 0).alias("has_sigma"), F.size("model.weekly").alias("n_weekly"),
         F.size("model.regressors").alias("n_regressors"), F.size("model.change_at").alias("n_changepoints"),
+        (slope < 1e-3).alias("at_minimum"),
     )
 
 
 @register
-def structural_forecast(spark, sf):
-    return rounded(structural.predict(structural.parse_models(_fitted(spark, sf)), 14, campaign_daily(spark)))
+def structural_frame(spark, sf):
+    """Days, promotion flags and order of the bounds of the forecast of fitted models."""
+    rows = structural.predict(structural.parse_models(_fitted(spark, sf)), 14, campaign_daily(spark))
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return rows.select("ds", *SERIES, "promo_flag", ordered.alias("in_order"))
+
+
+@register
+def model_index(spark, sf):
+    return stores.model_rows(_fitted(spark, sf), fx.AS_OF).select(*SERIES, "object_path", "last_ds")
 
 
 @register
 def model_export(spark, sf):
-    return stores.model_rows(_fitted(spark, sf), fx.AS_OF)
+    """What the store gets from a run: paths, marks and the documents' state and size."""
+    rows = stores.check_documents(stores.model_rows(_fitted(spark, sf), fx.AS_OF + " 06:30:00", "nightly"))
+    n_rows = F.get_json_object("model_json", "$.n_rows").cast("int")
+    return rows.select(*SERIES, "object_path", "last_ds", F.col("trained_at").cast("string").alias("trained_at"), "run_id", "state", n_rows.alias("n_rows"))
+
+
+# --- stored models: documents whose numbers follow from the tables, so that SQL can evaluate them
+
+
+def _stored_models(spark, sf) -> DataFrame:
+    return stores.newest_models(fx.model_store(spark, sf))
 
 
 @register
-def score_models(spark, sf):
-    models = stores.model_rows(_fitted(spark, sf), fx.AS_OF)
-    return score.score_models(stores.usable_models(models), campaign_daily(spark))
+def newest_models(spark, sf):
+    """Two versions of one day: the later moment wins, or the later run id."""
+    n_rows = F.get_json_object("model_json", "$.n_rows").cast("int")
+    return _stored_models(spark, sf).select(*SERIES, "object_path", "last_ds", "run_id", n_rows.alias("n_rows"))
 
 
 @register
-def structural_frame(spark, sf):
-    """Days, promotion flags and order of the bounds of the structural forecast."""
-    rows = structural.predict(structural.parse_models(_fitted(spark, sf)), 14, campaign_daily(spark))
-    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
-    return rows.select("ds", *SERIES, "promo_flag", ordered.alias("in_order"))
+def model_rejects(spark, sf):
+    return stores.split_models(_stored_models(spark, sf))[1].select(*SERIES, "object_path", "run_id", "reason")
 
 
 @register
-def model_index(spark, sf):
-    return stores.model_rows(_fitted(spark, sf), fx.AS_OF).select(*SERIES, "object_path", "last_ds")
+def structural_forecast(spark, sf):
+    good, _ = stores.split_models(_stored_models(spark, sf))
+    return rounded(structural.predict(structural.parse_models(good), 14, campaign_daily(spark)))
+
+
+@register
+def score_models(spark, sf):
+    good, _ = stores.split_models(_stored_models(spark, sf))
+    return score.score_models(good, campaign_daily(spark))
 
 
 @register
 def score_frame(spark, sf):
-    """Days and promotion flags of the scored models; every value is a count."""
-    rows = score_models(spark, sf)
+    """Days and promotion flags of the scored fits; every value is a count."""
+    models = stores.model_rows(_fitted(spark, sf), fx.AS_OF)
+    rows = score.score_models(stores.usable_models(models), campaign_daily(spark))
     return rows.select("ds", *SERIES, "promo_flag", (F.col("yhat") >= 0).alias("is_count"))
 
 
 @register
 def score_promos(spark, sf):
-    models = stores.model_rows(_fitted(spark, sf), fx.AS_OF)
-    return score.score_promotions(models, fx.campaign(spark))[0]
+    return score.score_promotions(_stored_models(spark, sf), fx.campaign(spark))[0]
 
 
 @register
 def score_status(spark, sf):
-    models = stores.model_rows(_fitted(spark, sf), fx.AS_OF)
-    return score.score_promotions(models, fx.campaign(spark))[1]
+    return score.score_promotions(_stored_models(spark, sf), fx.campaign(spark))[1]
+
+
+# --- jobs: rows of drawn series are exact; of modelled series, whose fit SQL cannot do, all but the values
+
+
+def _method(run) -> DataFrame:
+    return run.model_series.select(*SERIES, F.lit("structural").alias("method")).distinct()
 
 
 @register
 def hybrid_forecast(spark, sf):
     run = _train(spark, sf)
-    return run.forecast.select("ds", *SERIES, *post.VALUES, "promo_flag")
+    rows = run.forecast.join(_method(run), SERIES, "left").withColumn("method", F.coalesce("method", F.lit("poisson")))
+    drawn = {c: F.when(F.col("method") == "poisson", F.col(c)) for c in post.VALUES}
+    return rows.withColumns(drawn).select("ds", *SERIES, *post.VALUES, "promo_flag", "method", "segment")
 
 
 @register
@@ -579,7 +635,11 @@ def hybrid_coverage(spark, sf):
 @register
 def train_forecast(spark, sf):
     """Published rows of a whole training run over all pairs."""
-    return train.publish_rows(_train(spark, sf))
+    run = _train(spark, sf)
+    keys = _method(run).withColumnRenamed("customer_code", "customercode")
+    rows = train.publish_rows(run).join(keys, ["customercode", "warehousecode", "Shop_SKU"], "left")
+    return rows.select("ds", "customercode", "warehousecode", "Shop_SKU", F.when(F.col("method").isNull(), F.col("yhat")).alias("yhat"),
+                       (F.col("yhat") >= 0).alias("is_count"))
 
 
 @register
@@ -598,3 +658,15 @@ def promo_retrain_status(spark, sf):
         own, fx.holidays(spark, sf), as_of=fx.AS_OF, promotions=fx.campaign(spark), only_skus=skus
     )
     return train.retrain_status(fx.campaign(spark), fx.SPECIAL, 14, run.fitted)
+
+
+@register
+def customer_forecast(spark, sf):
+    """One customer's listed warehouses through the whole job, models stored: the drawn series' future rows and the count of all."""
+    path = f"{run_folder(spark)}/models-{uuid.uuid4()}"
+    future = train.train_customer(
+        stored_demand(spark, sf), fx.holidays(spark, sf), "FURNITURE", path, as_of=fx.AS_OF, warehouses=["ASIA", "EUROPE", "NOWHERE"],
+    )[1]
+    modelled = stores.read_models(spark, path).select(*SERIES, F.lit("structural").alias("method"))
+    rows = future.join(modelled, SERIES, "left").withColumn("method", F.coalesce("method", F.lit("poisson")))
+    return rows.select("ds", *SERIES, "method", F.when(F.col("method") == "poisson", F.col("yhat")).alias("yhat"))

@@ -17,14 +17,32 @@ def key_text(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit(NONE_TEXT))
 
 
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_YEAR_FIRST = r"^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}.*)?)?$"
+
+
+def _reads_as(c: Column, pattern: str) -> Column:
+    """True for text of the pattern and for every value that is no text."""
+    return (F.typeof(c) != "string") | strip(c).rlike(pattern)
+
+
 def day(c: Column) -> Column:
-    """Day of a date, timestamp or text column; null if the text is not a date."""
-    return c.try_cast("timestamp").cast("date")
+    """Day of a date, timestamp or text column; null if the text is not a date that begins with its year.
+
+    A bare time would otherwise count as today.
+    """
+    return F.when(_reads_as(c, _YEAR_FIRST), c.try_cast("timestamp").cast("date"))
+
+
+def plain_number(c: Column) -> Column:
+    """Double value; null for text that is no plain number (such as 12d) and for what is not finite."""
+    value = F.when(_reads_as(c, _NUMBER), c.try_cast("double"))
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
 def number(c: Column) -> Column:
-    """Double value; bad text, null and NaN become 0."""
-    return F.coalesce(F.nanvl(c.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    """Double value; bad text, null, NaN and infinities become 0."""
+    return F.coalesce(plain_number(c), F.lit(0.0))
 
 
 def half_even(c: Column) -> Column:
@@ -39,8 +57,7 @@ def non_negative_int(c: Column) -> Column:
 
 def truncated_int(c: Column) -> Column:
     """Integer part; what is not a finite number becomes 0."""
-    value = number(c)
-    return F.when(F.abs(value) == float("inf"), 0.0).otherwise(value).cast("bigint")
+    return number(c).cast("bigint")
 
 
 def safe_key(c: Column) -> Column:

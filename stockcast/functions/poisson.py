@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -14,24 +15,33 @@ _BOUNDS = T.StructType().add("yhat_lower", T.LongType()).add("yhat_upper", T.Lon
 _DRAW = T.StructType([T.StructField("yhat", T.LongType()), *_BOUNDS.fields])
 
 
+#: above this mean the quantile comes from the normal law with its first correction, whose error is far below one count
+#: per standard deviation there; below it the table of probabilities holds at most 24 * sqrt(LARGE_MEAN) + 40 numbers
+LARGE_MEAN = 1e8
+
+
 def _cumulative(mean: float) -> tuple[int, np.ndarray]:
-    """First count with weight and the running probabilities from there on.
+    """First count with weight and the running probabilities from there on, which end at 1.
 
-    Twelve standard deviations to either side hold all the mass a 32-bit uniform can hit, so the
-    array grows with the square root of the mean, never with the number of rows.
+    Twelve standard deviations to either side hold all the mass a 32-bit uniform can hit.
     """
     reach = 12.0 * math.sqrt(mean)
     low = max(0, math.floor(mean - reach - 10))
     counts = np.arange(low + 1, math.ceil(mean + reach + 30) + 1, dtype=float)
     start = low * math.log(mean) - mean - math.lgamma(low + 1)
     logs = start + np.concatenate(([0.0], np.cumsum(np.log(mean) - np.log(counts))))
-    return low, np.cumsum(np.exp(logs))
+    running = np.cumsum(np.exp(logs))
+    return low, running / running[-1]
 
 
 def quantile(mean: float, probability) -> np.ndarray:
     """Smallest count whose running probability reaches `probability`; 0 for a mean of 0."""
     if not mean > 0:
         return np.zeros(np.shape(probability), dtype=np.int64)
+    if mean > LARGE_MEAN:
+        inside = np.clip(np.asarray(probability, float), 1e-12, 1 - 1e-12)
+        z = np.vectorize(NormalDist().inv_cdf, otypes=[float])(inside)
+        return np.maximum(np.ceil(mean + z * math.sqrt(mean) + (z * z - 1) / 6 - 0.5), 0).astype(np.int64)
     low, running = _cumulative(float(mean))
     return low + np.searchsorted(running, probability, side="left")
 

@@ -15,7 +15,8 @@ WEEKLY_ORDER, YEARLY_ORDER = 3, 10
 WEEK, YEAR = 7.0, 365.25
 YEARLY_MIN_DAYS = 730
 TREND_PRIOR, HOLIDAY_PRIOR, REGRESSOR_PRIOR = 5.0, 10.0, 10.0
-_ROUNDS = 12
+#: rounds of the alternation at most; a document says how many it took and whether it settled before
+ROUNDS = 200
 
 
 def fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
@@ -44,13 +45,15 @@ def _solve(design, target, penalty):
     return np.linalg.solve(gram, design.T @ target)
 
 
-def _estimate(trend, effects, y, trend_prior, effect_prior, multiplicative):
+def _estimate(trend, effects, y, trend_prior, effect_prior, multiplicative, max_rounds=ROUNDS):
     """Alternate between the trend and the effects until neither moves."""
     noise = max(float(np.var(y)), 1e-8)
     beta = np.zeros(effects.shape[1])
     theta = _solve(trend, y, noise / trend_prior**2)
-    for _ in range(_ROUNDS):
-        level = trend @ theta
+    settled, rounds = False, 0
+    while not settled and rounds < max_rounds:
+        rounds += 1
+        level, used = trend @ theta, noise
         if multiplicative:
             beta_new = _solve(level[:, None] * effects, y - level, noise / effect_prior**2)
             factor = 1.0 + effects @ beta_new
@@ -65,9 +68,14 @@ def _estimate(trend, effects, y, trend_prior, effect_prior, multiplicative):
         noise = max(float(np.mean((y - fitted) ** 2)), 1e-8)
         settled = np.allclose(beta, beta_new, rtol=1e-4, atol=1e-6)
         beta = beta_new
-        if settled:
-            break
-    return theta, beta, float(np.sqrt(noise))
+    # slope of the penalised sum at the result, with the last penalties, per unit of the largest column
+    factor = (1.0 + effects @ beta) if multiplicative else np.ones(len(y))
+    level = trend @ theta if multiplicative else np.ones(len(y))
+    rest = y - (trend @ theta) * factor if multiplicative else y - trend @ theta - effects @ beta
+    by_trend = (factor[:, None] * trend).T @ rest - used / trend_prior**2 * theta
+    by_effect = (level[:, None] * effects).T @ rest - used / effect_prior**2 * beta
+    gradient = float(max(np.abs(by_trend).max(initial=0.0), np.abs(by_effect).max(initial=0.0)) / len(y))
+    return theta, beta, float(np.sqrt(noise)), rounds, bool(settled), gradient
 
 
 def _iso(day) -> str:
@@ -128,7 +136,7 @@ def fit_series(days, y, promo_days, features, settings) -> dict:
         priors.append(REGRESSOR_PRIOR)
 
     mode = str(settings["prophet_seasonality_mode"])
-    theta, beta, sigma = _estimate(
+    theta, beta, sigma, rounds, converged, gradient = _estimate(
         trend, np.hstack(blocks), scaled, trend_prior, np.array(priors), mode == "multiplicative"
     )
 
@@ -160,4 +168,7 @@ def fit_series(days, y, promo_days, features, settings) -> dict:
         "sigma": sigma,
         "n_rows": n,
         "daily_seasonality": bool(settings["prophet_daily_seasonality"]),
+        "rounds": rounds,
+        "converged": converged,
+        "gradient": gradient,
     }

@@ -10,6 +10,7 @@ from stockcast.functions.columns import day
 from stockcast.settings import DEFAULT_SETTINGS, HOLIDAY_TOGGLES
 
 HOLIDAY_COLUMNS = ["holiday", "ds", "lower_window", "upper_window"]
+_ENTRIES = "array<struct<holiday:string,ds:date,lower_window:int,upper_window:int>>"
 
 
 def base_holidays(source: DataFrame) -> DataFrame:
@@ -43,8 +44,14 @@ def toggle_holidays(holidays: DataFrame, settings: DataFrame | None = None, **fl
         F.when(F.coalesce(flag, F.lit(DEFAULT_SETTINGS[flag])), F.lit(code))
         for code, flag in HOLIDAY_TOGGLES.items()
     ]
-    enabled = settings.select(*PAIR, F.explode(F.array_compact(F.array(*codes))).alias("holiday"))
-    return enabled.join(holidays, "holiday").select(*PAIR, *HOLIDAY_COLUMNS)
+    # the days of the four known codes as one array, which the calendar bounds: no join on so few keys
+    entry = F.struct(*HOLIDAY_COLUMNS)
+    known = holidays.filter(F.col("holiday").isin(list(HOLIDAY_TOGGLES))).agg(F.collect_list(entry)).scalar()
+    enabled = F.array_compact(F.array(*codes))
+    own = settings.withColumns({"_known": F.coalesce(known, F.array().cast(_ENTRIES)), "_on": enabled}).select(
+        *PAIR, F.filter("_known", lambda h: F.array_contains("_on", h["holiday"])).alias("_days")
+    )
+    return own.select(*PAIR, F.inline("_days"))
 
 
 def impact_holidays(dates: DataFrame, lower: int | None = None, upper: int | None = None) -> DataFrame:
@@ -72,7 +79,7 @@ def promo_holidays(promo_daily: DataFrame, windows: dict | None) -> DataFrame:
         "ds",
         F.lit(int(windows.get("lower_window", 0))).alias("lower_window"),
         F.lit(int(windows.get("upper_window", 0))).alias("upper_window"),
-        "Shop_SKU",
+        *[k for k in ("customer_code", "Shop_SKU") if k in promo_daily.columns],
     )
 
 
@@ -84,9 +91,15 @@ def with_impact(holidays: DataFrame, impact: DataFrame) -> DataFrame:
 def series_holidays(keys: DataFrame, pair_holidays: DataFrame, promo: DataFrame) -> DataFrame:
     """All holidays of each series: those of its pair and the promotions of its SKU."""
     wanted = [*keys.columns, *HOLIDAY_COLUMNS]
-    own = keys.join(pair_holidays, [k for k in PAIR if k in pair_holidays.columns])
-    promoted = keys.join(promo, "Shop_SKU")
-    return own.select(*wanted).unionByName(promoted.select(*wanted))
+
+    def laid_out(holidays: DataFrame, on: list[str]) -> DataFrame:
+        """The calendar of a key is one row; it is laid out per series after the join."""
+        days = holidays.groupBy(*on).agg(F.collect_list(F.struct(*HOLIDAY_COLUMNS)).alias("_days"))
+        return keys.join(days, on).select(*keys.columns, F.inline("_days")).select(*wanted)
+
+    return laid_out(pair_holidays, [k for k in PAIR if k in pair_holidays.columns]).unionByName(
+        laid_out(promo, [k for k in ("customer_code", "Shop_SKU") if k in promo.columns])
+    )
 
 
 def holiday_features(holidays: DataFrame) -> DataFrame:

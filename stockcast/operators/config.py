@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast import PAIR
-from stockcast.functions.columns import positive_ints
+from stockcast.functions.columns import plain_number, positive_ints
 from stockcast.schemas import SETTING_TYPES
 from stockcast.settings import DEFAULT_SETTINGS, VOLUME_SHARE, ZSCORE_RULES
 from stockcast.sources.tables import active_config
@@ -37,7 +37,10 @@ _NESTED = {
 
 
 def flatten_override(payload: Mapping | None) -> dict:
-    """Settings named in a nested request document; sections may sit under 'advanced' or on top."""
+    """Settings named in a nested request document; sections may sit under 'advanced' or on top.
+
+    Besides the settings per pair: the request's z-score rules and test days, which hold for the whole run.
+    """
     payload = dict(payload or {})
     sections = {**payload, **dict(payload.get("advanced") or {})}
     flat = {}
@@ -45,9 +48,14 @@ def flatten_override(payload: Mapping | None) -> dict:
         value = (sections.get(section) or {}).get(name)
         if value is not None:
             flat[setting] = value
-    bands = (sections.get("impact_dates") or {}).get("cv_bands") or []
+    impact = sections.get("impact_dates") or {}
+    bands = impact.get("cv_bands") or []
     if len(bands) >= 2:
-        flat["impact_cv_band_low"], flat["impact_cv_band_high"] = float(bands[0]), float(bands[1])
+        flat["impact_cv_band_low"], flat["impact_cv_band_high"] = bands[0], bands[1]
+    if impact.get("zscore_rules") is not None:
+        flat["zscore_rules"] = zscore_rules(impact["zscore_rules"])
+    if (sections.get("execution") or {}).get("test_days") is not None:
+        flat["test_days"] = int(sections["execution"]["test_days"])
     return flat
 
 
@@ -73,13 +81,20 @@ def clamp_share(c: Column) -> Column:
 def coerce_config(raw: DataFrame) -> DataFrame:
     """Settings in their types. What does not parse is null, so a lower level decides."""
 
+    values = coerced({name: F.col(name) for name in SETTING_TYPES if name in raw.columns})
+    others = [c for c in raw.columns if c not in values]
+    return raw.select(*others, *[c.alias(name) for name, c in values.items()])
+
+
+def coerced(raw: Mapping[str, Column]) -> dict[str, Column]:
+    """Every setting in its type, null where it is missing or does not parse."""
+
     def typed(name: str, kind: str) -> Column:
-        if name not in raw.columns:
+        if name not in raw:
             return F.lit(None).cast(kind)
-        c = F.col(name)
         if kind == "ARRAY<INT>":
-            return positive_ints(c)
-        return c.try_cast(kind)
+            return positive_ints(raw[name])
+        return plain_number(raw[name]) if kind == "DOUBLE" else raw[name].try_cast(kind)
 
     values = {name: typed(name, kind) for name, kind in SETTING_TYPES.items()}
     low, high = values["impact_cv_band_low"], values["impact_cv_band_high"]
@@ -88,8 +103,7 @@ def coerce_config(raw: DataFrame) -> DataFrame:
     values["impact_cv_band_high"] = F.when(both, high)
     top = values["impact_top_skus_n"]
     values["impact_top_skus_n"] = F.when(top.isNotNull(), F.greatest(F.lit(1), top))
-    others = [c for c in raw.columns if c not in values]
-    return raw.select(*others, *[c.alias(name) for name, c in values.items()])
+    return values
 
 
 def lookup_config(pairs: DataFrame, config: DataFrame) -> DataFrame:
@@ -129,17 +143,28 @@ def effective_config(found: DataFrame, override: Mapping | None = None) -> DataF
 
 
 def with_defaults(rows: DataFrame, override: Mapping | None = None) -> DataFrame:
-    """Rows with every setting filled in: from the request, the row itself or the built-in value."""
+    """Rows with every setting filled in: from the request, the row itself or the built-in value.
+
+    Request values go through the same checks as the config table's. A list of the request without a usable entry
+    stands for the built-in list.
+    """
     override = dict(override or {})
 
     def literal(value, kind):
         column = F.array(*[F.lit(v) for v in value]) if isinstance(value, list) else F.lit(value)
         return column.cast(kind)
 
+    def text(value):
+        if isinstance(value, (list, tuple)):
+            return F.array(*[F.lit(str(v)) for v in value]).cast("array<string>")
+        return F.lit(str(value))
+
+    request = coerced({name: text(override[name]) for name in SETTING_TYPES if override.get(name) is not None})
+
     def chosen(name, kind):
-        levels = [F.col(name)] if name in rows.columns else []
-        if override.get(name) is not None:
-            levels.insert(0, literal(override[name], kind))
-        return F.coalesce(*levels, literal(DEFAULT_SETTINGS[name], kind))
+        default = literal(DEFAULT_SETTINGS[name], kind)
+        if isinstance(override.get(name), (list, tuple)):
+            return F.coalesce(request[name], default)
+        return F.coalesce(request[name], *([F.col(name)] if name in rows.columns else []), default)
 
     return rows.withColumns({name: chosen(name, kind) for name, kind in SETTING_TYPES.items()})

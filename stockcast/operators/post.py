@@ -54,9 +54,10 @@ def forecast_promo_flag(forecast: DataFrame, promo_daily: DataFrame | None) -> D
     """Forecast rows with the promotion flag of their SKU and day."""
     if promo_daily is None:
         return forecast.withColumn("promo_flag", F.lit(0))
-    flags = promo_daily.select("ds", "Shop_SKU", F.col("promo_flag").alias("_flag"))
+    keys = [k for k in ("ds", "customer_code", "Shop_SKU") if k in promo_daily.columns]
+    flags = promo_daily.select(*keys, F.col("promo_flag").alias("_flag"))
     flag = F.coalesce("_flag", F.lit(0)).cast("int")
-    return forecast.join(flags, ["ds", "Shop_SKU"], "left").select(*forecast.columns, flag.alias("promo_flag"))
+    return forecast.join(flags, keys, "left").select(*forecast.columns, flag.alias("promo_flag"))
 
 
 # Other names a forecast's columns may come with.

@@ -55,31 +55,50 @@ def promo_master_valid(master: DataFrame) -> DataFrame:
     return dated.filter(F.col("end_date") >= F.col("start_date"))
 
 
-def promo_daily(valid: DataFrame, skus: DataFrame | None) -> DataFrame:
-    """Promoted days of each SKU, once each.
+def promo_daily(valid: DataFrame, skus: DataFrame | None, by_customer: bool = False) -> DataFrame:
+    """Promoted days of each SKU, once each; with `by_customer` of each customer's SKU, so that a promotion counts for its
+    own customer only.
 
-    Days of promotions on everything are first gathered into one sorted array, which the calendar
+    Days of promotions on everything are first gathered into one sorted array (per customer), which the calendar
     bounds, and then laid out per SKU: neither the promotions nor a hot SKU multiply.
     """
+    key = ["customer_code"] if by_customer else []
     days = F.explode(F.sequence("start_date", "end_date")).alias("ds")
     listed = (
         valid.filter((F.col("apply_mode") != "ALL") & F.col("sku_code").isNotNull())
-        .select(F.col("sku_code").alias("Shop_SKU"), "start_date", "end_date")
+        .select(*key, F.col("sku_code").alias("Shop_SKU"), "start_date", "end_date")
         .distinct()
-        .select(days, "Shop_SKU")
+        .select(days, *key, "Shop_SKU")
     )
-    whole = valid.filter(F.col("apply_mode") == "ALL").select("start_date", "end_date").distinct()
+    whole = valid.filter(F.col("apply_mode") == "ALL").select(*key, "start_date", "end_date").distinct()
     if skus is None:
         if not whole.isEmpty():
             raise ValueError("a promotion applies to all SKUs, but no SKU list was given")
-        return _flagged(listed)
-    all_days = whole.select(days).agg(F.array_sort(F.collect_set("ds"))).scalar()
-    everything = skus.select("Shop_SKU").distinct().select(F.explode(all_days).alias("ds"), "Shop_SKU")
-    return _flagged(listed.unionByName(everything))
+        return _flagged(listed, key)
+    gathered = F.array_sort(F.collect_set("ds"))
+    own = skus.select(*key, "Shop_SKU").distinct()
+    if by_customer:
+        by_key = whole.select(days, *key).groupBy(*key).agg(gathered.alias("_days"))
+        everything = own.join(by_key, key).select(F.explode("_days").alias("ds"), *key, "Shop_SKU")
+    else:
+        everything = own.select(F.explode(whole.select(days).agg(gathered).scalar()).alias("ds"), "Shop_SKU")
+    return _flagged(listed.unionByName(everything), key)
 
 
-def _flagged(days: DataFrame) -> DataFrame:
-    return days.groupBy("ds", "Shop_SKU").agg(F.max(F.lit(1)).alias("promo_flag"))
+def _flagged(days: DataFrame, key: list[str]) -> DataFrame:
+    return days.groupBy("ds", *key, "Shop_SKU").agg(F.max(F.lit(1)).alias("promo_flag"))
+
+
+def _keys(daily: DataFrame) -> list[str]:
+    """What a promotion's days belong to: the SKU, or the customer's SKU."""
+    return [k for k in ("customer_code", "Shop_SKU") if k in daily.columns]
+
+
+def with_promo_days(rows: DataFrame, daily: DataFrame) -> DataFrame:
+    """Add the promoted days of each row's SKU as one sorted array `_promo`, which the calendar bounds; null without any."""
+    keys = _keys(daily)
+    days = daily.groupBy(*keys).agg(F.array_sort(F.collect_set(F.unix_date("ds"))).alias("_promo"))
+    return rows.join(days, keys, "left")
 
 
 def promo_skus(promotions: DataFrame) -> DataFrame:
@@ -106,8 +125,8 @@ def promo_window(daily: DataFrame) -> DataFrame:
 
 
 def _promoted_rows(forecast: DataFrame, daily: DataFrame) -> DataFrame:
-    skus = daily.filter(F.col("promo_flag") == 1).select("Shop_SKU").distinct()
-    return forecast.join(skus, "Shop_SKU", "left_semi").select(*forecast.columns)
+    skus = daily.filter(F.col("promo_flag") == 1).select(*_keys(daily)).distinct()
+    return forecast.join(skus, _keys(daily), "left_semi").select(*forecast.columns)
 
 
 def promo_inspect(forecast: DataFrame, daily: DataFrame) -> DataFrame:

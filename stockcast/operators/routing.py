@@ -29,8 +29,9 @@ def model_series(pareto: DataFrame, demand_keys: DataFrame, promo_daily: DataFra
     """Series for the structural model: the large ones and every promoted one that has demand."""
     chosen = pareto.select(*SERIES)
     if promo_daily is not None:
-        promoted = promo_daily.select("Shop_SKU").distinct()
-        chosen = chosen.unionByName(demand_keys.select(*SERIES).join(promoted, "Shop_SKU", "left_semi"))
+        keys = [k for k in ("customer_code", "Shop_SKU") if k in promo_daily.columns]
+        promoted = promo_daily.select(*keys).distinct()
+        chosen = chosen.unionByName(demand_keys.select(*SERIES).join(promoted, keys, "left_semi").select(*SERIES))
     return chosen.distinct()
 
 

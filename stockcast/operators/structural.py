@@ -14,6 +14,7 @@ from stockcast import PAIR, SERIES, schemas
 from stockcast.functions.structural_fit import YEAR, YEARLY_ORDER, fit_series
 from stockcast.operators.calendar import holiday_features
 from stockcast.operators.features import future_days
+from stockcast.operators.promo import with_promo_days
 from stockcast.settings import DEFAULT_SETTINGS, HOLIDAY_TOGGLES
 
 Z80 = 1.2815515655446004  # fixed value: the normal quantile of a two-sided 80 % interval
@@ -46,47 +47,48 @@ def series_rows(demand: DataFrame) -> DataFrame:
     )
 
 
-def promo_days(promo_daily: DataFrame) -> DataFrame:
-    """The promoted days of each SKU as one sorted array, which the calendar bounds."""
-    days = F.array_sort(F.collect_set(F.unix_date("ds")))
-    return promo_daily.groupBy("Shop_SKU").agg(days.alias("_promo"))
-
-
 def fit_inputs(
     demand: DataFrame,
     series: DataFrame,
     base_holidays: DataFrame,
     impact_holidays: DataFrame | None = None,
     promo_daily: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Everything the fit of a series needs, in one row.
+    """Everything the fit of a series needs, in one row, spread over `parts` tasks.
 
     `series` has the series to fit with their settings. The pair's impact dates are joined to its
-    light rows; the long value arrays are shuffled once, by series.
+    light rows; the long value arrays are shuffled once, by series. The calendar that all series share is added after
+    the last exchange, so it never travels with them.
     """
-    shared = feature_list(base_holidays, []).select("features").scalar()
-    light = series.select(*SERIES, "use_promotions", *HOLIDAY_TOGGLES.values(), *_FIT_SETTINGS).withColumn("_base", shared)
-    enabled = F.array_compact(F.array(*[F.when(F.col(flag), code) for code, flag in HOLIDAY_TOGGLES.items()]))
-    features = F.filter(
-        F.coalesce("_base", F.array().cast(_FEATURE_LIST)), lambda f: F.array_contains(enabled, f["holiday"])
-    )
+    shared = feature_list(base_holidays.filter(F.col("holiday").isin(list(HOLIDAY_TOGGLES))), []).select("features").scalar()
+    light = series.select(*SERIES, "use_promotions", *HOLIDAY_TOGGLES.values(), *_FIT_SETTINGS)
+    none = F.array().cast(_FEATURE_LIST)
+    impact = none
     if impact_holidays is not None:
         own = feature_list(impact_holidays, PAIR).withColumnRenamed("features", "_impact")
         light = light.join(own, PAIR, "left")
-        features = F.concat(features, F.coalesce("_impact", F.array().cast(_FEATURE_LIST)))
+        impact = F.coalesce("_impact", none)
     promoted = F.array().cast("array<int>")
     if promo_daily is not None:
-        light = light.join(promo_days(promo_daily), "Shop_SKU", "left")
+        light = with_promo_days(light, promo_daily)
         promoted = F.when(F.col("use_promotions") & F.col("_promo").isNotNull(), F.col("_promo")).otherwise(promoted)
-    light = light.withColumn("_features", features).select(
+    light = light.withColumn("promo_days", promoted).drop("_promo")
+    wanted = demand.join(series.select(*SERIES), SERIES, "left_semi")
+    joined = series_rows(wanted).join(light, SERIES)
+    parts = parts or int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = joined.repartition(parts, *SERIES).withColumn("_base", F.coalesce(shared, none))
+    enabled = F.array_compact(F.array(*[F.when(F.col(flag), code) for code, flag in HOLIDAY_TOGGLES.items()]))
+    features = F.concat(F.filter("_base", lambda f: F.array_contains(enabled, f["holiday"])), impact)
+    return spread.withColumn("_features", features).select(
         *SERIES,
-        promoted.alias("promo_days"),
+        "days",
+        "y",
+        "promo_days",
         F.col("_features.feature").alias("feature_names"),
         F.col("_features.days").alias("feature_days"),
         *_FIT_SETTINGS,
     )
-    wanted = demand.join(series.select(*SERIES), SERIES, "left_semi")
-    return series_rows(wanted).join(light, SERIES)
 
 
 def _fit_batches(batches):
@@ -105,13 +107,8 @@ def _fit_batches(batches):
 
 
 def fit_models(inputs: DataFrame) -> DataFrame:
-    """Model document per series, or the error its fit ended with.
-
-    The rows are small but the work per row is not, so they are spread by series over an explicit
-    number of partitions, which adaptive coalescing leaves alone.
-    """
-    parts = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return inputs.repartition(parts, *SERIES).mapInPandas(_fit_batches, FITTED)
+    """Model document per series, or the error its fit ended with. `fit_inputs` has spread the rows."""
+    return inputs.mapInPandas(_fit_batches, FITTED)
 
 
 def parse_models(documents: DataFrame) -> DataFrame:
@@ -172,10 +169,14 @@ def predict(
     )
     promoted = F.lit(False)
     if promo_daily is not None:  # joined per model, so that no shuffle ever moves a model once per day
-        spans = spans.join(promo_days(promo_daily), "Shop_SKU", "left")
+        spans = with_promo_days(spans, promo_daily)
         promoted = F.coalesce(F.array_contains("_promo", F.unix_date("ds")), F.lit(False))
         if "use_promotions" in models.columns:
             promoted = promoted & F.col("use_promotions")
+    # only holidays of the days to come matter when the history is not asked for; the others are not searched each day
+    if not include_history:
+        later = F.map_filter("model.holiday_effect", lambda ds, _: ds > F.col("model.last_ds"))
+        spans = spans.withColumn("model", F.col("model").withField("holiday_effect", later))
     frame = future_days(spans, periods, include_history).withColumn("promo_flag", promoted.cast("int"))
     model = F.col("model")
     yhat = _model_value(model, F.col("ds"), F.col("promo_flag"), lag_fill)

@@ -9,7 +9,7 @@ from stockcast import SERIES
 from stockcast.operators import post, promo
 from stockcast.operators.structural import parse_models, predict
 from stockcast.settings import PERIODS
-from stockcast.sources.stores import usable_models
+from stockcast.sources.stores import split_models
 
 
 def score_models(
@@ -34,19 +34,22 @@ def score_promotions(
     periods: int = PERIODS,
     lag_fill: str = "zero",
 ) -> tuple[DataFrame, DataFrame]:
-    """Forecast of every promoted SKU that has a model, and one status row per promoted SKU."""
+    """Forecast of every promoted SKU that has a usable model, and one status row per candidate series.
+
+    A candidate is a stored series of a listed SKU. Its status is 'ok' or why its document was rejected; a listed SKU
+    without any stored series has a row of its own, without customer and warehouse. So forecast series and rejects are
+    all candidates. A request that lists no SKU is an error.
+    """
     skus = promo.promo_skus(promotions)
+    if skus.isEmpty():
+        raise ValueError("No SKU found in the promotions' include_sku")
     if customer_code is not None:
         models = models.filter(F.col("customer_code") == customer_code)
     if warehousecode is not None:
         models = models.filter(F.col("warehousecode") == warehousecode)
     daily = promo.promo_daily(promo.promo_master_valid(promo.promo_master(promotions)), all_skus)
-    own = usable_models(models.join(skus, "Shop_SKU", "left_semi").select(*models.columns), strict=False)
-    found = own.groupBy("Shop_SKU").agg(F.count(F.lit(1)).alias("n_models"))
-    status = skus.join(found, "Shop_SKU", "left").select(
-        "Shop_SKU",
-        F.coalesce("n_models", F.lit(0)).alias("n_models"),
-        F.when(F.col("n_models").isNull(), "missing model").otherwise("ok").alias("status"),
-    )
+    own, rejects = split_models(models.join(skus, "Shop_SKU", "left_semi").select(*models.columns))
+    seen = own.select(*SERIES, F.lit("ok").alias("_state")).unionByName(rejects.select(*SERIES, F.col("reason").alias("_state")))
+    status = skus.join(seen, "Shop_SKU", "left").select(*SERIES, F.coalesce("_state", F.lit("missing model")).alias("status"))
     forecast = score_models(own, daily, periods, lag_fill)
     return forecast.select("ds", *SERIES, *post.VALUES, "promo_flag"), status

@@ -32,9 +32,9 @@ MODEL_BODY = (
     " level DOUBLE, change_at ARRAY<DOUBLE>, change_by ARRAY<DOUBLE>, weekly ARRAY<DOUBLE>,"
     " yearly ARRAY<DOUBLE>, holiday_effect MAP<STRING, DOUBLE>,"
     " regressors ARRAY<STRUCT<name: STRING, coef: DOUBLE, center: DOUBLE, scale: DOUBLE, last: DOUBLE>>,"
-    " sigma DOUBLE, n_rows INT, daily_seasonality BOOLEAN"
+    " sigma DOUBLE, n_rows INT, daily_seasonality BOOLEAN, rounds INT, converged BOOLEAN"
 )
 MODEL_STORE = (
     "customer_code STRING, warehousecode STRING, Shop_SKU STRING, object_path STRING,"
-    " model_json STRING, last_ds DATE, trained_at TIMESTAMP"
+    " model_json STRING, last_ds DATE, trained_at TIMESTAMP, run_id STRING"
 )

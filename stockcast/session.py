@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,15 +35,31 @@ def build_session(app: str = "stockcast", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+#: folders of local sessions that name none, by application; removed when Python ends
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only a local session without one gets a temporary one."""
+    """The folder named in spark.checkpoint.dir; a local session without one gets a temporary one.
+
+    The setting belongs to the cluster and cannot be changed in a running session, so the temporary folder is
+    only remembered here.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="stockcast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="stockcast-")
+        atexit.register(shutil.rmtree, _LOCAL[application], ignore_errors=True)
+    return _LOCAL[application]
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/stockcast/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -49,6 +69,24 @@ def materialize(df: DataFrame) -> DataFrame:
     the planner knows the table's size.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stockcast/{uuid.uuid4()}"
+    path = f"{run_folder(spark)}/{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, in whatever store the folder is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[None]:
+    """A whole run: intermediate tables are removed at its end, also after an error.
+
+    Results are lazy, so write or collect them inside.
+    """
+    try:
+        yield
+    finally:
+        remove_tables(spark)

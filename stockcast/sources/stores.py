@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,8 +55,9 @@ def object_path(customer: Column, warehouse: Column, sku: Column) -> Column:
     return F.concat(safe_key(customer), F.lit("/"), folder, F.lit("/"), safe_key(sku), F.lit(".json"))
 
 
-def model_rows(fitted: DataFrame, trained_at: str) -> DataFrame:
-    """Model documents in the shape of the store."""
+def model_rows(fitted: DataFrame, trained_at: str, run_id: str | None = None) -> DataFrame:
+    """Model documents in the shape of the store. `trained_at` is the moment of the run, not just its day: it decides
+    which of two documents of a series is the newer one, and `run_id` decides between runs of one moment."""
     last = F.get_json_object("model_json", "$.last_ds").try_cast("date")
     return fitted.filter(F.col("model_json").isNotNull()).select(
         *SERIES,
@@ -62,6 +65,7 @@ def model_rows(fitted: DataFrame, trained_at: str) -> DataFrame:
         "model_json",
         last.alias("last_ds"),
         F.lit(trained_at).cast("timestamp").alias("trained_at"),
+        F.lit(run_id).cast("string").alias("run_id"),
     )
 
 
@@ -75,18 +79,25 @@ def read_models(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest_models(rows: DataFrame) -> DataFrame:
+    """The document of each series' latest run. Sums are taken before the shuffle, so of many versions in one file one moves."""
     others = [c for c in rows.columns if c not in SERIES]
-    newest = F.max_by(F.struct(*others), F.struct("trained_at", "model_json")).alias("_m")
+    newest = F.max_by(F.struct(*others), F.struct("trained_at", "run_id")).alias("_m")
     return rows.groupBy(*SERIES).agg(newest).select(*SERIES, "_m.*")
 
 
 def document_state(document: Column) -> Column:
-    """'ok', or why a stored model document cannot be used."""
+    """'ok', or why a stored model document cannot be used. What looks like JSON is parsed, and must have what a
+    prediction needs."""
     text = F.ltrim(F.regexp_replace(document, r"^\s+", ""))
+    model = F.from_json(text, schemas.MODEL_BODY)
+    needed = ("mode", "first_ds", "last_ds", "span_days", "y_scale", "slope", "level", "regressors", "sigma")
+    complete = reduce(lambda a, b: a & b, [model[n].isNotNull() for n in needed])
     return (
-        F.when(document.isNull() | (document == ""), "empty")
+        F.when(document.isNull() | (text == ""), "empty")
         .when(text.startswith("<"), "html")
         .when(~text.startswith("{"), "not json")
+        .when(F.try_parse_json(text).isNull(), "broken json")
+        .when(~F.coalesce(complete, F.lit(False)), "incomplete")
         .otherwise("ok")
     )
 
@@ -95,12 +106,18 @@ def check_documents(documents: DataFrame, column: str = "model_json") -> DataFra
     return documents.withColumn("state", document_state(F.col(column)))
 
 
-def usable_models(rows: DataFrame, strict: bool = True) -> DataFrame:
-    """Documents that parse. A bad one fails the query, or drops out if not strict."""
+def usable_models(rows: DataFrame) -> DataFrame:
+    """Documents that parse; a bad one fails the query. `split_models` keeps the bad ones apart instead."""
     checked = check_documents(rows)
-    if not strict:
-        return checked.filter(F.col("state") == "ok").drop("state")
     failure = F.raise_error(F.concat(F.lit("bad model document: "), "state"))
     return checked.withColumn(
         "model_json", F.when(F.col("state") == "ok", F.col("model_json")).otherwise(failure)
     ).drop("state")
+
+
+def split_models(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usable documents, and the rejects with their reason. Together they are all rows."""
+    checked = check_documents(rows)
+    good = checked.filter(F.col("state") == "ok").drop("state")
+    paths = [c for c in ("object_path", "trained_at", "run_id") if c in rows.columns]
+    return good, checked.filter(F.col("state") != "ok").select(*SERIES, *paths, F.col("state").alias("reason"))

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockcast.operators import clean, demand
 from stockcast.plans.preparation import prepare_demand
@@ -154,3 +155,16 @@ def test_stored_demand_keeps_codes_and_prunes_customers(spark, tmp_path):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
     one = stored.filter("customer_code = '0000000811'")
     assert one.count() == 1 and "PartitionFilters: [isnotnull(customer_code" in one._jdf.queryExecution().toString()
+
+
+def test_numbers_and_days_are_read_strictly(spark):
+    from stockcast.functions.columns import day, number
+
+    cells = ["12", " 1.5 ", "-.5", "1e3", "12d", "7f", "inf", "NaN", "0x1F", "1e999", "", None]
+    table = small_table(spark, [(c,) for c in cells], "c string")
+    assert [r[0] for r in table.select(number(F.col("c"))).collect()] == [12.0, 1.5, -0.5, 1000.0, *[0.0] * 8]
+    values = small_table(spark, [(1.5,), (float("inf"),), (float("nan"),), (None,)], "c double")
+    assert [r[0] for r in values.select(number(F.col("c"))).collect()] == [1.5, 0.0, 0.0, 0.0]
+    texts = ["2001-02-03", "2001-2-3 10:30:00", "T10:30", "10:30", "bad", "2001-13-01", "", None]
+    got = [r[0] for r in small_table(spark, [(c,) for c in texts], "c string").select(day(F.col("c"))).collect()]
+    assert got == [dt.date(2001, 2, 3), dt.date(2001, 2, 3), *[None] * 6]

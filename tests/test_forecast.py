@@ -178,17 +178,109 @@ def test_scoring_reads_the_newest_models(spark, trained):
     rows = forecast.orderBy("ds").collect()
     assert len(rows) == 14 and {r.yhat >= 0 for r in rows} == {True}
     assert sum(r.promo_flag for r in rows) == 10
-    assert {r.Shop_SKU: r.status for r in status.collect()} == {"s3": "ok", "absent": "missing model"}
+    found = {(r.customer_code, r.Shop_SKU): r.status for r in status.collect()}
+    assert found == {("c1", "s3"): "ok", (None, "absent"): "missing model"}
 
 
-def test_bad_documents_fail_or_drop(spark):
-    rows = [("a", "{}"), ("b", "\n {\"x\":1}"), ("c", ""), ("d", "<html>"), ("e", "[1]"), ("f", None)]
-    table = small_table(spark, rows, "id string, model_json string")
-    states = {r.id: r.state for r in stores.check_documents(table).collect()}
-    assert states == {"a": "ok", "b": "ok", "c": "empty", "d": "html", "e": "not json", "f": "empty"}
-    assert stores.usable_models(table, strict=False).count() == 2
+STORED = "customer_code string, warehousecode string, Shop_SKU string, object_path string, model_json string, last_ds date, trained_at timestamp, run_id string"
+
+
+def _stored(series, document, hour=6, run="r"):
+    return ("c1", "w", series, f"c1/w/{series}.json", document, D(2001, 5, 1), dt.datetime(2001, 5, 2, hour), run)
+
+
+def test_bad_documents_are_kept_apart_with_their_reason(spark, trained):
+    folder, _ = trained
+    good = stores.read_models(spark, f"{folder}/models").filter("Shop_SKU = 's3'").first().model_json
+    documents = {"a": good, "b": "\n " + good, "c": "", "d": "<html>", "e": "[1]", "f": None, "g": "{}", "h": good[:40], "i": " \n "}
+    table = small_table(spark, [_stored(k, v) for k, v in documents.items()], STORED)
+    states = {r.Shop_SKU: r.state for r in stores.check_documents(table).collect()}
+    bad = {"c": "empty", "d": "html", "e": "not json", "f": "empty", "g": "incomplete", "h": "broken json", "i": "empty"}
+    assert states == {"a": "ok", "b": "ok", **bad}
     with pytest.raises(Exception, match="bad model document"):
         stores.usable_models(table).collect()
+    forecast, status = score.score_promotions(table, _campaign(spark, *documents, "none"))
+    got = {r.Shop_SKU: r.status for r in status.collect()}
+    assert got == {"a": "ok", "b": "ok", **bad, "none": "missing model"}
+    assert {r.Shop_SKU for r in forecast.select("Shop_SKU").distinct().collect()} == {"a", "b"}
+    assert {r.Shop_SKU: r.reason for r in stores.split_models(table)[1].collect()} == bad
+
+
+def test_the_later_run_of_a_day_wins(spark):
+    """Whatever the documents look like, the moment of the run decides, then its id."""
+    rows = [_stored("s", "zzz", 6, "r2"), _stored("s", "aaa", 9, "r1"), _stored("t", "zzz", 6, "r1"), _stored("t", "aaa", 6, "r2")]
+    newest = stores.newest_models(small_table(spark, rows, STORED)).collect()
+    assert {r.Shop_SKU: r.model_json for r in newest} == {"s": "aaa", "t": "aaa"}
+
+
+def test_two_runs_of_one_day_keep_the_second(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = _demand(spark, {("c1", "w", "s3"): rng.poisson(5, 90)})
+    holidays = small_table(spark, [], HOLIDAY_SOURCE)
+    for mode, moment in (("multiplicative", "2001-04-01 02:00:00"), ("additive", "2001-04-01 14:00:00")):
+        train.train_and_store(
+            rows, holidays, str(tmp_path), as_of="2001-04-01", promotions=_campaign(spark, "s3"), run_at=moment,
+            override={"prophet": {"seasonality_mode": mode}},
+        )
+    assert json.loads(stores.read_models(spark, str(tmp_path)).first().model_json)["mode"] == "additive"
+
+
+def test_scoring_without_skus_is_an_error(spark):
+    with pytest.raises(ValueError, match="No SKU"):
+        score.score_promotions(small_table(spark, [], STORED), _campaign(spark))
+
+
+def test_a_failing_draw_stops_its_pair_only(spark):
+    rng = np.random.default_rng(9)
+    series = {("c1", "w1", "a"): [float("inf")] * 40, ("c1", "w1", "b"): [float("inf")] * 40}
+    series |= {("c2", "w2", s): rng.poisson(6, 40) for s in "ab"}
+    pairs = small_table(spark, [("c1", "w1"), ("c2", "w2")], "customer_code string, warehousecode string")
+    status = train.train_pairs(_demand(spark, series), small_table(spark, [], HOLIDAY_SOURCE), pairs, as_of="2001-02-10")
+    got = {r.customercode: r for r in status.collect()}
+    assert not got["c1"].ok and got["c1"].error and got["c1"].n_rows == 0
+    assert got["c2"].ok and got["c2"].n_rows == 28
+
+
+def test_large_means_use_the_normal_law():
+    from stockcast.functions import poisson as law
+
+    below, above = (law.quantile(m, (0.025, 0.5, 0.975)) for m in (law.LARGE_MEAN, law.LARGE_MEAN * (1 + 1e-9)))
+    assert np.abs(below - above).max() <= 2
+    assert np.abs(law.quantile(1e12, 0.5) - 1e12) <= 1
+
+
+def test_request_rules_and_test_days_reach_the_job(spark):
+    request = {"execution": {"test_days": "12"}, "advanced": {"impact_dates": {"zscore_rules": [{"window": "5", "threshold": 9}, {"window": -1, "threshold": 1}]}}}
+    flat = config.flatten_override(request)
+    assert flat["test_days"] == 12 and flat["zscore_rules"] == [(5, 9.0)]
+    rng = np.random.default_rng(10)
+    rows = _demand(spark, {("c", "w", "s"): rng.poisson(6, 60)})
+    run = train.train_forecast(rows, small_table(spark, [], HOLIDAY_SOURCE), as_of="2001-03-02", override=request)
+    assert run.test.count() == 12 and run.impact_dates.count() == 0
+
+
+def test_forecast_rows_are_not_shuffled_for_their_flags(spark):
+    """Flags come with each series' array of days: no exchange by day and SKU."""
+    rng = np.random.default_rng(11)
+    rows = _demand(spark, {("c1", "w", s): rng.poisson(6, 60) for s in ("s3", "x", "y")})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run = train.train_forecast(rows, small_table(spark, [], HOLIDAY_SOURCE), as_of="2001-03-02", promotions=_campaign(spark, "s3"))
+        plan = run.forecast._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(ds" in line]
+
+
+def test_a_promotion_can_count_for_its_customer_only(spark):
+    rng = np.random.default_rng(12)
+    rows = _demand(spark, {(c, "w", s): rng.poisson(6, 140) for c in ("c1", "c2") for s in ("s3", "x")})
+    holidays = small_table(spark, [], HOLIDAY_SOURCE)
+    for own, wanted in ((False, {"c1", "c2"}), (True, {"c1"})):
+        run = train.train_forecast(rows, holidays, as_of="2001-05-21", promotions=_campaign(spark, "s3"), promo_by_customer=own)
+        flagged = run.forecast.filter("promo_flag = 1").select("customer_code").distinct().collect()
+        assert {r.customer_code for r in flagged} == wanted
+        assert {r.customer_code for r in run.promo_summary.select("customer_code").distinct().collect()} == wanted
 
 
 def test_promo_only_needs_promotions(spark, tmp_path):

@@ -4,13 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from catalog.compare import connect, difference
+from catalog.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
-NAMES = [
-    "scan_gi", "clean_demand", "prep_demand", "impact_dates", "pareto_skus", "promo_daily", "holiday_toggles",
-    "config_lookup", "config_effective", "resolve_scope", "series_features", "poisson_forecast", "poisson_quantiles",
-    "forecast_route", "bias_apply", "scoped_replace", "model_paths", "structural_fit",
-]
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +14,7 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, db, name):
     assert difference(spark, db, name, SF) is None
 
