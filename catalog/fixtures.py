@@ -232,6 +232,19 @@ def demand(spark, sf_dir) -> DataFrame:
     )
 
 
+def growing_demand(spark, sf_dir) -> DataFrame:
+    """Demand whose series grow with the tables (one SKU per hundred parts), a third of the lines in one pair."""
+    hot = "case when l_orderkey % 3 = 0 then {} else {} end"
+    text = f"""
+      select cast(l_shipdate as string) gi_date, {hot.format("'HOT'", "c_mktsegment")} customercode,
+        {hot.format("'HOT'", "r_name")} warehouse_code, concat('P', cast(floor(l_partkey / 100) as string)) sku,
+        cast(l_quantity as string) qty""" + FROM_ALL
+    rows = query(spark, sf_dir, text)
+    return prepare_demand(
+        rows, orders(spark, sf_dir).limit(0), renames(spark), start=START, as_of=AS_OF, special_customer=SPECIAL, cutoff=CUTOFF,
+    )
+
+
 def holidays(spark, sf_dir) -> DataFrame:
     return query(spark, sf_dir, HOLIDAYS)
 
