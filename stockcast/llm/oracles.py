@@ -17,7 +17,7 @@ with p as (
   select page_id,
          lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)', 1)) as host,
          list_transform(string_split(regexp_replace(coalesce(html, ''),
-           '(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)), x -> trim(x)) as lines
+           '(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x)) as lines
   from pages
 ),
 l as (select page_id, host, unnest(lines) as line, generate_subscripts(lines, 1) as k from p),
