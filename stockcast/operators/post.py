@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockcast import SERIES
 from stockcast.functions.columns import half_even, non_negative_int, strip, truncated_int
+from stockcast.session import materialize
 from stockcast.settings import BIAS_MIN_DAYS, BIAS_MIN_DEMAND, PRODUCTION_DAYS
 
 VALUES = ["yhat", "yhat_lower", "yhat_upper"]
@@ -87,8 +88,11 @@ def output_shape(forecast: DataFrame) -> DataFrame:
 
 
 def scoped_replace(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """The published table after a run: the run's pairs anew, all other pairs as before."""
-    new = published_rows(batch)
+    """The published table after a run: the run's pairs anew, all other pairs as before.
+
+    The batch is written down first, as its rows and its pairs are both read.
+    """
+    new = materialize(published_rows(batch))
     pairs = new.select("customercode", "warehousecode").distinct()
     same = existing["customercode"].eqNullSafe(pairs["customercode"]) & existing["warehousecode"].eqNullSafe(
         pairs["warehousecode"]

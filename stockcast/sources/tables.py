@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from stockcast import schemas
+from stockcast.session import materialize
 from stockcast.settings import SKU_RENAMES
 
 log = logging.getLogger(__name__)
@@ -54,9 +55,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
 
 
 def read_optional(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
-    """A source that may be unavailable: then a warning and an empty table with the schema."""
+    """A source that may be unavailable: then a warning and an empty table with the schema.
+
+    The rows are written down at once, so a source that fails while it is read counts as unavailable too, and later steps
+    do not depend on it. Let `read` cut the rows and columns to those needed.
+    """
     try:
-        return read()
+        return materialize(read())
     except Exception as problem:  # whatever keeps this source away must not stop the others
         log.warning("source unavailable, going on without it: %s", problem)
         return small_table(spark, [], schema)

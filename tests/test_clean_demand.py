@@ -64,6 +64,14 @@ def test_missing_optional_source_is_empty(spark, tmp_path):
     assert orders.count() == 0 and "paymentdate" in orders.columns
 
 
+def test_optional_source_that_fails_while_it_is_read_is_empty(spark):
+    def broken():
+        return spark.range(10).selectExpr("case when id < 9 then cast(id as string) else raise_error('gone') end sku")
+
+    assert read_optional(spark, broken, "sku string").count() == 0
+    assert read_optional(spark, lambda: spark.range(10).selectExpr("cast(id as string) sku"), "sku string").count() == 10
+
+
 def test_jdbc_options():
     options = jdbc_options("jdbc:x", "t", partition_column="id", bounds=("0", "9"), num_partitions=3)
     assert options["fetchsize"] == "10000" and options["numPartitions"] == "3"
