@@ -172,7 +172,8 @@ def exact_groups(docs: DataFrame, bits: int = FINGERPRINT_BITS, block_rows: int
     )
     # of rows that repeat the kept id and text, the first in block order stays
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "block", "at"))
-    groups = suspects.groupBy("fp", "sha").agg(first.alias("first")).join(verified, ["fp", "sha"])
+    # written, so that Spark may split the rows of a large group in the join
+    groups = materialize(suspects.groupBy("fp", "sha").agg(first.alias("first")).join(verified, ["fp", "sha"]))
     found = suspects.join(groups, ["fp", "sha"]).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
