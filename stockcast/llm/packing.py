@@ -31,7 +31,7 @@ from stockcast.llm.tokenizing import REMEMBERED, ByteLevel
 
 SIZE = 2048
 #: pieces of a block, and the search: islands of a block, epochs between migrations, offspring of an epoch, population
-BLOCK, ISLANDS, EPOCHS, OFFSPRING, POPULATION = 1 << 14, 3, 3, 6, 4
+BLOCK, ISLANDS, EPOCHS, OFFSPRING, POPULATION = 1 << 12, 3, 3, 6, 4
 #: a bin this full is injected by crossover and closed between levels
 WELL_FILLED = 0.995
 LEVELS = 2
