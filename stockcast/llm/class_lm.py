@@ -27,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.llm.text import fold, materialize, on_batches, owners, words
+from stockcast.llm.text import fold, materialize, on_batches, owners, packed, unpacked, words
 
 #: words that are clustered, and their classes: the model sent to tasks is bounded by these
 HEAD, CLASSES, ROUNDS, MIX = 20_000, 64, 8, 0.95
+#: rows of an Arrow batch where a row is a block or an owner
+FEW = 2
 #: tokens of a block: what one row and its task hold
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 18
 #: the end of a text: no word hash, as the word list of a block holds it under this number
 END = np.uint64(0)
 
@@ -60,8 +62,8 @@ def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
         return {
             "block": [block], "ids": [np.array([x or 0 for x in ids], np.int64).tobytes()], "held": [np.array(held, np.uint8).tobytes()],
             "unnamed": [np.array([x is None for x in ids], np.uint8).tobytes()], "lengths": [lengths.tobytes()],
-            "places": [tokens.tobytes()], "vocabulary": [np.concatenate([[END], hashes[order]]).astype(np.uint64).tobytes()],
-            "counts": [counts.tobytes()],
+            "places": [packed(tokens)], "vocabulary": [np.concatenate([[END], hashes[order]]).astype(np.uint64).tobytes()],
+            "counts": [packed(counts)],
         }
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -95,16 +97,18 @@ def _asked(blocks: DataFrame, shares: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for block, vocabulary, counts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                hashes, n = np.frombuffer(vocabulary, np.uint64), np.frombuffer(counts, np.int32)
+                hashes, n = np.frombuffer(vocabulary, np.uint64), unpacked(counts, np.int32)
                 cuts = _cut(hashes, shares)
                 full = [k for k in range(shares) if cuts[k + 1] > cuts[k]]
                 yield {
                     "block": [block] * len(full), "owner": full,
                     "hashes": [hashes[cuts[k] : cuts[k + 1]].tobytes() for k in full],
-                    "counts": [n[cuts[k] : cuts[k + 1]].tobytes() for k in full],
+                    "counts": [packed(n[cuts[k] : cuts[k + 1]]) for k in full],
                 }
 
-    return on_batches(blocks.select("block", "vocabulary", "counts"), work, "block long, owner int, hashes binary, counts binary")
+    return on_batches(
+        blocks.select("block", "vocabulary", "counts"), work, "block long, owner int, hashes binary, counts binary", FEW
+    )
 
 
 def _totals(asked: DataFrame, head: int) -> DataFrame:
@@ -112,10 +116,10 @@ def _totals(asked: DataFrame, head: int) -> DataFrame:
 
     def own(table: pa.Table) -> pa.Table:
         lists = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in table.column("counts").to_pylist()])
+        counts = np.concatenate([unpacked(x, np.int32) for x in table.column("counts").to_pylist()])
         distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
         totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
-        answers = [x.tobytes() for x in np.split(totals[place], np.cumsum([len(x) for x in lists])[:-1])]
+        answers = [packed(x) for x in np.split(totals[place], np.cumsum([len(x) for x in lists])[:-1])]
         order = np.lexsort((distinct, -totals))[:head]
         order = order[(totals[order] > 0) & (distinct[order] != END)]
         n = len(answers)
@@ -152,15 +156,15 @@ def _numbers(hashes: np.ndarray, head: np.ndarray) -> np.ndarray:
 
 
 def _bigrams(blocks: DataFrame, head: np.ndarray, shares: int) -> DataFrame:
-    """Per block and owner: sorted codes (word number * width + neighbour) of training bigrams with their counts, once from
-    the left word's side (kind 0), once from the right one's (kind 1)."""
+    """One row per owner of words: sorted codes (word number * width + neighbour) of training bigrams with their counts, once
+    from the left word's side (0), once from the right one's (1). Written once, each round reads it where it lies."""
     width = len(head) + 2
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for row in batch.to_pylist():
                 numbers = _numbers(np.frombuffer(row["vocabulary"], np.uint64), head)
-                tokens = numbers[np.frombuffer(row["places"], np.int32)]
+                tokens = numbers[unpacked(row["places"], np.int32)]
                 lengths = np.frombuffer(row["lengths"], np.int32)
                 learned = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, lengths)
                 left = np.concatenate([[width - 1], tokens[:-1]])  # a text begins after an end
@@ -173,24 +177,28 @@ def _bigrams(blocks: DataFrame, head: np.ndarray, shares: int) -> DataFrame:
                     if full:
                         yield {
                             "owner": full, "kind": [kind] * len(full),
-                            "codes": [own[cuts[k] : cuts[k + 1]].tobytes() for k in full],
-                            "counts": [sums[cuts[k] : cuts[k + 1]].astype(np.int32).tobytes() for k in full],
+                            "codes": [packed(np.diff(own[cuts[k] : cuts[k + 1]], prepend=0)) for k in full],
+                            "counts": [packed(sums[cuts[k] : cuts[k + 1]].astype(np.int32)) for k in full],
                         }
 
-    parts = on_batches(blocks, work, "owner int, kind int, codes binary, counts binary")
+    needed = blocks.select("vocabulary", "places", "lengths", "held")
+    parts = on_batches(needed, work, "owner int, kind int, codes binary, counts binary", FEW)
 
     def add(table: pa.Table) -> pa.Table:
-        codes, place = np.unique(
-            np.concatenate([np.frombuffer(x, np.int64) for x in table.column("codes").to_pylist()]), return_inverse=True
-        )
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in table.column("counts").to_pylist()])
-        sums = np.bincount(place, weights=counts).astype(np.int64)
-        return pa.table({
-            "owner": table.column("owner")[:1], "kind": table.column("kind")[:1],
-            "codes": pa.array([codes.tobytes()], pa.binary()), "counts": pa.array([sums.tobytes()], pa.binary()),
-        })
-
-    return parts.groupBy("owner", "kind").applyInArrow(add, "owner int, kind int, codes binary, counts binary")
+        kinds, made = table.column("kind").to_numpy(), {"owner": table.column("owner")[:1]}
+        for kind in (0, 1):
+            own = table.filter(pa.array(kinds == kind))
+            codes = np.concatenate([np.empty(0, np.int64), *(np.cumsum(unpacked(x.as_py(), np.int64)) for x in own.column("codes"))])
+            counts = np.concatenate([np.empty(0, np.int32), *(unpacked(x.as_py(), np.int32) for x in own.column("counts"))])
+            codes, place = np.unique(codes, return_inverse=True)
+            sums = np.bincount(place, weights=counts, minlength=len(codes)).astype(np.int64)
+            made[f"codes_{kind}"] = pa.array([packed(codes)], pa.binary())
+            made[f"counts_{kind}"] = pa.array([packed(sums)], pa.binary())
+        return pa.table(made)
+
+    return parts.groupBy("owner").applyInArrow(
+        add, "owner int, codes_0 binary, counts_0 binary, codes_1 binary, counts_1 binary"
+    )
 
 
 def _class_counts(bigrams: DataFrame, classes: np.ndarray, total: int) -> np.ndarray:
@@ -200,13 +208,13 @@ def _class_counts(bigrams: DataFrame, classes: np.ndarray, total: int) -> np.nda
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for codes, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(codes, np.int64)
+                own = unpacked(codes, np.int64)
                 pair = classes[own // width] * total + classes[own % width]
-                sums = np.bincount(pair, weights=np.frombuffer(counts, np.int64), minlength=total * total)
+                sums = np.bincount(pair, weights=unpacked(counts, np.int64), minlength=total * total)
                 seen = np.flatnonzero(sums)
                 yield {"pair": seen, "n": sums[seen].astype(np.int64)}
 
-    rows = on_batches(bigrams.where("kind = 0").select("codes", "counts"), work, "pair int, n long")
+    rows = on_batches(bigrams.select("codes_0", "counts_0"), work, "pair int, n long", FEW)
     out = np.zeros(total * total, np.int64)
     for row in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most (CLASSES + 2) ** 2 rows
         out[row["pair"]] = row["n"]
@@ -248,26 +256,27 @@ def _moves(bigrams: DataFrame, classes: np.ndarray, table: np.ndarray, turn: int
     """The classes after one round of exchanges."""
     width, total, head = len(classes), len(table), len(classes) - 2
 
-    def own(group: pa.Table) -> pa.Table:
-        sums, first, count = {}, None, 0
-        for kind, codes, counts in zip(*(group.column(c).to_pylist() for c in ("kind", "codes", "counts")), strict=True):
-            sums[kind] = (np.frombuffer(codes, np.int64), np.frombuffer(counts, np.int64))
-        word = np.unique(np.concatenate([x[0] // width for x in sums.values()]))
-        word = word[(word < head) & (word % 2 == turn % 2)]
-        first, count = word, len(word)
-        sides = []
-        for kind in (0, 1):
-            codes, n = sums.get(kind, (np.empty(0, np.int64), np.empty(0, np.int64)))
-            place = np.searchsorted(first, codes // width)
-            place[place == count] = 0
-            mine = first[place] == codes // width if count else np.zeros(len(codes), bool)
-            sides.append(np.bincount(
-                place[mine] * total + classes[codes[mine] % width], weights=n[mine], minlength=count * total
-            ).reshape(count, total))
-        new = best_classes(sides[0], sides[1], table, classes[first], free) if count else np.empty(0, np.int64)
-        return pa.table({"word": pa.array(first, pa.int32()), "class": pa.array(new, pa.int32())})
-
-    rows = bigrams.groupBy("owner").applyInArrow(own, "word int, class int").toArrow()  # at most HEAD rows
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                codes, counts = (
+                    [unpacked(data[k], np.int64) for k in (0, 2)], [unpacked(data[k], np.int64) for k in (1, 3)]
+                )
+                word = np.unique(np.concatenate([x // width for x in codes]))
+                word = word[(word < head) & (word % 2 == turn % 2)]
+                if not len(word):
+                    continue
+                sides = []
+                for own, n in zip(codes, counts, strict=True):
+                    place = np.searchsorted(word, own // width)
+                    place[place == len(word)] = 0
+                    mine = word[place] == own // width
+                    cells = place[mine] * total + classes[own[mine] % width]
+                    sides.append(np.bincount(cells, weights=n[mine], minlength=len(word) * total).reshape(-1, total))
+                yield {"word": word, "class": best_classes(*sides, table, classes[word], free)}
+
+    columns = bigrams.select("codes_0", "counts_0", "codes_1", "counts_1")
+    rows = on_batches(columns, work, "word int, class int", FEW).toArrow()  # at most HEAD rows
     out = classes.copy()
     out[rows.column("word").to_numpy()] = rows.column("class").to_numpy()
     return out
@@ -294,7 +303,7 @@ def cluster(bigrams: DataFrame, counts: np.ndarray, classes: int = CLASSES, roun
 def score_block(row: dict, totals: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per document of a block: tokens, known tokens, base score and model score."""
     lengths = np.frombuffer(row["lengths"], np.int32)
-    places = np.frombuffer(row["places"], np.int32)
+    places = unpacked(row["places"], np.int32)
     numbers = _numbers(np.frombuffer(row["vocabulary"], np.uint64), model["head"])
     kind = model["classes"][numbers]
     unigram = (totals + 1) / (model["tokens"] + model["words"] + 1)
@@ -322,7 +331,7 @@ def _scores(blocks: DataFrame, totals: DataFrame, model: dict) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for row in batch.to_pylist():
-                found = np.frombuffer(b"".join(row["answers"]), np.int64)
+                found = np.concatenate([unpacked(x, np.int64) for x in row["answers"]])
                 n, known, base, score = score_block(row, found, model)
                 named = np.frombuffer(row["unnamed"], np.uint8) == 0
                 ids = np.frombuffer(row["ids"], np.int64)
@@ -333,8 +342,8 @@ def _scores(blocks: DataFrame, totals: DataFrame, model: dict) -> DataFrame:
                 }
 
     return on_batches(
-        joined.select(*blocks.columns, "answers"), work,
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+        joined.select("ids", "unnamed", "held", "lengths", "places", "vocabulary", "answers"), work,
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", FEW,
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -49,10 +51,11 @@ class Interned(dict):
         return value
 
 
-def on_batches(frame: DataFrame, work, schema: str) -> DataFrame:
-    """`work` gets the Arrow batches of a partition one by one and yields dicts of columns."""
+def on_batches(frame: DataFrame, work, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """`work` gets the Arrow batches of a partition one by one, of at most `rows` rows (the setting holds when the plan runs, so
+    tables of large rows are written right away or last), and yields dicts of columns."""
     session = frame.sparkSession
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     names = [part.strip().split(" ")[0] for part in _split(schema)]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +117,15 @@ def arrow_schema(schema: str) -> pa.Schema:
     return pa.schema(fields)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The array's bytes, compressed: large arrays travel as one value of a row."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def unpacked(data: bytes, kind: Any) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def owners(session: SparkSession) -> int:
     """How many hash owners a packed exchange uses: the session's shuffle partitions."""
     return int(session.conf.get("spark.sql.shuffle.partitions"))
