@@ -8,9 +8,12 @@
 3. Exchange clustering assigns the `head` most frequent words to classes. Bigram counts lie with the owners of their words;
    each round, every owner moves its words to the class that raises the class-bigram likelihood most, given the others'
    classes and the class-by-class counts. Half of the words may move in a round, so that they do not swap in step.
-   The best assignment seen stays. All rarer words share one class, the end of a text is a class by itself.
-4. P(w | v) = mix * P(class of w | class of v) * P(w | class of w) + (1 - mix) * (c(w) + 1) / (N + V + 1).
-   Rare and unknown words have add-one emissions within their class.
+   The best assignment seen stays. Until then all rarer words count as one class; the end of a text is a class by itself.
+4. Every rarer word goes to a class by the same gain: blocks send its training neighbours' classes to its hash owner, which
+   adds them up and answers the blocks with the word's class. Blocks then count class bigrams with all words in their classes.
+5. P(w | v) = mix * P(class of w | class of v) * P(w | class of w) + (1 - mix) * (c(w) + 1) / (N + V + 1).
+   Rarer words have add-one emissions within their class. A word without training counts may come from every class, which
+   holds one count for it, and tells nothing about the next word.
 
 Defined cases: a null or empty text is the end token alone. Without training documents all counts are 0. Rows with equal or
 null ids are scored one by one. Words are told apart by their 64-bit hash.
@@ -29,12 +32,14 @@ from pyspark.sql import functions as F
 
 from stockcast.llm.text import fold, materialize, on_batches, owners, packed, unpacked, words
 
-#: words that are clustered, and their classes: the model sent to tasks is bounded by these
+#: words that are clustered by exchange, and the classes of all words: the model sent to tasks is bounded by these
 HEAD, CLASSES, ROUNDS, MIX = 20_000, 64, 8, 0.95
 #: rows of an Arrow batch where a row is a block or an owner
 FEW = 2
 #: tokens of a block: what one row and its task hold
 BLOCK_TOKENS = 1 << 18
+#: rarer words whose gains an owner holds at a time
+WORDS_AT_ONCE = 4096
 #: the end of a text: no word hash, as the word list of a block holds it under this number
 END = np.uint64(0)
 
@@ -214,7 +219,10 @@ def _class_counts(bigrams: DataFrame, classes: np.ndarray, total: int) -> np.nda
                 seen = np.flatnonzero(sums)
                 yield {"pair": seen, "n": sums[seen].astype(np.int64)}
 
-    rows = on_batches(bigrams.select("codes_0", "counts_0"), work, "pair int, n long", FEW)
+    return _summed(on_batches(bigrams.select("codes_0", "counts_0"), work, "pair int, n long", FEW), total)
+
+
+def _summed(rows: DataFrame, total: int) -> np.ndarray:
     out = np.zeros(total * total, np.int64)
     for row in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most (CLASSES + 2) ** 2 rows
         out[row["pair"]] = row["n"]
@@ -232,17 +240,25 @@ def likelihood(table: np.ndarray) -> float:
     return out
 
 
-def best_classes(after: np.ndarray, before: np.ndarray, table: np.ndarray, now: np.ndarray, free: int) -> np.ndarray:
-    """For words with counts by class of the next word (`after`) and of the one before: the class that gains most.
+def gains(after: np.ndarray, before: np.ndarray, table: np.ndarray, free: int) -> np.ndarray:
+    """For words with counts by class of the next word (`after`) and of the one before: what each class gains by them.
 
-    Moving a word's n tokens into class b adds about after . log T[b, :] + before . log T[:, b] - n (log T[b, .] + log T[., b]);
-    a word's own counts are first taken out of its present class.
+    Moving a word's n tokens into class b adds about after . log T[b, :] + before . log T[:, b] - n (log T[b, .] + log T[., b]).
     """
     smooth = table[:free].astype(float) + 0.5
     into = table[:, :free].astype(float) + 0.5
     n_after, n_before = after.sum(axis=1), before.sum(axis=1)
     rows, columns = table[:free].sum(axis=1) + 1.0, table[:, :free].sum(axis=0) + 1.0
-    score = after @ np.log(smooth).T + before @ np.log(into) - np.outer(n_after, np.log(rows)) - np.outer(n_before, np.log(columns))
+    return after @ np.log(smooth).T + before @ np.log(into) - np.outer(n_after, np.log(rows)) - np.outer(n_before, np.log(columns))
+
+
+def best_classes(after: np.ndarray, before: np.ndarray, table: np.ndarray, now: np.ndarray, free: int) -> np.ndarray:
+    """The class that gains most; a word's own counts are first taken out of its present class."""
+    smooth = table[:free].astype(float) + 0.5
+    into = table[:, :free].astype(float) + 0.5
+    n_after, n_before = after.sum(axis=1), before.sum(axis=1)
+    rows, columns = table[:free].sum(axis=1) + 1.0, table[:, :free].sum(axis=0) + 1.0
+    score = gains(after, before, table, free)
     own_after = np.log(np.maximum(smooth[now] - after, 0.5))
     own_before = np.log(np.maximum(into[:, now].T - before, 0.5))
     score[np.arange(len(now)), now] = (
@@ -300,39 +316,160 @@ def cluster(bigrams: DataFrame, counts: np.ndarray, classes: int = CLASSES, roun
     return best[1], best[2]
 
 
-def score_block(row: dict, totals: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _contexts(blocks: DataFrame, head: np.ndarray, classes: np.ndarray, shares: int) -> DataFrame:
+    """Per block and owner: hashes of the block's words outside the head, and sorted codes ((place among them * 2 + side) * classes
+    + class) of their training neighbours with counts; side 0 is the next word, 1 the one before."""
+    width, total = len(head) + 2, int(classes[-1]) + 1
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                hashes = np.frombuffer(row["vocabulary"], np.uint64)
+                numbers = _numbers(hashes, head)
+                rare = numbers == len(head)
+                place = (np.cumsum(rare) - 1)[unpacked(row["places"], np.int32)]
+                tokens = numbers[unpacked(row["places"], np.int32)]
+                lengths = np.frombuffer(row["lengths"], np.int32)
+                learned = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, lengths)
+                left = np.concatenate([[width - 1], tokens[:-1]])
+                left_place = np.concatenate([[0], place[:-1]])
+                after, before = learned & (left == len(head)), learned & (tokens == len(head))
+                codes, n = np.unique(np.concatenate([
+                    left_place[after] * 2 * total + classes[tokens[after]], (place[before] * 2 + 1) * total + classes[left[before]]
+                ]), return_counts=True)
+                cuts = _cut(hashes[rare], shares)
+                at = np.searchsorted(codes, cuts * 2 * total)
+                full = [k for k in range(shares) if cuts[k + 1] > cuts[k]]
+                if full:
+                    yield {
+                        "block": [row["block"]] * len(full), "owner": full,
+                        "hashes": [hashes[rare][cuts[k] : cuts[k + 1]].tobytes() for k in full],
+                        "codes": [packed(np.diff(codes[at[k] : at[k + 1]] - cuts[k] * 2 * total, prepend=0)) for k in full],
+                        "counts": [packed(n[at[k] : at[k + 1]].astype(np.int32)) for k in full],
+                    }
+
+    needed = blocks.select("block", "vocabulary", "places", "lengths", "held")
+    return on_batches(needed, work, "block long, owner int, hashes binary, codes binary, counts binary", FEW)
+
+
+def _assigned(contexts: DataFrame, table: np.ndarray, free: int) -> DataFrame:
+    """Answers to blocks (block, owner, classes) and one row per owner without a block: words and tokens it put into each class.
+    A word without training counts gets the number `free`."""
+    total = len(table)
+
+    def own(rows: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
+        distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
+        starts = np.cumsum([0, *(len(x) for x in lists)])
+        cells = []
+        for start, codes in zip(starts, rows.column("codes"), strict=False):
+            code = np.cumsum(unpacked(codes.as_py(), np.int64))
+            cells.append(place[start + code // (2 * total)] * 2 * total + code % (2 * total))
+        cells = np.concatenate(cells)
+        counts = np.concatenate([unpacked(x.as_py(), np.int32) for x in rows.column("counts")])
+        order = np.argsort(cells)
+        cells, counts = cells[order], counts[order]
+        kind, tokens = np.full(len(distinct), free, np.int32), np.zeros(len(distinct), np.int64)
+        for first in range(0, len(distinct), WORDS_AT_ONCE):
+            size = min(WORDS_AT_ONCE, len(distinct) - first)
+            lo, hi = np.searchsorted(cells, [first * 2 * total, (first + size) * 2 * total])
+            sides = np.bincount(cells[lo:hi] - first * 2 * total, weights=counts[lo:hi], minlength=size * 2 * total).reshape(size, 2, total)
+            seen = sides[:, 1].sum(axis=1).astype(np.int64)  # every training token has a word or an end before it
+            best = gains(sides[:, 0], sides[:, 1], table, free).argmax(axis=1)
+            kind[first : first + size] = np.where(seen > 0, best, free)
+            tokens[first : first + size] = seen
+        answers = [packed(x) for x in np.split(kind[place], starts[1:-1])]
+        n = len(answers)
+        return pa.table({
+            "block": pa.array([*rows.column("block").to_pylist(), None], pa.int64()),
+            "owner": pa.array([*rows.column("owner").to_pylist(), rows.column("owner")[0].as_py()], pa.int32()),
+            "classes": pa.array([*answers, None], pa.binary()),
+            "words": pa.array([None] * n + [np.bincount(kind, minlength=total)[:free]], pa.list_(pa.int64())),
+            "tokens": pa.array([None] * n + [np.bincount(kind, weights=tokens, minlength=total)[:free].astype(np.int64)], pa.list_(pa.int64())),
+        })
+
+    return contexts.groupBy("owner").applyInArrow(
+        own, "block long, owner int, classes binary, words array<long>, tokens array<long>"
+    )
+
+
+def _rare_sums(assigned: DataFrame, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words and tokens outside the head by class."""
+    each = assigned.where("block is null").select(F.posexplode(F.arrays_zip("words", "tokens")).alias("class", "x"))
+    out = np.zeros((2, free), np.int64)
+    for row in each.groupBy("class").agg(F.sum("x.words").alias("v"), F.sum("x.tokens").alias("n")).collect():  # one row per class
+        out[:, row["class"]] = row["v"], row["n"]
+    return out[0], out[1]
+
+
+FILLED = "ids binary, unnamed binary, held binary, lengths binary, places binary, totals binary, classes binary, rare binary"
+
+
+def _filled(blocks: DataFrame, totals: DataFrame, assigned: DataFrame, head: np.ndarray, classes: np.ndarray) -> DataFrame:
+    """Blocks with the answers of the owners in place of the word list: per word its count, its class and whether it is rare."""
+    both = totals.where("block is not null").select("block", F.lit(0).alias("kind"), "owner", F.col("totals").alias("data")).unionByName(
+        assigned.where("block is not null").select("block", F.lit(1).alias("kind"), "owner", F.col("classes").alias("data"))
+    )
+    answers = both.groupBy(F.col("block").alias("to")).agg(F.sort_array(F.collect_list(F.struct("kind", "owner", "data"))).alias("x")).select(
+        "to", F.col("x.kind").alias("kinds"), F.col("x.data").alias("answers")
+    )
+    joined = blocks.join(answers, blocks["block"] == answers["to"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                numbers = _numbers(np.frombuffer(row["vocabulary"], np.uint64), head)
+                found = {0: [np.empty(0, np.int64)], 1: [np.empty(0, np.int32)]}
+                for kind, data in zip(row["kinds"], row["answers"], strict=True):
+                    found[kind].append(unpacked(data, np.int32 if kind else np.int64))
+                own, rare = classes[numbers].astype(np.int32), numbers == len(head)
+                own[rare] = np.concatenate(found[1])
+                yield {
+                    **{c: [row[c]] for c in ("ids", "unnamed", "held", "lengths", "places")},
+                    "totals": [packed(np.concatenate(found[0]))], "classes": [packed(own)], "rare": [packed(rare)],
+                }
+
+    columns = ("ids", "unnamed", "held", "lengths", "places", "vocabulary", "kinds", "answers")
+    return on_batches(joined.select(*columns), work, FILLED, FEW)
+
+
+def _word_classes(filled: DataFrame, total: int) -> np.ndarray:
+    """Training bigrams by class and class, every word in its class."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = unpacked(row["classes"], np.int32).astype(np.int64)[unpacked(row["places"], np.int32)]
+                learned = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, np.frombuffer(row["lengths"], np.int32))
+                left = np.concatenate([[total - 1], now[:-1]])
+                sums = np.bincount((left * total + now)[learned], minlength=total * total)
+                seen = np.flatnonzero(sums)
+                yield {"pair": seen, "n": sums[seen]}
+
+    rows = on_batches(filled.select("classes", "places", "held", "lengths"), work, "pair int, n long", FEW)
+    return _summed(rows, total)
+
+
+def score_block(row: dict, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per document of a block: tokens, known tokens, base score and model score."""
     lengths = np.frombuffer(row["lengths"], np.int32)
-    places = unpacked(row["places"], np.int32)
-    numbers = _numbers(np.frombuffer(row["vocabulary"], np.uint64), model["head"])
-    kind = model["classes"][numbers]
+    places, totals, kind = unpacked(row["places"], np.int32), unpacked(row["totals"], np.int64), unpacked(row["classes"], np.int32)
     unigram = (totals + 1) / (model["tokens"] + model["words"] + 1)
-    rare = len(model["head"])
-    emission = np.where(
-        numbers == rare + 1, 1.0,
-        np.where(numbers < rare, totals / np.maximum(model["class_tokens"][kind], 1),
-                 (totals + 1) / (model["rare_tokens"] + model["rare_words"] + 1)),
-    )
+    emission = (totals + unpacked(row["rare"], bool)) / model["class_sizes"][kind]
     now = kind[places]
     before = np.concatenate([[len(model["move"]) - 1], now[:-1]])  # the end's class is the last
+    emission[kind == len(model["move"]) - 1] = emission[kind == len(model["move"]) - 2] = 1.0  # the end, words without counts
     mixed = model["mix"] * model["move"][before, now] * emission[places] + (1 - model["mix"]) * unigram[places]
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     add = lambda x: np.add.reduceat(x, starts)
     return lengths, add((totals > 0)[places].astype(np.int64)), add(np.log10(unigram)[places]), add(np.log10(mixed))
 
 
-def _scores(blocks: DataFrame, totals: DataFrame, model: dict) -> DataFrame:
-    answers = (
-        totals.where("block is not null").groupBy(F.col("block").alias("to"))
-        .agg(F.sort_array(F.collect_list(F.struct("owner", "totals"))).alias("x")).select("to", F.col("x.totals").alias("answers"))
-    )
-    joined = blocks.join(answers, blocks["block"] == answers["to"])
-
+def _scores(filled: DataFrame, model: dict) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for row in batch.to_pylist():
-                found = np.concatenate([unpacked(x, np.int64) for x in row["answers"]])
-                n, known, base, score = score_block(row, found, model)
+                n, known, base, score = score_block(row, model)
                 named = np.frombuffer(row["unnamed"], np.uint8) == 0
                 ids = np.frombuffer(row["ids"], np.int64)
                 yield {
@@ -342,7 +479,7 @@ def _scores(blocks: DataFrame, totals: DataFrame, model: dict) -> DataFrame:
                 }
 
     return on_batches(
-        joined.select("ids", "unnamed", "held", "lengths", "places", "vocabulary", "answers"), work,
+        filled, work,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", FEW,
     )
 
@@ -364,12 +501,13 @@ def class_scores(docs: DataFrame, parts: int = 7, held: int = 2, head: int = HEA
     top, counts = _head_words(totals, head)
     bigrams = materialize(_bigrams(blocks, top, shares))
     kind, table = cluster(bigrams, counts, classes, rounds)
-    tokens, vocabulary = int(sums["n"] or 0), int(sums["v"] or 0)
-    per_class = np.bincount(kind[: len(top)], weights=counts, minlength=len(table)) if len(top) else np.zeros(len(table))
-    ends = int(table[-1].sum())
-    model = {
-        "head": top, "classes": kind, "move": transitions(table), "class_tokens": per_class, "mix": mix, "tokens": tokens,
-        "words": vocabulary, "rare_tokens": tokens - int(counts.sum()) - ends,
-        "rare_words": max(0, vocabulary - len(top) - (1 if ends else 0)),
-    }
-    return _scores(blocks, totals, model)
+    free = len(table) - 2
+    assigned = materialize(_assigned(_contexts(blocks, top, kind, shares), table, free))
+    rare_words, rare_tokens = _rare_sums(assigned, free)
+    filled = materialize(_filled(blocks, totals, assigned, top, kind))
+    class_tokens = rare_tokens + np.bincount(kind[: len(top)], weights=counts, minlength=free)[:free]
+    sizes = np.concatenate([class_tokens + rare_words + 1, [1, 1]])  # one more for words without counts
+    move = transitions(_word_classes(filled, len(table)))
+    move[:, free] += (move[:, :free] / sizes[:free]).sum(axis=1)
+    model = {"move": move, "class_sizes": sizes, "mix": mix, "tokens": int(sums["n"] or 0), "words": int(sums["v"] or 0)}
+    return _scores(filled, model)

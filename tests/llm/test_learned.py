@@ -98,6 +98,16 @@ def test_exchange_finds_planted_classes(spark):
     assert 10 ** (-scores[0] / scores[1]) < 15  # 12 words to choose from, 36 without classes
 
 
+def test_words_outside_the_head_get_classes(spark):
+    """As above, but most words of each kind are too rare for the head."""
+    draw = np.random.default_rng(4)
+    word = lambda kind: f"{kind}{draw.integers(4)}" if draw.random() < 0.5 else f"{kind}x{draw.integers(60)}"
+    df = spark.createDataFrame([(k, " ".join(word("abc"[j % 3]) for j in range(60))) for k in range(300)], "doc_id long, text string")
+    rows = class_lm.class_scores(df, head=12, classes=3, mix=0.98, block_tokens=500).where("held_out")
+    scores = rows.agg(F.sum("score"), F.sum("n_tokens")).first()
+    assert 10 ** (-scores[0] / scores[1]) < 40  # 31 from half of 4 and half of 60 words, 93 without classes
+
+
 def test_transitions_are_distributions():
     table = np.random.default_rng(0).integers(0, 50, (9, 9))
     assert np.allclose(class_lm.transitions(table).sum(axis=1), 1)
