@@ -1,6 +1,6 @@
 """From raw documents to packed training sequences, stage by stage over written tables.
 
-Rows without an id pass all filters that compare documents by id and are packed like others. Empty and null texts are equal
+Rows without an id pass filters by id, are compared by their text as copies and near copies, and are packed like others. Empty and null texts are equal
 to each other, so one of them stays. All stages but the last keep the columns they got.
 """
 

@@ -18,9 +18,9 @@ copies costs a million comparisons a round, not their square. The last round com
 into blocks by size, and only pairs whose bitmaps allow a link leave a block. Every pair above the threshold is thus
 compared, or its two sets are already connected.
 
-Defined cases: fewer than five words make one shingle; null, empty or blank texts have no set and no links. Rows without an id
-are left out. Rows with the same id and the same set are one row; with different sets, each is a row, and the id's smallest
-component holds.
+Defined cases: fewer than five words make one shingle; null, empty or blank texts have no set and no links. Every row
+counts by its own set, also without an id or with one used before; rows are told apart by id and a 64-bit hash of the text. A
+component is named by its smallest id, by none if no row of it has one; ids go before none where one row stays.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.llm.graph import components
@@ -95,7 +95,8 @@ def close(shared, a, b, num: int = NUMERATOR, den: int = DENOMINATOR):
 
 
 def _with_text(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("mark"))
 
 
 def bucket_counts(docs: DataFrame) -> np.ndarray:
@@ -134,7 +135,7 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-ENTRY = "kind int, doc_id long, n long, key long, map binary, owner int, tokens binary, places binary, keys binary, sizes binary"
+ENTRY = "kind int, doc_id long, mark long, n long, key long, map binary, owner int, tokens binary, places binary, keys binary, sizes binary"
 
 
 def _entries(docs: DataFrame, counts: np.ndarray, shares: int, num: int, den: int) -> DataFrame:
@@ -157,7 +158,7 @@ def _entries(docs: DataFrame, counts: np.ndarray, shares: int, num: int, den: in
                         seen.add(key)
                     sets.append((key, array))
             k = len(ids)
-            yield {"kind": [0] * k, "doc_id": ids, "n": [x[0] for x in rows], "key": [x[1] for x in rows], "map": maps,
+            yield {"kind": [0] * k, "doc_id": ids, "mark": batch.column(2), "n": [x[0] for x in rows], "key": [x[1] for x in rows], "map": maps,
                    **{c: [None] * k for c in ("owner", "tokens", "places", "keys", "sizes")}}
             if not sets:
                 continue
@@ -177,7 +178,7 @@ def _entries(docs: DataFrame, counts: np.ndarray, shares: int, num: int, den: in
                 own = order[cuts[o] : cuts[o + 1]]
                 if len(own):
                     used, local = np.unique(places[own], return_inverse=True)
-                    yield {"kind": [1], "doc_id": [None], "n": [None], "key": [None], "map": [None], "owner": [o],
+                    yield {"kind": [1], "doc_id": [None], "mark": [None], "n": [None], "key": [None], "map": [None], "owner": [o],
                            "tokens": [tokens[own].tobytes()], "places": [local.astype(np.int32).tobytes()],
                            "keys": [keys[used].tobytes()], "sizes": [sizes[used].tobytes()]}
 
@@ -378,8 +379,13 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def _arrays(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """key, array of the sets in `pairs`, made again from the text of one document each."""
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
-    wanted = materialize(wanted.join(sets, "key").select(F.col("doc_id").alias("id"), F.col("key").alias("wanted")))
-    texts = _with_text(docs).join(wanted, F.col("doc_id") == F.col("id")).select("wanted", "text")
+    wanted = materialize(wanted.join(sets, "key").select(F.col("doc_id").alias("id"), F.col("mark").alias("hash"), F.col("key").alias("wanted")))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, F.col("doc_id") == F.col("id"))
+    texts = texts.select("wanted", "text")
+    unnamed = wanted.where("id is null")
+    if not unnamed.isEmpty():
+        found = _with_text(docs).where("doc_id is null").join(unnamed, F.col("mark") == F.col("hash"))
+        texts = texts.unionByName(found.select("wanted", "text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         table = Interned()
@@ -413,13 +419,18 @@ def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: in
     return materialize(on_batches(joined.select("x", "y", "x array", "y array"), work, "x long, y long"))
 
 
+def _first() -> Column:
+    """Of a group's rows, the one with the smallest id; rows without an id are last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("mark")))
+
+
 def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR, block: int = TILE_BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, n, key; roots: node, root) of all documents and of the linked sets."""
-    docs_rows = _with_text(docs)
+    """(rows: doc_id, mark, n, key; roots: node, root) of all documents and of the linked sets."""
     shares = owners(docs.sparkSession)
     entries = materialize(_entries(docs, bucket_counts(docs), shares, num, den))
-    rows = entries.where("kind = 0").select("doc_id", "n", "key", "map")
-    sets = materialize(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("map").alias("map")))
+    rows = entries.where("kind = 0").select("doc_id", "mark", "n", "key", "map")
+    sets = rows.where("key is not null").groupBy("key").agg(_first().alias("first"), F.first("map").alias("map"))
+    sets = materialize(sets.select("key", "first.doc_id", F.expr("if(first.unnamed, first.mark, null)").alias("mark"), "map"))
     tiles = materialize(_tiles(entries, num, den))
     session = docs.sparkSession
     links = session.createDataFrame([], "x long, y long")
@@ -433,19 +444,23 @@ def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR,
             pairs = _possible(_hub_pairs(tiles, turn, num, den), sets, num, den)
         else:
             pairs = _rest_pairs(tiles, sets, num, den, block).dropDuplicates(["x", "y"])
-        found = _links(docs_rows, pairs, sets, num, den)
+        found = _links(docs, pairs, sets, num, den)
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))))
-    return rows.select("doc_id", "n", "key"), roots
+    return rows.select("doc_id", "mark", "n", "key"), roots
 
 
-def near_duplicates(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR, block: int = TILE_BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document with an id."""
+def _rooted(docs: DataFrame, num: int, den: int, block: int) -> DataFrame:
     rows, roots = similar_sets(docs, num, den, block)
-    rooted = rows.join(roots, rows["key"] == roots["node"], "left").select(
-        "doc_id", "n", "key", F.coalesce("root", "key").alias("root")
+    return rows.join(roots, rows["key"] == roots["node"], "left").select(
+        "doc_id", "mark", "n", F.coalesce("root", "key").alias("root")
     )
+
+
+def near_duplicates(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR, block: int = TILE_BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    rooted = _rooted(docs, num, den, block)
     # written, so that Spark may split a large component's rows in the join
     smallest = materialize(rooted.where("root is not null").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id")))
     return rooted.join(smallest, F.col("root") == F.col("of"), "left").select(
@@ -454,6 +469,17 @@ def near_duplicates(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATO
 
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
-    """The documents that are the smallest of their component, with all their columns; rows without an id stay."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    """One document of each component, the first by id, with all its columns; rows without words stay."""
+    rooted = _rooted(docs, NUMERATOR, DENOMINATOR, TILE_BLOCK).where("root is not null")
+    kept = materialize(rooted.groupBy(F.col("root").alias("of")).agg(_first().alias("kept")))
+    stays = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("mark") == F.col("kept.mark"))
+    rows = rooted.join(kept, F.col("root") == F.col("of")).groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("hash"))
+    lost = materialize(rows.agg(F.first(stays).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))
+    keyed = docs.select(*docs.columns, F.xxhash64(F.col("text").cast("string")).alias("hash of text"))
+    same = lambda rows: keyed["doc_id"].eqNullSafe(rows["id"]) & (keyed["hash of text"] == rows["hash"])
+    repeated = lost.where("stays")
+    alone = keyed.join(lost, same(lost), "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return alone
+    once = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "hash of text"]).select(*docs.columns)
+    return alone.unionByName(once)

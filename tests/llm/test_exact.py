@@ -94,6 +94,21 @@ def test_rows_without_an_id_stay(spark, edge):
     assert left.columns == edge.columns and left.where("doc_id is null").count() == 2
 
 
+def test_repeated_and_missing_ids_count_by_their_text(spark):
+    near = lambda k: " ".join([*(f"w{j}" for j in range(60)), f"end{k}"])
+    far = lambda k: " ".join(f"{k}v{j}" for j in range(40))
+    rows = [(1, near(1)), (5, near(2)), (5, far("a")), (None, near(3)), (7, far("b")), (7, far("b") + " x"), (8, far("c")), (8, far("c")),
+            (None, far("d")), (None, far("d") + " y"), (None, far("e")), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = as_rows(shingle_join.keep_one_per_group(df))
+    assert {(1, near(1)), (5, far("a")), (8, far("c")), (None, far("e")), (None, None)} <= set(left)
+    assert len([k for k, _ in left if k == 7]) == 1 and len([t for _, t in left if t and "dv" in t]) == 1 and len(left) == 7
+    got = sorted((tuple(r) for r in shingle_join.near_duplicates(df).collect()), key=str)
+    want = [(1, 57, 1), (5, 57, 1), (5, 36, 5), (None, 57, 1), (7, 36, 7), (7, 37, 7), (8, 36, 8), (8, 36, 8), (None, 36, None),
+            (None, 37, None), (None, 36, None), (None, 0, None)]
+    assert got == sorted(want, key=str)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=200), st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=60))
 def test_bitmaps_bound_the_intersection(a, b):
