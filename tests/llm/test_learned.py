@@ -144,6 +144,11 @@ def test_added_card_numbers(spark, middle):
     assert got[10**6 + 1]["spans"] == ""
 
 
+@pytest.mark.parametrize("text", ["name [ at ] host [ dot ] org", "name (At) host.org", "name[aT ]host(DOT)org", "name (at) host.org"])
+def test_spelled_addresses_are_proposed(text):
+    assert (0, 0, len(text)) in pii.candidates(text)
+
+
 def test_redaction_keeps_rows_and_clean_texts(spark, middle, edge, empty):
     before, after = dict(as_rows(middle)), dict(as_rows(pii.redact(middle)))
     assert before.keys() == after.keys()
