@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import bpe, class_lm, exact_dedup, language, line_dedup, packing, pii, quality, shingle_join, toxicity
+from stockcast.llm import (
+    bpe, class_lm, exact_dedup, language, line_dedup, packing, periodic_runs, pii, quality, shingle_join, toxicity,
+)
 from stockcast.llm.text import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +59,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(pages, "page_id", line_dedup.host_of("url"), line_dedup.page_text("html"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.find_runs(read_documents(spark, sf_dir), periodic_runs.with_planted_run))
+
+
 QUERIES = (
     op1_packing, op2_language, op3_ngram_jaccard, op4_class_lm, op5_bpe, op6_pii, op7_toxicity, op8_exact_dedup,
-    op9_quality_rules, op10_line_dedup,
+    op9_quality_rules, op10_line_dedup, op11_periodic_runs,
 )
 REGISTRY: dict[str, Query] = {f.__name__: f for f in QUERIES}
