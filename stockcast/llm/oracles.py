@@ -34,4 +34,21 @@ from l left join often on l.host = often.host and l.line = often.line
 group by l.page_id, l.host
 """
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_EXACT_DEDUP, "op10_line_dedup": OP10_LINE_DEDUP}
+OP12_TOP_PRODUCTS = """
+with v as (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select q.vec_id as query_id, q.row as q_row, c.vec_id, c.row, list_dot_product(q.v, c.v)::bigint as score
+  from v q join v c on q.row <> c.row where q.vec_id % 50 = 0
+),
+placed as (
+  select *, row_number() over (partition by q_row order by score desc, vec_id nulls last, row) as place from scored
+)
+select query_id, place::int as rank, vec_id, score from placed where place <= 5
+"""
+
+ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_EXACT_DEDUP, "op10_line_dedup": OP10_LINE_DEDUP, "op12_top_products": OP12_TOP_PRODUCTS}

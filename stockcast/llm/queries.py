@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockcast.llm import (
-    bpe, class_lm, exact_dedup, language, line_dedup, packing, periodic_runs, pii, quality, shingle_join, toxicity,
+    bpe, class_lm, exact_dedup, language, line_dedup, metric_tree, packing, periodic_runs, pii, quality, shingle_join, toxicity,
 )
 from stockcast.llm.text import read_documents
 
@@ -63,8 +64,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.find_runs(read_documents(spark, sf_dir), periodic_runs.with_planted_run))
 
 
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = metric_tree.whole_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+    return metric_tree.top_products(vectors, F.col("id") % 50 == 0, 5)
+
+
 QUERIES = (
     op1_packing, op2_language, op3_ngram_jaccard, op4_class_lm, op5_bpe, op6_pii, op7_toxicity, op8_exact_dedup,
-    op9_quality_rules, op10_line_dedup, op11_periodic_runs,
+    op9_quality_rules, op10_line_dedup, op11_periodic_runs, op12_top_products,
 )
 REGISTRY: dict[str, Query] = {f.__name__: f for f in QUERIES}
