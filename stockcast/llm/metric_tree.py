@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stockcast.llm.text import materialize, on_batches, packed, unpacked
 
-PIVOTS, ROWS_A_PIVOT, TREE_ROWS, PAGE, DIRECTORY, QUERIES = 4096, 1024, 8192, 128, 512, 256
+PIVOTS, ROWS_A_PIVOT, TREE_ROWS, PAGE, DIRECTORY, QUERIES = 4096, 1024, 8192, 256, 512, 256
 PIVOT_BYTES, TREE_BYTES = 32 << 20, 16 << 20
 #: of the largest norm: more than the rounding of a distance (about 1e-7 of it near 0)
 SLACK = 1e-6
@@ -176,7 +176,8 @@ class Tree:
                     heapq.heappush(heap, (float(least[j]), int(kept[j]), float(each[j])))
                 continue
             kept = a + np.flatnonzero(np.abs(distance - self.near[a:b]) <= limit + margin)
-            scores = (self.floats[kept] @ floats).astype(np.int64) if exact else self.v[kept] @ q
+            within = slice(a, b) if len(kept) == b - a else kept  # no copy of a whole page
+            scores = (self.floats[within] @ floats).astype(np.int64) if exact else self.v[within] @ q
             computed += len(kept)
             floor = best[-1][0] if len(best) == k else bound
             good = self.row[kept] != own
