@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockcast.llm import (
-    bpe, class_lm, exact_dedup, language, line_dedup, metric_tree, packing, periodic_runs, pii, quality, shingle_join, toxicity,
+    bpe, class_lm, conversation_repair, exact_dedup, language, line_dedup, metric_tree, packing, periodic_runs, pii, quality,
+    shingle_join, toxicity,
 )
 from stockcast.llm.text import read_documents
 
@@ -69,8 +70,14 @@ def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_tree.top_products(vectors, F.col("id") % 50 == 0, 5)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair(conversation_repair.damaged(conversations), conversations)
+
+
 QUERIES = (
     op1_packing, op2_language, op3_ngram_jaccard, op4_class_lm, op5_bpe, op6_pii, op7_toxicity, op8_exact_dedup,
     op9_quality_rules, op10_line_dedup, op11_periodic_runs, op12_top_products,
+    op13_conversation_repair,
 )
 REGISTRY: dict[str, Query] = {f.__name__: f for f in QUERIES}
