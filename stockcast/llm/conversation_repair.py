@@ -52,21 +52,21 @@ ADJACENT = {"su", "ua", "au"}
 Turn = tuple[bool, int, str]
 
 
-def lower_bounds(turns: list[Turn]) -> list[int]:
+def lower_bounds(turns: list[Turn], initials: str = "sua") -> list[int]:
     """At each place a cost that the turns from there on have at least: what each turn costs by itself, and 3 or more for two
-    neighbours that cannot both stay without an edit or something between them."""
+    neighbours that cannot both stay without an edit or something between them. Turns with other `initials` cannot be kept."""
     least = lambda extra: min(DELETE, extra)
     out, after = [0] * (len(turns) + 1), None  # after: the next turn that may stay
     for k in range(len(turns) - 1, -1, -1):
         gone, extra, initial = turns[k]
-        known = initial in ("s", "u", "a")
+        known = initial != "" and initial in initials
         own = DELETE if gone else least(extra if known else extra + REROLE)
         out[k] = own + out[k + 1]
         if gone:
             continue
         if known and after is not None:
             _, extra2, initial2 = turns[after]
-            if initial2 in ("s", "u", "a") and initial + initial2 not in ADJACENT:
+            if initial2 and initial2 in initials and initial + initial2 not in ADJACENT:
                 both = min(extra + extra2 + min(REROLE, INSERT), DELETE + least(extra2), DELETE + least(extra))
                 out[k] = max(out[k], both + DELETE * (after - k - 1) + out[after + 1])
         after = k
@@ -85,8 +85,19 @@ def cheapest(turns: list[Turn], begin: int = NOTHING, end: int | None = None) ->
     ends = ACCEPTING if end is None else (end,)
     if not any(_reachable(turns, begin, e) for e in ends):
         return None
-    rest, n = lower_bounds(turns), len(turns)
-    bound = rest[0]
+    n = len(turns)
+    if end in (NOTHING, AFTER_S):  # nothing leads back there: every turn goes, but for one kept s on the way from the start
+
+        def least(k: int, state: int) -> float:
+            return math.inf if state not in (NOTHING, end) else DELETE * max(0, n - k - (state != end))
+    else:
+        rest = lower_bounds(turns, "ua")  # an s can only be kept at the start, and there only one
+        start = [max(a, b - DELETE) for a, b in zip(lower_bounds(turns), rest, strict=True)]
+
+        def least(k: int, state: int) -> float:
+            return (rest if state != NOTHING else start)[k]
+
+    bound = least(0, begin)
     while True:
         failed, above = {}, math.inf
 
@@ -105,7 +116,7 @@ def cheapest(turns: list[Turn], begin: int = NOTHING, end: int | None = None) ->
                         moves.append(("K", k + 1, NEXT[state, initial], KEEP + extra))
                     moves.append(("R", k + 1, NEXT[state, WANTED[state]], REROLE + extra))
             for edit, at, to, cost in moves:
-                over = cost + rest[at] - left
+                over = cost + least(at, to) - left
                 if over > 0:
                     above = min(above, bound + over)
                 elif (path := go(at, to, left - cost)) is not None:

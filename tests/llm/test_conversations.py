@@ -90,9 +90,13 @@ def test_bounds_never_exceed_the_cost():
             assert low <= plain_cheapest(turns[k:], cr.NOTHING, cr.ACCEPTING)[0]
 
 
-def test_long_stretch_of_one_role():
-    cost, audit = cr.cheapest([(False, 0, "u")] * 128)
-    assert (cost, audit) == plain_cheapest([(False, 0, "u")] * 128, cr.NOTHING, cr.ACCEPTING)
+@pytest.mark.parametrize("roles", ["u", "a", "s", "x", "su", "uua", "ssa", "xau", "random"])
+def test_long_pieces_of_odd_roles(roles):
+    draw = random.Random(3)
+    turns = random_turns(draw, cr.PIECE) if roles == "random" else [(False, 0, c) for c in (roles * cr.PIECE)[: cr.PIECE]]
+    assert cr.cheapest(turns) == plain_cheapest(turns, cr.NOTHING, cr.ACCEPTING)
+    for a, b in cr.WAYS:
+        assert cr.cheapest(turns, a, b) == plain_cheapest(turns, a, (b,))
 
 
 def plain_damage(rows):
