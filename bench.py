@@ -33,8 +33,8 @@ HEADLINE = [
 
 def grown_impact(spark, rows, series):
     """Impact dates of the top series, one pair holding a third of the sales."""
-    top = impact.top_series(series, 30)
-    return impact.impact_dates(demand.train_split(rows, top), top)
+    top = materialize(impact.top_series(series, 30))
+    return impact.impact_dates(impact.top_demand(rows, top), top)
 
 
 def grown_pareto(spark, rows, series):

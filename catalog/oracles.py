@@ -235,7 +235,8 @@ def _predicted(first: str, lag: str) -> str:
     """The published formula over the days from `first` to 14 days after the training data."""
     return f"""
     select ds, {SERIES}, promo_flag, z.y_scale * case when m % 2 = 0 then trend + effect else trend * (1 + effect) end yhat,
-      1.2815515655446004 * z.sigma * z.y_scale margin
+      1.2815515655446004 * z.y_scale * sqrt(z.sigma * z.sigma + case when m % 2 = 0 then 1 else (1 + effect) * (1 + effect) end
+        * 2 * power(abs(bend_1) + abs(bend_2), 2) / 2 / 3 * power(greatest(t - 1, 0), 3)) margin
     from (select x.*,
         level + slope * t + bend_1 * greatest(t - 0.25, 0) + bend_2 * greatest(t - 0.5, 0) trend,
         case when k % 6 = 0 then 0 else list_extract(list_value({", ".join(fx.MODEL_WEEK)}), isodow(ds)::int) end

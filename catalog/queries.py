@@ -188,8 +188,8 @@ def _train_and_top(spark, sf, n):
     rows = stored_demand(spark, sf)
     stats = materialize(demand.series_stats(rows))
     series = materialize(demand.train_volume(stats.join(demand.series_latest(stats), SERIES)).select(*SERIES, "volume", "latest_date"))
-    top = impact.top_series(series, n)
-    return demand.train_split(rows, top), top
+    top = materialize(impact.top_series(series, n))
+    return impact.top_demand(rows, top), top
 
 
 @register

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stockcast import PAIR, SERIES
+from stockcast.operators.demand import train_split
+from stockcast.operators.prefilter import keep_wanted
 from stockcast.operators.ranking import top_n
 from stockcast.settings import DEFAULT_SETTINGS, ZSCORE_RULES
 
@@ -20,6 +22,12 @@ def top_series(series: DataFrame, n: int | None = None) -> DataFrame:
     return top_n(series, PAIR, [F.desc("volume"), F.asc("Shop_SKU")], limit)
 
 
+def top_demand(demand: DataFrame, top: DataFrame) -> DataFrame:
+    """Demand of the top series before their pair's last day. `top` (written down, with latest_date) is read twice: its filter cuts
+    the demand where it is scanned, so that only the top series' rows are exchanged, however many series that are."""
+    return train_split(keep_wanted(demand, top, SERIES), top)
+
+
 def zscore_detail(
     train: DataFrame, top: DataFrame, rules: list[tuple[int, float]] = ZSCORE_RULES
 ) -> DataFrame:

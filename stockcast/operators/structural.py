@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from stockcast import PAIR, SERIES, schemas
 from stockcast.functions.structural_fit import YEAR, YEARLY_ORDER, fit_series
 from stockcast.operators.calendar import holiday_features
-from stockcast.operators.features import future_days
 from stockcast.operators.promo import with_promo_days
 from stockcast.settings import DEFAULT_SETTINGS, HOLIDAY_TOGGLES
 
@@ -117,32 +116,105 @@ def parse_models(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col("model_json").isNotNull()).select(*SERIES, parsed)
 
 
-def _yearly(model: Column, ds: Column) -> Column:
-    coefs, angle = model["yearly"], F.unix_date(ds) * (2.0 * math.pi / YEAR)
+def _yearly(model: Column, day: Column) -> Column:
+    """Yearly effect of a day number."""
+    coefs, angle = model["yearly"], day * (2.0 * math.pi / YEAR)
     total = F.lit(0.0)
     for i in range(1, YEARLY_ORDER + 1):
         total = total + F.get(coefs, F.lit(2 * i - 2)) * F.sin(angle * i) + F.get(coefs, F.lit(2 * i - 1)) * F.cos(angle * i)
     return F.when(F.size(coefs) == 2 * YEARLY_ORDER, total).otherwise(0.0)
 
 
-def _model_value(model: Column, ds: Column, promo_flag: Column, lag_fill: str) -> Column:
-    t = F.datediff(ds, model["first_ds"].cast("date")) / model["span_days"]
-    bends = F.zip_with(model["change_by"], model["change_at"], lambda by, at: by * F.greatest(t - at, F.lit(0.0)))
-    trend = model["level"] + model["slope"] * t + F.aggregate(bends, F.lit(0.0), lambda a, b: a + b)
+def _span(begin: Column, end: Column) -> Column:
+    """begin, begin + 1, ... up to before `end`; empty if there is none."""
+    return F.when(begin < end, F.sequence(begin, end - 1)).otherwise(F.array().cast("array<int>"))
 
-    def share(r):
-        lag = r["last"] if lag_fill == "last" else F.lit(0.0)
-        value = F.when(r["name"] == "promo_flag", promo_flag.cast("double")).otherwise(lag)
-        return r["coef"] * (value - r["center"]) / r["scale"]
 
-    effect = (
-        F.coalesce(F.get(model["weekly"], F.weekday(ds)), F.lit(0.0))
-        + _yearly(model, ds)
-        + F.coalesce(F.try_element_at(model["holiday_effect"], ds.cast("string")), F.lit(0.0))
-        + F.aggregate(F.transform(model["regressors"], share), F.lit(0.0), lambda a, b: a + b)
+def _dense(entries: Column, begin: Column, end: Column, empty: Column) -> Column:
+    """One value per day from `begin` to before `end`: that of the sorted entries (day, value) in between, else `empty`.
+
+    Built from the gaps between entries, so its cost is the days plus the entries; no day searches for its entry.
+    """
+    count = F.size(entries)
+
+    def block(k):
+        day = F.when(k == 0, begin - 1).otherwise(F.get(entries, k - 1)["day"])
+        following = F.when(k == count, end).otherwise(F.get(entries, k)["day"])
+        own = F.when(k == 0, F.slice(F.array(empty), 1, 0)).otherwise(F.array(F.get(entries, k - 1)["value"]))
+        return F.concat(own, F.array_repeat(empty, following - day - 1))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), count), block))
+
+
+def _with_segments(spans: DataFrame) -> DataFrame:
+    """`_segments`: the straight pieces of the trend, with the days they cover (counted from first_ds) and their two numbers."""
+    bends = F.array_sort(F.transform(F.arrays_zip("model.change_at", "model.change_by"), lambda b: F.struct(b["change_at"].alias("at"), b["change_by"].alias("by"))))
+    bent = spans.withColumn("_bends", F.coalesce(bends, F.array().cast("array<struct<at:double,by:double>>")))
+    first, end = F.col("_begin") - F.unix_date("first_ds"), F.col("_end") - F.unix_date("first_ds")
+
+    def place(at):  # the first whole day behind the changepoint, inside the days asked for
+        return F.least(F.greatest(F.ceil(at * F.col("model.span_days")).cast("int"), first), end)
+
+    def segment(k):
+        passed = F.slice("_bends", F.lit(1), k)
+        return F.struct(
+            F.when(k == 0, first).otherwise(place(F.get("_bends", k - 1)["at"])).alias("begin"),
+            F.when(k == F.size("_bends"), end).otherwise(place(F.get("_bends", k)["at"])).alias("end"),
+            F.aggregate(passed, F.col("model.level"), lambda total, b: total - b["by"] * b["at"]).alias("level"),
+            F.aggregate(passed, F.col("model.slope"), lambda total, b: total + b["by"]).alias("slope"),
+        )
+
+    return bent.withColumn("_segments", F.transform(F.sequence(F.lit(0), F.size("_bends")), segment))
+
+
+def _effects(spans: DataFrame, lag_fill: str) -> DataFrame:
+    """Per model the day-aligned arrays `_trend`, `_season`, `_holiday`, `_flag`, and the numbers that hold for all its days."""
+    model, begin, end = F.col("model"), F.col("_begin"), F.col("_end")
+    entries = F.transform(
+        F.map_entries("model.holiday_effect"),
+        lambda e: F.struct(F.unix_date(e["key"].cast("date")).alias("day"), e["value"].alias("value")),
+    )
+    inside = F.array_sort(F.filter(entries, lambda e: (e["day"] >= begin) & (e["day"] < end)))
+    promoted = F.filter(F.coalesce("_promo", F.array().cast("array<int>")), lambda d: (d >= begin) & (d < end))
+    listed = F.transform(promoted, lambda d: F.struct(d.alias("day"), F.lit(1).alias("value")))
+    weekday = lambda d: F.get(model["weekly"], F.pmod(d + 3, F.lit(7)))  # noqa: E731  day 0 was a Thursday
+    season = F.transform(_span(begin, end), lambda d: F.coalesce(weekday(d), F.lit(0.0)) + _yearly(model, d))
+    lines = F.transform("_segments", lambda g: F.transform(_span(g["begin"], g["end"]), lambda x: g["level"] + g["slope"] * (x / model["span_days"])))
+
+    def share(value):
+        """Sum of the regressors' effects, where `value` is the promotion flag."""
+        lag = (lambda r: r["last"]) if lag_fill == "last" else (lambda r: F.lit(0.0))
+        own = lambda r: F.when(r["name"] == "promo_flag", F.lit(value)).otherwise(lag(r))
+        return F.aggregate(model["regressors"], F.lit(0.0), lambda total, r: total + r["coef"] * (own(r) - r["center"]) / r["scale"])
+
+    none = F.struct(F.lit(0).alias("day"), F.lit(0.0).alias("value"))
+    return spans.withColumn("_inside", F.coalesce(inside, F.slice(F.array(none), 1, 0))).withColumn("_listed", listed).withColumns(
+        {
+            "_trend": F.flatten(lines),
+            "_season": season,
+            "_holiday": _dense(F.col("_inside"), begin, end, F.lit(0.0)),
+            "_flag": _dense(F.col("_listed"), begin, end, F.lit(0)),
+            "_off": share(0.0),
+            "_on": share(1.0),
+            "_many": model["mode"] == "multiplicative",
+            "_scale": model["y_scale"],
+            "_noise": model["sigma"] * model["sigma"],
+            "_span_days": model["span_days"],
+            "_bend_rate": _bend_rate(model),
+        }
     )
-    value = F.when(model["mode"] == "multiplicative", trend * (1.0 + effect)).otherwise(trend + effect)
-    return value * model["y_scale"]
+
+
+def _bend_rate(model: Column) -> Column:
+    """What the variance of the trend grows by with the third power of the time ahead.
+
+    As published, changepoints go on as often as in the history (their number per unit of time), each by a Laplace
+    draw whose scale is their mean size. A bend of variance 2 * scale**2 at time s moves the trend by its size times
+    (t - s), so the sum over a Poisson stream has the variance count * 2 * scale**2 * h**3 / 3 at the time h ahead.
+    """
+    count = F.size(model["change_by"])
+    total = F.aggregate(model["change_by"], F.lit(0.0), lambda total, by: total + F.abs(by))
+    return F.when(count > 0, 2.0 * total * total / count / 3.0).otherwise(0.0)
 
 
 def predict(
@@ -155,33 +227,45 @@ def predict(
 ) -> DataFrame:
     """Forecast of each model's days, all in JVM expressions.
 
-    Training fills the lags of every day with the last known values ('last'), scoring with 0
-    ('zero'). A `periods` column of the models wins over the parameter; columns in `keep` are
-    carried on.
+    Each model makes its trend, its seasonal and holiday effects and its promotion flags as arrays aligned by day; what is
+    exploded are their values, so no row of the forecast carries a model, a map or an array. Training fills the lags of every day with the last
+    known values ('last'), scoring with 0 ('zero'). A `periods` column of the models wins over the parameter; columns in
+    `keep` are carried on. The bounds hold 80 %: noise, and behind the training data the uncertainty of the trend.
     """
     if lag_fill not in ("last", "zero"):
         raise ValueError("lag_fill is 'last' or 'zero'")
+    ahead = F.col("periods") if "periods" in models.columns else F.lit(periods)
     spans = models.withColumns(
         {
             "first_ds": F.col("model.first_ds").cast("date"),
             "last_ds": F.col("model.last_ds").cast("date"),
         }
     )
-    promoted = F.lit(False)
-    if promo_daily is not None:  # joined per model, so that no shuffle ever moves a model once per day
+    if promo_daily is None:
+        spans = spans.withColumn("_promo", F.lit(None).cast("array<int>"))
+    else:  # joined per model, so that no shuffle ever moves a model once per day
         spans = with_promo_days(spans, promo_daily)
-        promoted = F.coalesce(F.array_contains("_promo", F.unix_date("ds")), F.lit(False))
         if "use_promotions" in models.columns:
-            promoted = promoted & F.col("use_promotions")
-    # only holidays of the days to come matter when the history is not asked for; the others are not searched each day
-    if not include_history:
-        later = F.map_filter("model.holiday_effect", lambda ds, _: ds > F.col("model.last_ds"))
-        spans = spans.withColumn("model", F.col("model").withField("holiday_effect", later))
-    frame = future_days(spans, periods, include_history).withColumn("promo_flag", promoted.cast("int"))
-    model = F.col("model")
-    yhat = _model_value(model, F.col("ds"), F.col("promo_flag"), lag_fill)
-    margin = F.lit(Z80) * model["sigma"] * model["y_scale"]
-    valued = frame.select("ds", *SERIES, "promo_flag", yhat.alias("yhat"), margin.alias("_margin"), *keep)
+            spans = spans.withColumn("_promo", F.when(F.col("use_promotions"), F.col("_promo")))
+    spans = spans.withColumns(
+        {
+            "_begin": F.unix_date("first_ds") if include_history else F.unix_date("last_ds") + 1,
+            "_end": F.unix_date("last_ds") + 1 + ahead.cast("int"),
+        }
+    ).filter(F.col("_begin") < F.col("_end"))
+    aligned = _effects(_with_segments(spans), lag_fill).select(
+        *SERIES, *keep, "_off", "_on", "_many", "_scale", "_noise", "_span_days", "_bend_rate", "first_ds",
+        F.inline(F.arrays_zip(_span(F.col("_begin"), F.col("_end")).alias("day"), "_trend", "_season", "_holiday", "_flag")),
+    )
+    effect = F.col("_season") + F.col("_holiday") + F.when(F.col("_flag") == 1, F.col("_on")).otherwise(F.col("_off"))
+    factor = F.when(F.col("_many"), 1.0 + F.col("_effect")).otherwise(1.0)
+    beyond = F.greatest((F.col("day") - F.unix_date("first_ds")) / F.col("_span_days") - 1.0, F.lit(0.0))
+    spread = F.sqrt(F.col("_noise") + factor * factor * F.col("_bend_rate") * beyond * beyond * beyond)
+    yhat = F.when(F.col("_many"), F.col("_trend") * (1.0 + F.col("_effect"))).otherwise(F.col("_trend") + F.col("_effect"))
+    valued = aligned.withColumn("_effect", effect).select(
+        F.date_from_unix_date("day").alias("ds"), *SERIES, F.col("_flag").alias("promo_flag"),
+        (yhat * F.col("_scale")).alias("yhat"), (F.lit(Z80) * spread * F.col("_scale")).alias("_margin"), *keep,
+    )
     low, high = F.col("yhat") - F.col("_margin"), F.col("yhat") + F.col("_margin")
     return valued.select(
         "ds", *SERIES, "yhat", low.alias("yhat_lower"), high.alias("yhat_upper"), "promo_flag", *keep

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stockcast import PAIR, SERIES
 from stockcast.operators import calendar, config as settings_table, demand as cuts, post, promo, routing
 from stockcast.operators.demand import filter_scope
-from stockcast.operators.impact import impact_dates, top_series
+from stockcast.operators.impact import impact_dates, top_demand, top_series
 from stockcast.operators.poisson import bad_rates, poisson_forecast
 from stockcast.operators.structural import fit_inputs, fit_models, parse_models, predict
 from stockcast.session import materialize
@@ -122,10 +122,10 @@ def train_forecast(
 
     base = calendar.base_holidays(holidays)
     train, test = cuts.train_split(demand, series), cuts.test_split(demand, test_days, series)
-    top = top_series(series)
+    top = materialize(top_series(series))
     windows = settings.select(*PAIR, "impact_lower_window", "impact_upper_window")
     # the top series bring their pair's last day along: they alone are cut and windowed
-    recent = cuts.train_split(demand, top)
+    recent = top_demand(demand, top)
     impact_days = materialize(calendar.impact_holidays(impact_dates(recent, top, rules).join(windows, PAIR)))
     all_holidays = calendar.with_impact(calendar.toggle_holidays(base, settings), impact_days)
 

@@ -364,3 +364,130 @@ def test_no_join_or_window_on_the_pair_moves_demand_rows(spark):
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     by_pair = [line for line in shuffles if "Shop_SKU" not in line.split("),")[0] and "_slice" not in line]
     assert len(by_pair) == 1  # the final ranking of the sliced top series, not the demand
+
+
+def exchanged_rows(df):
+    """Records written by each exchange of the plan that ran."""
+    df.collect()
+    counts = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            counts.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if kind == "AdaptiveSparkPlanExec":
+            inner = [node.executedPlan()]
+        elif kind.endswith("QueryStageExec"):
+            inner = [node.plan()]
+        else:
+            inner = [node.children().apply(k) for k in range(node.children().size())]
+        for child in inner:
+            walk(child)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return counts
+
+
+def test_only_top_series_reach_an_exchange(spark):
+    """With broadcasting off, the demand is cut at its scan: none of the many small series' rows is exchanged."""
+    from stockcast.operators import demand, impact, prefilter
+    from stockcast.session import materialize
+
+    rng = np.random.default_rng(13)
+    rows = materialize(_demand(spark, {("c", "w", f"s{k}"): rng.poisson(1 + 40 * (k < 5), 40) for k in range(400)}))
+    stats = materialize(demand.series_stats(rows))
+    series = materialize(demand.train_volume(stats.join(demand.series_latest(stats), SERIES)))
+    top = materialize(impact.top_series(series, 5))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = impact.zscore_detail(impact.top_demand(rows, top), top)
+        moved = exchanged_rows(found)
+        whole = impact.zscore_detail(demand.train_split(rows, top), top)
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows.count() == 16_000 and found.count() == 5 * 39
+    assert moved and max(moved) <= 5 * 40 + 40  # at most one series more by a shared slot
+    assert prefilter.broadcasts(top) and prefilter.keep_wanted(rows, top, SERIES) is rows
+    few = prefilter.keep_wanted(rows, top, SERIES, 1 << 16)
+    assert few.join(top, SERIES, "left_semi").count() == 5 * 40
+
+
+def test_runtime_filter_edges(spark):
+    from stockcast.operators import prefilter
+
+    rows = small_table(spark, [(None, "x"), ("a", None), ("a", "x"), ("", ""), ("b", "y")] * 2, "k string, v string")
+    none = rows.filter("k = 'zz'")
+    kept = lambda keys: prefilter.keep_wanted(rows, keys, ["k", "v"], 1 << 20)
+    assert kept(none).count() == 0 and kept(rows).count() == 10
+    assert {tuple(r) for r in kept(rows.filter("k = 'a'")).collect()} == {("a", None), ("a", "x")}
+    many = rows.sparkSession.range(20_000).selectExpr("cast(id as string) k")
+    held = prefilter.keep_wanted(many, many.filter("k % 10 = 0"), ["k"], prefilter.filter_bits(many.filter("k % 10 = 0")))
+    assert held.filter("k % 10 = 0").count() == 2000 and held.count() < 2000 + 18_000 / 8
+
+
+def _one_model(spark, mode="additive", **changed):
+    body = {
+        "mode": mode, "first_ds": "2001-01-01", "last_ds": "2001-04-10", "span_days": 99.0, "y_scale": 10.0, "slope": 0.4, "level": 0.2,
+        "change_at": [0.3, 0.1, 0.7], "change_by": [0.5, -0.2, 0.1], "weekly": [0.01 * k for k in range(7)], "yearly": [],
+        "holiday_effect": {"2001-01-01": 0.2, "2001-02-03": -0.1, "2001-04-20": 0.3, "2000-12-31": 9.0}, "sigma": 0.05, "n_rows": 100,
+        "regressors": [{"name": "y_lag1", "coef": 0.1, "center": 2.0, "scale": 4.0, "last": 3.0}, {"name": "promo_flag", "coef": 0.3, "center": 0.0, "scale": 1.0, "last": 1.0}],
+        **changed,
+    }
+    return small_table(spark, [("c", "w", "s", json.dumps(body))], "customer_code string, warehousecode string, Shop_SKU string, model_json string"), body
+
+
+@pytest.mark.parametrize("mode", ["additive", "multiplicative"])
+@pytest.mark.parametrize("include_history", [True, False])
+def test_prediction_day_by_day(spark, mode, include_history):
+    """Every day by itself: trend by its changepoints, season, holiday and regressors; bounds by the closed variance."""
+    documents, body = _one_model(spark, mode)
+    promoted = small_table(spark, [(dt.date(2001, 2, 3), "s", 1), (dt.date(2001, 4, 12), "s", 1), (dt.date(1999, 1, 1), "s", 1)], "ds date, Shop_SKU string, promo_flag int")
+    got = {r.ds: r for r in structural.predict(structural.parse_models(documents), 30, promoted, include_history=include_history).collect()}
+    first, last = dt.date(2001, 1, 1), dt.date(2001, 4, 10)
+    days = [first + dt.timedelta(k) for k in range(130)]
+    assert set(got) == {d for d in days if include_history or d > last}
+    for ds, row in got.items():
+        t = (ds - first).days / 99.0
+        trend = 0.2 + 0.4 * t + sum(by * max(t - at, 0) for at, by in zip(body["change_at"], body["change_by"]))
+        flag = int(ds in (dt.date(2001, 2, 3), dt.date(2001, 4, 12)))
+        effect = 0.01 * ds.weekday() + body["holiday_effect"].get(str(ds), 0.0) + 0.1 * (3.0 - 2.0) / 4.0 + 0.3 * flag
+        yhat = 10 * (trend + effect if mode == "additive" else trend * (1 + effect))
+        factor = 1 if mode == "additive" else 1 + effect
+        variance = 2 * 3 * (0.8 / 3) ** 2 * max(t - 1, 0) ** 3 / 3
+        margin = 10 * structural.Z80 * np.sqrt(0.05**2 + factor**2 * variance)
+        assert row.promo_flag == flag and np.allclose([row.yhat, row.yhat_lower, row.yhat_upper], [yhat, yhat - margin, yhat + margin])
+
+
+def test_models_without_changepoints_or_holidays(spark):
+    documents, _ = _one_model(spark, change_at=[], change_by=[], holiday_effect={}, weekly=[], regressors=[])
+    rows = structural.predict(structural.parse_models(documents), 3).orderBy("ds").collect()
+    assert np.allclose([r.yhat for r in rows], [10 * (0.2 + 0.4 * k / 99) for k in range(103)])
+    assert np.allclose([r.yhat_upper - r.yhat for r in rows], 10 * structural.Z80 * 0.05)
+    assert structural.predict(structural.parse_models(documents), 0, include_history=False).count() == 0
+
+
+def test_no_exploded_row_carries_a_model(spark):
+    documents, _ = _one_model(spark)
+    promoted = small_table(spark, [(dt.date(2001, 2, 3), "s", 1)], "ds date, Shop_SKU string, promo_flag int")
+    plan = structural.predict(structural.parse_models(documents), 30, promoted)._jdf.queryExecution().optimizedPlan()
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Generate":
+            found.append([node.requiredChildOutput().apply(k).dataType().simpleString() for k in range(node.requiredChildOutput().size())])
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(plan)
+    assert found and not [kind for kinds in found for kind in kinds if kind.startswith(("array", "map", "struct"))]
+
+
+def test_trend_uncertainty_equals_simulated_futures(spark):
+    """Changepoints as a Poisson stream with Laplace sizes, drawn many times, have the closed variance."""
+    documents, body = _one_model(spark, sigma=0.0)
+    row = structural.predict(structural.parse_models(documents), 99, include_history=False).orderBy(F.desc("ds")).first()
+    rng = np.random.default_rng(1)
+    scale, rate, ahead = np.mean(np.abs(body["change_by"])), 3, 1.0
+    ends = [np.sum(rng.laplace(0, scale, n) * (ahead - rng.uniform(0, ahead, n))) for n in rng.poisson(rate * ahead, 40_000)]
+    assert abs((row.yhat_upper - row.yhat) / structural.Z80 / 10 - np.std(ends)) < 0.02 * np.std(ends)
