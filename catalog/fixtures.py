@@ -269,6 +269,15 @@ def campaign(spark) -> DataFrame:
     return small_table(spark, rows, schemas.PROMOTION)
 
 
+def two_campaigns(spark) -> DataFrame:
+    """The campaign, and one of a second customer on some of the same SKUs."""
+    rows = [
+        ("FURNITURE", "late", "D1", "2001-11-03", "2001-11-06", "INCLUDE", None, [_entry("Brand#4"), _entry("Brand#7")]),
+        ("FURNITURE", "next", "D2", "2001-11-06", "2001-11-08", "INCLUDE", None, [_entry("Brand#7"), _entry("Brand#98")]),
+    ]
+    return campaign(spark).unionByName(small_table(spark, rows, schemas.PROMOTION))
+
+
 def config(spark, sf_dir) -> DataFrame:
     return query(spark, sf_dir, CONFIG)
 

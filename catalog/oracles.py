@@ -231,7 +231,7 @@ _YEARLY = " + ".join(
 )
 
 
-def _predicted(first: str, lag: str) -> str:
+def _predicted(first: str, lag: str, campaign: str = "campaign", also: str = "") -> str:
     """The published formula over the days from `first` to 14 days after the training data."""
     return f"""
     select ds, {SERIES}, promo_flag, z.y_scale * case when m % 2 = 0 then trend + effect else trend * (1 + effect) end yhat,
@@ -246,11 +246,22 @@ def _predicted(first: str, lag: str) -> str:
       from (select d.*, coalesce(c.promo_flag, 0) promo_flag, (d.ds - first_ds) / span_days t
         from (select *, unnest(generate_series({first}::timestamp, last_ds::timestamp + interval 14 day, interval 1 day))::date ds
           from models where state = 'ok') d
-        left join campaign c on c.ds = d.ds and c.Shop_SKU = d.Shop_SKU) x) z"""
+        left join {campaign} c on c.ds = d.ds and c.Shop_SKU = d.Shop_SKU{also}) x) z"""
 
 
 STEPS["predicted"] = _predicted("first_ds", "lag_last")
 STEPS["scored"] = _predicted("(last_ds + 1)", "0")
+STEPS["own_campaign"] = """
+    select distinct unnest(generate_series(a, b, interval 1 day))::date ds, customer_code, Shop_SKU, 1 promo_flag from (values
+      ('MACHINERY', timestamp '2001-10-25', timestamp '2001-11-10', 'Brand#3'), ('MACHINERY', timestamp '2001-10-25', timestamp '2001-11-10', 'Brand#4'),
+      ('MACHINERY', timestamp '2001-11-08', timestamp '2001-11-12', 'Brand#4'), ('MACHINERY', timestamp '2001-10-28', timestamp '2001-10-29', 'Brand#99'),
+      ('FURNITURE', timestamp '2001-11-03', timestamp '2001-11-06', 'Brand#4'), ('FURNITURE', timestamp '2001-11-03', timestamp '2001-11-06', 'Brand#7'),
+      ('FURNITURE', timestamp '2001-11-06', timestamp '2001-11-08', 'Brand#7'), ('FURNITURE', timestamp '2001-11-06', timestamp '2001-11-08', 'Brand#98')
+    ) t(customer_code, a, b, Shop_SKU)"""
+STEPS["own_listed"] = """select * from (values
+    ('MACHINERY', 'Brand#3'), ('MACHINERY', 'Brand#4'), ('MACHINERY', 'Brand#5'), ('MACHINERY', 'Brand#6'), ('MACHINERY', 'Brand#99'),
+    ('FURNITURE', 'Brand#4'), ('FURNITURE', 'Brand#7'), ('FURNITURE', 'Brand#98')) t(customer_code, Shop_SKU)"""
+STEPS["scored_by_customer"] = _predicted("(last_ds + 1)", "0", "own_campaign", " and c.customer_code = d.customer_code")
 _SCORED_COUNTS = f"""select ds, {SERIES}, round_even(greatest(yhat, 0), 0)::bigint yhat, round_even(greatest(yhat - margin, 0), 0)::bigint yhat_lower,
     round_even(greatest(yhat + margin, 0), 0)::bigint yhat_upper, promo_flag from scored"""
 _LISTED = "('Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#99')"
@@ -500,6 +511,10 @@ ORACLES: dict[str, str] = {
         promo_flag from predicted"""),
     "score_models": _sql(_SCORED_COUNTS),
     "score_promos": _sql(_SCORED_COUNTS + f" where Shop_SKU in {_LISTED}"),
+    "score_promos_by_customer": _sql(_SCORED_COUNTS.replace("from scored", "from scored_by_customer")
+        + " join own_listed using (customer_code, Shop_SKU)"),
+    "score_status_by_customer": _sql("""select s.customer_code, m.warehousecode, s.Shop_SKU, coalesce(state, 'missing model') status
+        from own_listed s left join models m on m.Shop_SKU = s.Shop_SKU and m.customer_code = s.customer_code"""),
     "score_status": _sql(f"""select m.customer_code, m.warehousecode, s.Shop_SKU, coalesce(state, 'missing model') status
         from (select unnest(list_value{_LISTED}) Shop_SKU) s left join models m on m.Shop_SKU = s.Shop_SKU"""),
     "hybrid_forecast": _sql(

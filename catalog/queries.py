@@ -604,6 +604,21 @@ def score_status(spark, sf):
     return score.score_promotions(_stored_models(spark, sf), fx.campaign(spark))[1]
 
 
+def _scored_by_customer(spark, sf):
+    return score.score_promotions(_stored_models(spark, sf), fx.two_campaigns(spark), by_customer=True)
+
+
+@register
+def score_promos_by_customer(spark, sf):
+    """Each customer's listed SKUs, flagged by their own promotions."""
+    return _scored_by_customer(spark, sf)[0]
+
+
+@register
+def score_status_by_customer(spark, sf):
+    return _scored_by_customer(spark, sf)[1]
+
+
 # --- jobs: rows of drawn series are exact; of modelled series, whose fit SQL cannot do, all but the values
 
 

@@ -101,9 +101,10 @@ def with_promo_days(rows: DataFrame, daily: DataFrame) -> DataFrame:
     return rows.join(days, keys, "left")
 
 
-def promo_skus(promotions: DataFrame) -> DataFrame:
-    """Distinct SKU codes listed in any promotion, whatever its mode."""
-    codes = promotions.select(F.explode("include_sku.sku_code").alias("Shop_SKU"))
+def promo_skus(promotions: DataFrame, by_customer: bool = False) -> DataFrame:
+    """Distinct SKU codes listed in any promotion, whatever its mode; with `by_customer` those of each customer."""
+    key = ["customer_code"] if by_customer else []
+    codes = promotions.select(*key, F.explode("include_sku.sku_code").alias("Shop_SKU"))
     return codes.filter(F.col("Shop_SKU") != "").distinct()
 
 

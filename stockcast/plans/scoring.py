@@ -33,23 +33,31 @@ def score_promotions(
     all_skus: DataFrame | None = None,
     periods: int = PERIODS,
     lag_fill: str = "zero",
+    by_customer: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast of every promoted SKU that has a usable model, and one status row per candidate series.
 
     A candidate is a stored series of a listed SKU. Its status is 'ok' or why its document was rejected; a listed SKU
     without any stored series has a row of its own, without customer and warehouse. So forecast series and rejects are
     all candidates. A request that lists no SKU is an error.
+
+    By default SKU codes are shared: a promotion counts for the SKU of every customer, and every customer's stored series of it is a
+    candidate. With `by_customer` each customer is scored with the list of their own promotions: only their listed SKUs are
+    candidates, only their promotions raise a flag, and a listed SKU without a stored series has a row under that customer.
     """
-    skus = promo.promo_skus(promotions)
+    key = ["customer_code", "Shop_SKU"] if by_customer else ["Shop_SKU"]
+    skus = promo.promo_skus(promotions, by_customer)
     if skus.isEmpty():
         raise ValueError("No SKU found in the promotions' include_sku")
     if customer_code is not None:
         models = models.filter(F.col("customer_code") == customer_code)
+        if by_customer:
+            skus = skus.filter(F.col("customer_code") == customer_code)
     if warehousecode is not None:
         models = models.filter(F.col("warehousecode") == warehousecode)
-    daily = promo.promo_daily(promo.promo_master_valid(promo.promo_master(promotions)), all_skus)
-    own, rejects = split_models(models.join(skus, "Shop_SKU", "left_semi").select(*models.columns))
+    daily = promo.promo_daily(promo.promo_master_valid(promo.promo_master(promotions)), all_skus, by_customer)
+    own, rejects = split_models(models.join(skus, key, "left_semi").select(*models.columns))
     seen = own.select(*SERIES, F.lit("ok").alias("_state")).unionByName(rejects.select(*SERIES, F.col("reason").alias("_state")))
-    status = skus.join(seen, "Shop_SKU", "left").select(*SERIES, F.coalesce("_state", F.lit("missing model")).alias("status"))
+    status = skus.join(seen, key, "left").select(*SERIES, F.coalesce("_state", F.lit("missing model")).alias("status"))
     forecast = score_models(own, daily, periods, lag_fill)
     return forecast.select("ds", *SERIES, *post.VALUES, "promo_flag"), status
