@@ -15,8 +15,9 @@ too small end there; the others get their sorted arrays and an exact intersectio
 Groups. In each of the first rounds every set is compared with one other only: the smallest, by a hash that changes each round, of
 the hubs of its tiles. Later, members that are already linked with each other need no comparison, so a group of a million near
 copies costs a million comparisons a round, not their square. The last round compares what is still apart: tiles are cut
-into blocks by size, and only pairs whose bitmaps allow a link leave a block. Every pair above the threshold is thus
-compared, or its two sets are already connected.
+into blocks by size, and the members of a block that have a pair allowed by the bitmaps get their arrays. Exact intersections
+run where the block is; what leaves it is a spanning forest of the links found, so rows grow with the members, not with
+their pairs. Every pair above the threshold is thus compared, or its two sets are already connected.
 
 Defined cases: fewer than five words make one shingle; null, empty or blank texts have no set and no links. Every row
 counts by its own set, also without an id or with one used before; rows are told apart by id and a 64-bit hash of the text. A
@@ -39,8 +40,8 @@ from stockcast.llm.text import Interned, materialize, on_batches, owners, words
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 BUCKETS = 1 << 20
 HUB_ROUNDS = 3
-#: members of a tile that are compared as one block
-TILE_BLOCK = 4096
+#: members of a tile that are compared as one block, and shingles whose arrays travel together in the last round
+TILE_BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -309,8 +310,14 @@ def allowed_pairs(left: dict, right: dict | None, num: int, den: int) -> tuple[n
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def _rest_pairs(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """All pairs of open tiles that their bitmaps allow and that are not connected."""
+def _chunks(sizes: np.ndarray) -> np.ndarray:
+    """A number for each place: consecutive places with at most about BLOCK_SHINGLES shingles have the same."""
+    return (np.cumsum(sizes.astype(np.int64)) - 1) // BLOCK_SHINGLES
+
+
+def _tasks(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Blocks of open tiles, each by itself and with the later blocks of its tile that its size band reaches."""
+    tiles = tiles if "roots" in tiles.columns else tiles.withColumn("roots", F.col("keys"))
     roots = tiles.select("tile", F.posexplode(F.arrays_zip("keys", "sizes", "roots")).alias("at", "m")).select(
         "tile", "at", F.col("m.keys").alias("of"), F.col("m.sizes").alias("size"), F.col("m.roots").alias("root")
     )
@@ -323,13 +330,20 @@ def _rest_pairs(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: in
     )
     blocks = materialize(blocks)
     columns = ("keys", "sizes", "roots", "maps")
-    # a block with the later blocks of its tile that its size band reaches
     later = blocks.where("block > 0").select(F.col("tile").alias("t"), F.col("block").alias("b"), *[F.col(c).alias(f"{c} 2") for c in columns])
     across = blocks.join(later, (F.col("tile") == F.col("t")) & (F.col("block") < F.col("b"))).where(
         F.expr(f"{num} * `sizes 2`[0] <= {den} * sizes[size(sizes) - 1]")
     )
     empty = [F.lit(None).cast(blocks.schema[c].dataType).alias(f"{c} 2") for c in columns]
-    tasks = blocks.select(*columns, *empty).unionByName(across.select(*columns, *[f"{c} 2" for c in columns]))
+    return blocks.select(*columns, *empty).unionByName(across.select(*columns, *[f"{c} 2" for c in columns]))
+
+
+INVOLVED = "task long, side array<int>, keys array<long>, sizes array<long>, roots array<long>, maps array<binary>"
+
+
+def _involved(tasks: DataFrame, num: int, den: int) -> DataFrame:
+    """Per task the members that have a pair the bitmaps allow, in portions whose arrays fit together. Side 1 is compared with side
+    0, or side 0 with itself if there is no side 1."""
 
     def part(batch: pa.RecordBatch, row: int, first: int) -> dict | None:
         if not batch.column(first)[row].is_valid:
@@ -338,24 +352,81 @@ def _rest_pairs(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: in
         return {"keys": keys, "sizes": sizes, "roots": roots, "maps": batch.column(first + 3)[row].as_py()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            made = []
             for row in range(batch.num_rows):
                 left, right = part(batch, row, 0), part(batch, row, 4)
                 i, j = allowed_pairs(left, right, num, den)
+                if not len(i):
+                    continue
                 other = right or left
-                made.append((left["keys"][i], other["keys"][j], left["sizes"][i], other["sizes"][j]))
-            if made:
-                x, y, a, b = map(np.concatenate, zip(*made, strict=True))
-                swap = x > y
-                x, y, a, b = np.where(swap, y, x), np.where(swap, x, y), np.where(swap, b, a), np.where(swap, a, b)
-                order = np.lexsort((y, x))
-                new = np.ones(len(order), bool)
-                new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
-                order = order[new]
-                yield {"x": x[order], "y": y[order], "a": a[order], "b": b[order]}
+                portions = np.stack([_chunks(left["sizes"])[i], _chunks(other["sizes"])[j]])
+                for p, q in np.unique(portions, axis=1).T.tolist():
+                    fit = (portions[0] == p) & (portions[1] == q)
+                    if right is None and p == q:
+                        sides = [(left, np.unique(np.concatenate([i[fit], j[fit]])))]
+                    else:
+                        sides = [(left, np.unique(i[fit])), (other, np.unique(j[fit]))]
+                    yield {
+                        "task": [number], "side": [[k for k, (_, at) in enumerate(sides) for _ in at]],
+                        **{c: [np.concatenate([x[c][at] for x, at in sides])] for c in ("keys", "sizes", "roots")},
+                        "maps": [[x["maps"][k] for x, at in sides for k in at.tolist()]],
+                    }
+                    number += 1
+
+    return materialize(on_batches(tasks, work, INVOLVED, 64))
+
+
+def forest(left: dict, right: dict | None, num: int, den: int) -> tuple[list[int], list[int]]:
+    """Keys (x, y) of links that connect what links between the members connect; each has its array. Pairs already connected
+    by others are not compared."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    other = right or left
+    xs, ys = [], []
+    for i, j in zip(*(at.tolist() for at in allowed_pairs(left, right, num, den)), strict=True):
+        a, b = root(int(left["roots"][i])), root(int(other["roots"][j]))
+        if a == b:
+            continue
+        p, q = left["arrays"][i], other["arrays"][j]
+        both = np.sort(np.concatenate([p, q]), kind="stable")
+        if close(int((both[1:] == both[:-1]).sum()), len(p), len(q), num, den):
+            parent[a] = b
+            xs.append(int(left["keys"][i]))
+            ys.append(int(other["keys"][j]))
+    return xs, ys
+
+
+def _rest_links(docs: DataFrame, tiles: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """x, y: links that connect all linked sets of the open tiles, exactly; written down."""
+    involved = _involved(_tasks(tiles, sets, num, den, block), num, den)
+    if involved.isEmpty():
+        return docs.sparkSession.createDataFrame([], "x long, y long")
+    each = involved.select("task", F.posexplode(F.arrays_zip("side", "keys", "sizes", "roots", "maps")).alias("at", "m"))
+    each = each.select("task", "at", *[F.col(f"m.{c}").alias(c) for c in ("side", "keys", "sizes", "roots", "maps")])
+    arrays = _arrays(docs, each.select(F.col("keys").alias("key")).distinct(), sets).dropDuplicates(["key"])
+    whole = each.join(arrays, F.col("keys") == F.col("key")).groupBy("task").agg(
+        F.sort_array(F.collect_list(F.struct("at", "side", "keys", "sizes", "roots", "maps", "array"))).alias("m"))
 
-    return on_batches(tasks, work, PAIR)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for members in batch.column(0).to_pylist():
+                sides = []
+                for side in (0, 1):
+                    own = [m for m in members if m["side"] == side]
+                    sides.append(own and {
+                        **{c: np.array([m[c] for m in own], np.int64) for c in ("keys", "sizes", "roots")},
+                        "maps": [m["maps"] for m in own], "arrays": [np.frombuffer(m["array"], np.uint64) for m in own]})
+                x, y = forest(sides[0], sides[1] or None, num, den)
+                yield {"x": x, "y": y}
+
+    return materialize(on_batches(whole.select("m"), work, "x long, y long", 4)).distinct()
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -376,9 +447,8 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return on_batches(joined.select("x", "y", "a", "b", "x map", "y map"), work, PAIR)
 
 
-def _arrays(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """key, array of the sets in `pairs`, made again from the text of one document each."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
+def _arrays(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, array of the wanted sets (key), made again from the text of one document each."""
     wanted = materialize(wanted.join(sets, "key").select(F.col("doc_id").alias("id"), F.col("mark").alias("hash"), F.col("key").alias("wanted")))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, F.col("doc_id") == F.col("id"))
     texts = texts.select("wanted", "text")
@@ -403,7 +473,8 @@ def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: in
     pairs = materialize(pairs)
     if pairs.isEmpty():
         return pairs.select("x", "y")
-    arrays = _arrays(docs, pairs, sets).dropDuplicates(["key"])
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
+    arrays = _arrays(docs, wanted, sets).dropDuplicates(["key"])
     left, right = (arrays.select(F.col("key").alias(f"{s} key"), F.col("array").alias(f"{s} array")) for s in "xy")
     joined = pairs.join(left, pairs["x"] == left["x key"]).join(right, F.col("y") == F.col("y key"))
 
@@ -441,10 +512,9 @@ def similar_sets(docs: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR,
             if tiles.isEmpty():
                 break
         if turn < HUB_ROUNDS:
-            pairs = _possible(_hub_pairs(tiles, turn, num, den), sets, num, den)
+            found = _links(docs, _possible(_hub_pairs(tiles, turn, num, den), sets, num, den), sets, num, den)
         else:
-            pairs = _rest_pairs(tiles, sets, num, den, block).dropDuplicates(["x", "y"])
-        found = _links(docs, pairs, sets, num, den)
+            found = _rest_links(docs, tiles, sets, num, den, block)
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))))

@@ -1,5 +1,6 @@
 """Exact dedup, the Jaccard join and line dedup against plain versions and SQL."""
 
+import random
 import re
 
 import numpy as np
@@ -89,6 +90,74 @@ def test_chains_and_thresholds(spark):
     assert {r[0]: (r[1], r[2]) for r in shingle_join.near_duplicates(df, block=3).collect()} == plain.jaccard_groups(rows)
 
 
+def around_the_limit(count, seed=3):
+    """Copies of one text with some words replaced each: about as many pairs reach the threshold as do not."""
+    draw = random.Random(seed)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, count):
+        own = list(base)
+        for at in draw.sample(range(120), draw.choice((1, 2, 3, 4))):
+            own[at] = f"x{k} {at}".replace(" ", "y")
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("hub_rounds", [0, 3])
+@pytest.mark.parametrize("portion", [shingle_join.BLOCK_SHINGLES, 500])
+def test_groups_around_the_limit(spark, monkeypatch, hub_rounds, portion):
+    monkeypatch.setattr(shingle_join, "HUB_ROUNDS", hub_rounds)
+    monkeypatch.setattr(shingle_join, "BLOCK_SHINGLES", portion)
+    rows = around_the_limit(60)
+    df = frame(spark, [(*r, None, None, None) for r in rows])
+    assert {r[0]: (r[1], r[2]) for r in shingle_join.near_duplicates(df, block=16).collect()} == plain.jaccard_groups(rows)
+
+
+def test_rows_of_the_last_round_grow_with_the_members(spark, monkeypatch):
+    """However many pairs the bitmaps allow, a group gives a few links for each of its members."""
+    monkeypatch.setattr(shingle_join, "HUB_ROUNDS", 0)
+    made = []
+    original = shingle_join._rest_links
+    monkeypatch.setattr(shingle_join, "_rest_links", lambda *args: made.append(original(*args)) or made[-1])
+    for count in (40, 80, 160):
+        shingle_join.near_duplicates(frame(spark, [(*r, None, None, None) for r in around_the_limit(count)])).count()
+    for count, links in zip((40, 80, 160), made, strict=True):
+        assert count / 2 <= links.count() <= 3 * count
+
+
+def test_forest_connects_what_links_connect():
+    """Whatever the order and the components known before, the links found give the components of all links."""
+    draw = random.Random(9)
+    for _ in range(30):
+        sets = []
+        for _ in range(draw.randint(2, 14)):
+            near = sets and draw.random() < 0.7
+            base = set(draw.choice(sets)) if near else {draw.getrandbits(64) for _ in range(draw.randint(3, 40))}
+            for x in draw.sample(sorted(base), min(len(base) - 1, draw.randint(0, 4))):
+                base.discard(x)
+                base.add(draw.getrandbits(64))
+            sets.append(base)
+        sets.sort(key=len)
+        arrays = [np.array(sorted(x), np.uint64) for x in sets]
+        side = lambda at: {"keys": np.array(at), "sizes": np.array([len(sets[k]) for k in at]), "roots": np.array(at),
+                           "maps": [shingle_join.bitmap(arrays[k]) for k in at], "arrays": [arrays[k] for k in at]}
+        cut = draw.randint(1, len(sets) - 1)
+        every = [shingle_join.forest(side(list(range(len(sets)))), None, 75, 100)]
+        parts = [shingle_join.forest(side(list(range(cut))), None, 75, 100), shingle_join.forest(side(list(range(cut, len(sets)))), None, 75, 100),
+                 shingle_join.forest(side(list(range(cut))), side(list(range(cut, len(sets)))), 75, 100)]
+        links = [(a, b) for a in range(len(sets)) for b in range(a) if 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+
+        def groups(edges):
+            root = list(range(len(sets)))
+            for _ in sets:
+                for a, b in edges:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        for found in (every, parts):
+            assert groups([e for x, y in found for e in zip(x, y, strict=True)]) == groups(links)
+
+
 def test_rows_without_an_id_stay(spark, edge):
     left = shingle_join.keep_one_per_group(edge)
     assert left.columns == edge.columns and left.where("doc_id is null").count() == 2
