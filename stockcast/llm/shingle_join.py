@@ -338,7 +338,7 @@ def _tasks(tiles: DataFrame, sets: DataFrame, num: int, den: int, block: int) ->
     return blocks.select(*columns, *empty).unionByName(across.select(*columns, *[f"{c} 2" for c in columns]))
 
 
-INVOLVED = "task long, side array<int>, keys array<long>, sizes array<long>, roots array<long>, maps array<binary>"
+INVOLVED = "task long, side array<int>, keys array<long>, sizes array<long>, roots array<long>"
 
 
 def _involved(tasks: DataFrame, num: int, den: int) -> DataFrame:
@@ -370,11 +370,11 @@ def _involved(tasks: DataFrame, num: int, den: int) -> DataFrame:
                     yield {
                         "task": [number], "side": [[k for k, (_, at) in enumerate(sides) for _ in at]],
                         **{c: [np.concatenate([x[c][at] for x, at in sides])] for c in ("keys", "sizes", "roots")},
-                        "maps": [[x["maps"][k] for x, at in sides for k in at.tolist()]],
                     }
                     number += 1
 
-    return materialize(on_batches(tasks, work, INVOLVED, 64))
+    # two sets often share many tiles: the same members are compared once
+    return materialize(materialize(on_batches(tasks, work, INVOLVED, 64)).dropDuplicates(["side", "keys"]))
 
 
 def forest(left: dict, right: dict | None, num: int, den: int) -> tuple[list[int], list[int]]:
@@ -408,11 +408,11 @@ def _rest_links(docs: DataFrame, tiles: DataFrame, sets: DataFrame, num: int, de
     involved = _involved(_tasks(tiles, sets, num, den, block), num, den)
     if involved.isEmpty():
         return docs.sparkSession.createDataFrame([], "x long, y long")
-    each = involved.select("task", F.posexplode(F.arrays_zip("side", "keys", "sizes", "roots", "maps")).alias("at", "m"))
-    each = each.select("task", "at", *[F.col(f"m.{c}").alias(c) for c in ("side", "keys", "sizes", "roots", "maps")])
+    each = involved.select("task", F.posexplode(F.arrays_zip("side", "keys", "sizes", "roots")).alias("at", "m"))
+    each = each.select("task", "at", *[F.col(f"m.{c}").alias(c) for c in ("side", "keys", "sizes", "roots")])
     arrays = _arrays(docs, each.select(F.col("keys").alias("key")).distinct(), sets).dropDuplicates(["key"])
     whole = each.join(arrays, F.col("keys") == F.col("key")).groupBy("task").agg(
-        F.sort_array(F.collect_list(F.struct("at", "side", "keys", "sizes", "roots", "maps", "array"))).alias("m"))
+        F.sort_array(F.collect_list(F.struct("at", "side", "keys", "sizes", "roots", "array"))).alias("m"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -420,9 +420,10 @@ def _rest_links(docs: DataFrame, tiles: DataFrame, sets: DataFrame, num: int, de
                 sides = []
                 for side in (0, 1):
                     own = [m for m in members if m["side"] == side]
+                    arrays = [np.frombuffer(m["array"], np.uint64) for m in own]
                     sides.append(own and {
                         **{c: np.array([m[c] for m in own], np.int64) for c in ("keys", "sizes", "roots")},
-                        "maps": [m["maps"] for m in own], "arrays": [np.frombuffer(m["array"], np.uint64) for m in own]})
+                        "maps": list(map(bitmap, arrays)), "arrays": arrays})
                 x, y = forest(sides[0], sides[1] or None, num, den)
                 yield {"x": x, "y": y}
 
