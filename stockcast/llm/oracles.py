@@ -21,10 +21,10 @@ with p as (
   from pages
 ),
 l as (select page_id, host, unnest(lines) as line, generate_subscripts(lines, 1) as k from p),
-totals as (select host, count(*) as pages from p group by host having count(*) >= 5),
+totals as (select host, count(*) as pages from p group by host),
 often as (
   select l.host, line from l join totals using (host) where line <> ''
-  group by l.host, line, pages having count(distinct page_id) > 0.1 * pages
+  group by l.host, line, pages having count(distinct page_id) > 0.1 * pages and count(distinct page_id) >= 3
 )
 select l.page_id, l.host,
        count(*) filter (l.line <> '') as n_lines,

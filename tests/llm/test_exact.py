@@ -212,6 +212,30 @@ def test_boilerplate_edges(spark):
     )
 
 
+@pytest.mark.parametrize("count", range(1, 11))
+def test_boilerplate_of_small_hosts(spark, count):
+    """Production settings: a host's own lines stay whatever its size; a line of three pages or more goes."""
+    rows = [(k, "http://a.example/", f"<p>menu</p><p>own {k}</p>" + "<i>pair</i>" * (k < 2)) for k in range(count)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = line_dedup.drop_boilerplate(df, "page_id", line_dedup.host_of("url"), line_dedup.page_text("html"))
+    for r in got.collect():
+        kept = ["menu"] * (count < 3) + [f"own {r.page_id}"] + ["pair"] * (r.page_id < 2)
+        assert [x for x in r.text.split("\n") if x] == kept
+        assert (r.n_lines, r.n_dropped) == (2 + (r.page_id < 2), int(count >= 3))
+
+
+def test_long_pages_and_open_markup(spark):
+    """Pages of many lines, the same on each but for one; scripts and comments that are never closed."""
+    long = "".join(f"<p>line {k}</p>" for k in range(3000))
+    rows = [(k, "http://a.example/", long + f"<p>own {k}</p>") for k in range(4)]
+    rows += [(10 + k, "http://b.example/", "<script <!-- " * 2000 + f"end {k}") for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = line_dedup.drop_boilerplate(df, "page_id", line_dedup.host_of("url"), line_dedup.page_text("html"))
+    found = {r.page_id: (r.n_lines, r.n_dropped, r.text.strip()) for r in got.collect()}
+    assert all(found[k] == (3001, 3000, f"own {k}") for k in range(4))
+    assert all(found[10 + k][1] == 0 and found[10 + k][2].endswith(f"end {k}") for k in range(2))
+
+
 def test_line_dedup_runs_without_python(spark):
     plan = queries.op10_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow|CartesianProduct", plan)
