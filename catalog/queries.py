@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from stockcast import PAIR, SERIES, schemas
-from stockcast.operators import calendar, clean, config, demand, features, impact, poisson, post, promo, routing, scope, structural
+from stockcast.operators import calendar, clean, config, demand, features, fit_audit, impact, poisson, post, promo, routing, scope, structural
 from stockcast.plans import scoring as score, training as train
 from stockcast.session import materialize, run_folder
+from stockcast.settings import DEFAULT_SETTINGS
 from stockcast.sources import stores, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -510,8 +511,8 @@ def _train(spark, sf, **options):
     )
 
 
-def _fitted(spark, sf):
-    rows = stored_demand(spark, sf)
+def _fitted(spark, sf, rows=None):
+    rows = rows or stored_demand(spark, sf)
     pareto = routing.pareto_series(_volumes(rows))
     series = config.with_defaults(pareto.select(*SERIES))
     inputs = structural.fit_inputs(
@@ -524,13 +525,16 @@ def _fitted(spark, sf):
 @register
 def structural_fit(spark, sf):
     model = F.from_json("model_json", schemas.MODEL_BODY)
-    fitted = _fitted(spark, sf).withColumn("model", model)
-    slope = F.get_json_object("model_json", "$.gradient").cast("double")
-    return fitted.select(
+    rows = stored_demand(spark, sf)
+    fitted = materialize(_fitted(spark, sf, rows)).withColumn("model", model)  # read twice: as it is, and for the proof
+    prior = F.lit(float(DEFAULT_SETTINGS["prophet_changepoint_prior_scale"])).alias("prophet_changepoint_prior_scale")
+    proof = fit_audit.fit_proof(rows, fitted.select(*SERIES, "model", prior), campaign_daily(spark))
+    proven = (F.col("relative_gap") < 1e-4) & (F.col("relative_gap") > -1e-9) & (F.col("effect_slope") < 1e-4)
+    return fitted.join(proof.select(*SERIES, proven.alias("at_minimum")), SERIES, "left").select(
         *SERIES, "error", "model.mode", "model.first_ds", "model.last_ds", "model.n_rows",
         (F.col("model.sigma") >= 0).alias("has_sigma"), F.size("model.weekly").alias("n_weekly"),
         F.size("model.regressors").alias("n_regressors"), F.size("model.change_at").alias("n_changepoints"),
-        (slope < 1e-3).alias("at_minimum"),
+        "at_minimum",
     )
 
 

@@ -1,8 +1,8 @@
 """Penalised least-squares fit of one series: trend with changepoints, seasonality, holidays, regressors.
 
 Published form: y = g(t) * (1 + s(t) + h(t) + x b) or g(t) + s(t) + h(t) + x b (Taylor and Letham, 2018).
-A squared penalty stands in for the published priors. This is the one step that needs Python: Spark
-hands over whole series and reads back one JSON document each.
+The changepoints have the published sparse prior, an absolute penalty on each bend; all other priors are normal, squared
+penalties. This is the one step that needs Python: Spark hands over whole series and reads back one JSON document each.
 """
 
 from __future__ import annotations
@@ -45,11 +45,55 @@ def _solve(design, target, penalty):
     return np.linalg.solve(gram, design.T @ target)
 
 
-def _estimate(trend, effects, y, trend_prior, effect_prior, multiplicative, max_rounds=ROUNDS):
-    """Alternate between the trend and the effects until neither moves."""
+def _sparse(design, target, ridge, weight, start):
+    """Minimum of |target - design x|^2 / 2 + sum(ridge x^2) / 2 + sum(weight |x|), exactly.
+
+    An active set with signs: the smooth problem of the active columns is solved, going no further than where the first of
+    them reaches zero, which then leaves; at rest the column that breaks its bound most enters. Each step lowers the sum, so no set
+    of signs returns, and the steps are about as many as the bends that change.
+    """
+    gram = design.T @ design
+    gram[np.diag_indices_from(gram)] += ridge
+    pull = design.T @ target
+    free = weight == 0.0
+    x, sign = start.copy(), np.where(free, 0.0, np.sign(start))
+    tolerance = 1e-9 * max(float(np.abs(pull).max(initial=0.0)), 1e-30)
+    for _ in range(50 * len(x)):
+        active = np.flatnonzero(free | (sign != 0))
+        goal = np.zeros(len(x))
+        goal[active] = np.linalg.solve(gram[np.ix_(active, active)], pull[active] - weight[active] * sign[active])
+        over = np.flatnonzero(goal * sign < 0)
+        if len(over):
+            share = x[over] / (x[over] - goal[over])
+            leaving = over[np.argmin(share)]
+            x = x + share.min() * (goal - x)
+            x[leaving] = sign[leaving] = 0.0
+            continue
+        x = goal
+        slope = pull - gram @ x
+        excess = np.where(free | (sign != 0), -np.inf, np.abs(slope) - weight)
+        entering = int(np.argmax(excess))
+        if excess[entering] <= tolerance:
+            break
+        sign[entering] = np.sign(slope[entering])
+    return x
+
+
+def _distance(slope, x, ridge, weight):
+    """How far each column is from a minimum: the slope that its penalties do not balance."""
+    rest = slope - ridge * x
+    bound = np.maximum(np.abs(rest) - weight, 0.0)
+    return np.where((weight > 0) & (x == 0), bound, np.abs(rest - weight * np.sign(x)))
+
+
+def _estimate(trend, effects, y, trend_prior, change_prior, effect_prior, multiplicative, max_rounds=ROUNDS):
+    """Alternate between the trend and the effects until neither moves. The trend's columns behind those of `trend_prior` are bends."""
+    straight, bends = len(trend_prior), trend.shape[1] - len(trend_prior)
+    ridge = np.concatenate([1.0 / trend_prior**2, np.zeros(bends)])
+    weight = np.concatenate([np.zeros(straight), np.full(bends, 1.0 / change_prior)])
     noise = max(float(np.var(y)), 1e-8)
     beta = np.zeros(effects.shape[1])
-    theta = _solve(trend, y, noise / trend_prior**2)
+    theta = _sparse(trend, y, noise * ridge, noise * weight, np.zeros(trend.shape[1]))
     settled, rounds = False, 0
     while not settled and rounds < max_rounds:
         rounds += 1
@@ -57,22 +101,23 @@ def _estimate(trend, effects, y, trend_prior, effect_prior, multiplicative, max_
         if multiplicative:
             beta_new = _solve(level[:, None] * effects, y - level, noise / effect_prior**2)
             factor = 1.0 + effects @ beta_new
-            theta = _solve(factor[:, None] * trend, y, noise / trend_prior**2)
+            theta = _sparse(factor[:, None] * trend, y, noise * ridge, noise * weight, theta)
             fitted = (trend @ theta) * factor
         else:
-            joint = _solve(
-                np.hstack([trend, effects]), y, noise / np.concatenate([trend_prior, effect_prior]) ** 2
+            joint = _sparse(
+                np.hstack([trend, effects]), y, noise * np.concatenate([ridge, 1.0 / effect_prior**2]),
+                noise * np.concatenate([weight, np.zeros(len(beta))]), np.concatenate([theta, beta]),
             )
             theta, beta_new = joint[: trend.shape[1]], joint[trend.shape[1] :]
             fitted = trend @ theta + effects @ beta_new
         noise = max(float(np.mean((y - fitted) ** 2)), 1e-8)
-        settled = np.allclose(beta, beta_new, rtol=1e-4, atol=1e-6)
+        settled = np.allclose(beta, beta_new, rtol=1e-4, atol=1e-6) and abs(noise - used) <= 1e-4 * used
         beta = beta_new
-    # slope of the penalised sum at the result, with the last penalties, per unit of the largest column
+    # what the last penalties leave unbalanced at the result, per unit of the largest column
     factor = (1.0 + effects @ beta) if multiplicative else np.ones(len(y))
     level = trend @ theta if multiplicative else np.ones(len(y))
     rest = y - (trend @ theta) * factor if multiplicative else y - trend @ theta - effects @ beta
-    by_trend = (factor[:, None] * trend).T @ rest - used / trend_prior**2 * theta
+    by_trend = _distance((factor[:, None] * trend).T @ rest, theta, used * ridge, used * weight)
     by_effect = (level[:, None] * effects).T @ rest - used / effect_prior**2 * beta
     gradient = float(max(np.abs(by_trend).max(initial=0.0), np.abs(by_effect).max(initial=0.0)) / len(y))
     return theta, beta, float(np.sqrt(noise)), rounds, bool(settled), gradient
@@ -107,8 +152,7 @@ def fit_series(days, y, promo_days, features, settings) -> dict:
     count = min(CHANGEPOINTS, max(reach - 1, 0))
     at = t[np.linspace(0, reach - 1, count + 1).round().astype(int)[1:]] if count else np.zeros(0)
     trend = np.column_stack([t, np.ones(n), np.maximum(t[:, None] - at[None, :], 0.0)])
-    changepoint_prior = settings["prophet_changepoint_prior_scale"]
-    trend_prior = np.array([TREND_PRIOR, TREND_PRIOR, *[changepoint_prior] * count])
+    trend_prior, change_prior = np.array([TREND_PRIOR, TREND_PRIOR]), settings["prophet_changepoint_prior_scale"]
 
     blocks, priors = [], []
     weekly = bool(settings["prophet_weekly_seasonality"])
@@ -137,7 +181,7 @@ def fit_series(days, y, promo_days, features, settings) -> dict:
 
     mode = str(settings["prophet_seasonality_mode"])
     theta, beta, sigma, rounds, converged, gradient = _estimate(
-        trend, np.hstack(blocks), scaled, trend_prior, np.array(priors), mode == "multiplicative"
+        trend, np.hstack(blocks), scaled, trend_prior, change_prior, np.array(priors), mode == "multiplicative"
     )
 
     cut = iter(np.split(beta, np.cumsum([b.shape[1] for b in blocks])[:-1]))

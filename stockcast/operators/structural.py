@@ -205,6 +205,11 @@ def _effects(spans: DataFrame, lag_fill: str) -> DataFrame:
     )
 
 
+def aligned_effects(spans: DataFrame) -> DataFrame:
+    """`_trend`, `_season`, `_holiday`, `_flag` of each row's `model` from the day `_begin` to before `_end` (day numbers), as arrays."""
+    return _effects(_with_segments(spans), "last")
+
+
 def _bend_rate(model: Column) -> Column:
     """What the variance of the trend grows by with the third power of the time ahead.
 

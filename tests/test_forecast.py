@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from stockcast import SERIES
 from stockcast.functions.poisson import quantile
-from stockcast.functions.structural_fit import fit_series, history_features
-from stockcast.operators import config, features, poisson, post, structural
+from stockcast.functions.structural_fit import _sparse, fit_series, history_features
+from stockcast.operators import config, features, fit_audit, poisson, post, structural
 from stockcast.plans import scoring as score, training as train
 from stockcast.schemas import DEMAND, HOLIDAY_SOURCE, PROMOTION
 from stockcast.settings import DEFAULT_SETTINGS
@@ -85,6 +85,51 @@ def _fitted(spark, series, settings=None, promo=None):
     return structural.fit_models(structural.fit_inputs(rows, keys, holidays, None, promo))
 
 
+def test_absolute_penalty_finds_the_minimum_of_a_proximal_descent():
+    rng = np.random.default_rng(3)
+    ridge, weight = np.array([0.3, 0.3, *[0.0] * 10]), np.array([0.0, 0.0, *[8.0] * 10])
+    for _ in range(10):
+        design = rng.normal(size=(60, 12))
+        target = design[:, :5] @ np.array([2.0, -1.0, 1.0, -0.5, 0.1]) + rng.normal(size=60)
+        step, plain = 1.0 / (np.linalg.eigvalsh(design.T @ design).max() + 1.0), np.zeros(12)
+        for _ in range(5000):
+            plain = plain - step * (design.T @ (design @ plain - target) + ridge * plain)
+            plain = np.sign(plain) * np.maximum(np.abs(plain) - step * weight, 0.0)
+        for start in (np.zeros(12), rng.normal(size=12)):
+            found = _sparse(design, target, ridge, weight, start)
+            assert found == pytest.approx(plain, abs=1e-6)
+            assert set(np.flatnonzero(found)) == set(np.flatnonzero(np.abs(plain) > 1e-9))
+
+
+def test_bends_gather_at_a_planted_one_and_grow_fewer_with_the_prior_scale():
+    t = np.arange(400.0)
+    y = 100 + 0.2 * t + np.maximum(t - 200, 0.0) * 1.5 + np.random.default_rng(2).normal(0, 2, 400)
+    settings = {**ADDITIVE, "lag_days": [], "rolling_mean_windows": [], "prophet_changepoint_range": 0.8}
+    counts = []
+    for scale in (0.5, 0.05, 0.01):
+        model = fit_series(DAY0 + np.arange(400), y, [], {}, {**settings, "prophet_changepoint_prior_scale": scale})
+        bends = np.abs(model["change_by"])
+        near = np.abs(np.array(model["change_at"]) * model["span_days"] - 200) < 30
+        assert bends[near].sum() > 0.8 * bends.sum() > 0
+        counts.append(np.count_nonzero(bends))
+    assert 25 > counts[0] > counts[1] > counts[2] and counts[2] <= 3
+
+
+def test_proof_of_the_fit_from_document_and_demand(spark):
+    rng = np.random.default_rng(4)
+    values = {("c", "w", f"s{k}"): 20 + rng.poisson(5, 150) + 0.1 * k * np.maximum(np.arange(150) - 70, 0) for k in range(3)}
+    values["c", "w", "flat"] = np.full(60, 3.0)
+    promo = small_table(spark, [("s1", FIRST + dt.timedelta(days=k)) for k in range(30, 50)], "Shop_SKU string, ds date")
+    promo = promo.selectExpr("ds", "Shop_SKU", "1 promo_flag")
+    for mode in ("additive", "multiplicative"):
+        fitted = _fitted(spark, values, {"prophet_seasonality_mode": mode}, promo)
+        models = structural.parse_models(fitted).withColumn("prophet_changepoint_prior_scale", F.lit(0.5))
+        proof = fit_audit.fit_proof(_demand(spark, values), models, promo).collect()
+        assert len(proof) == 4 and all(-1e-9 < r.relative_gap < 1e-4 and r.effect_slope < 1e-4 for r in proof), proof
+        bent = models.withColumn("model", F.col("model").withField("change_by", F.transform("model.change_by", lambda b: b + 0.01)))
+        assert all(r.relative_gap > 1e-2 for r in fit_audit.fit_proof(_demand(spark, values), bent, promo).collect())
+
+
 def test_prediction_in_spark_equals_the_model_in_numpy(spark):
     rng = np.random.default_rng(1)
     y = 30 + rng.poisson(5, 120) + 6 * np.sin(np.arange(120) * 2 * np.pi / 7)
