@@ -3,8 +3,9 @@
 Each block of rows sorts the fingerprints of its normalised texts, splits them by owner (a range of the fingerprint)
 and sends each owner one Golomb-Rice coded list. An owner merges the lists it got and answers each with a bitmap: bit k
 says that the block's k-th fingerprint also lies in another block. Rows whose bit is set, or whose fingerprint is twice
-in their own block, are suspects. Only the texts of suspects are shuffled, grouped by their bytes, with counts summed
-before the shuffle, so a text copied a million times is one row per task there.
+in their own block, are suspects. Texts are matched with the suspects by id and fingerprint, for which all of them pass one exchange;
+those of suspects are grouped by their bytes, with counts summed before the shuffle, so a text copied a million times is one row
+per task there.
 
 Defined cases: a null text counts as empty; all empty and null texts are equal. Rows with the same id and text are copies too:
 exactly one stays. A null id is larger than every other id. Other columns are ignored.
