@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -13,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from stockcast.session import materialize, shared_folder
+from stockcast.session import materialize, run_folder, shared_folder
 
-__all__ = ["Interned", "appended", "fold", "materialize", "on_batches", "owners", "read_documents", "shared_folder", "words"]
+__all__ = [
+    "Interned", "appended", "arrow_batches", "bucketed", "fold", "materialize", "on_batches", "owners", "quoted", "read_documents",
+    "shared_folder", "words",
+]
 
 #: rows of an Arrow batch: texts can be long, so a batch stays a few MB in the usual case
 BATCH_ROWS = 1000
@@ -86,6 +90,27 @@ def appended(frame: DataFrame, column: str, name: str, kind: str, start) -> Data
     return frame.mapInArrow(run, schema)
 
 
+def arrow_batches(frame: DataFrame, work, schema: StructType, rows: int) -> DataFrame:
+    """`work` maps the Arrow batches of a partition, of at most `rows` rows, to batches of `schema`."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return frame.mapInArrow(work, schema)
+
+
+def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write `frame` to the shared folder in buckets by `key`, without an exchange, and go on from there: a join by `key` then needs
+    none of these rows to move. The catalog's entry goes at once; the files stay with the run's other tables."""
+    session, name = frame.sparkSession, f"stockcast_{uuid.uuid4().hex}"
+    frame.write.bucketBy(buckets, key).option("path", f"{run_folder(session)}/{name}").saveAsTable(name, format="parquet")
+    table = session.table(name)
+    session.sql(f"DROP TABLE {name}")
+    return table
+
+
+def quoted(name: str) -> str:
+    """The name of a column, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _array(values: Any, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 

@@ -55,11 +55,42 @@ def test_few_fingerprint_bits_still_give_whole_results(spark, documents):
     assert got == {tuple(r) for r in exact_dedup.exact_groups(documents).collect()}
 
 
-def test_drop_exact_copies(spark, edge):
-    left = exact_dedup.drop_exact_copies(edge)
-    assert left.columns == edge.columns
+@pytest.mark.parametrize("block_rows", [exact_dedup.BLOCK_ROWS, 3])
+def test_drop_exact_copies(spark, edge, block_rows):
+    left = exact_dedup.drop_exact_copies(edge, block_rows)
+    assert left.schema == edge.schema
     texts = [normalised(t) for _, t in as_rows(left)]
     assert len(texts) == len(set(texts)) == len({normalised(t) for _, t in as_rows(edge)})
+    order = lambda x: (x is None, x or 0)
+    least = {}
+    for doc_id, text in as_rows(edge):
+        least[normalised(text)] = min(least.get(normalised(text), doc_id), doc_id, key=order)
+    assert {normalised(t): d for d, t in as_rows(left)} == least
+
+
+def test_dropping_passes_all_columns_through(spark):
+    """Ids and texts of other types, names of the operator's own, odd names and nested values."""
+    rows = spark.createDataFrame(
+        [(1, "a b", "x", [1], {"k": 1.5}, 0), (2, "a  b", None, None, None, None), (3, "c", "y", [], {}, 2)],
+        "doc_id int, text string, own_id string, `odd.name ``x` array<int>, own_text map<string,double>, at int",
+    )
+    left = exact_dedup.drop_exact_copies(rows)
+    assert left.schema == rows.schema
+    assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in rows.where("doc_id != 2").collect())
+
+
+def test_only_texts_of_suspects_are_exchanged(spark, documents):
+    """Texts meet the bitmaps in the buckets they were written in; what leaves that join is the suspects."""
+    rows, bitmaps = exact_dedup._marked_blocks(exact_dedup._renamed(documents, False)[0], 48, 64)
+    texts = exact_dedup._suspect_texts(rows, bitmaps)
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "Sort" not in plan.replace("SortMerge", "Sort")
+    groups = {}
+    for _, text in as_rows(documents):
+        groups[normalised(text)] = groups.get(normalised(text), 0) + 1
+    want = sorted(t for t, n in groups.items() if n > 1 for _ in range(n))
+    assert sorted(bytes(r["norm"]).decode() for r in texts.collect()) == want
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stockcast_")]
 
 
 def test_empty_tables(spark, empty):
