@@ -45,11 +45,69 @@ def test_language_inputs_are_text_alone(spark, middle):
     assert a.equals(b)
 
 
+def test_every_letter_has_a_vector_of_its_own():
+    kinds = language.symbols()
+    for first, last in ((0x430, 0x44F), (0x3B1, 0x3C9), (0x621, 0x64A), (0xE0, 0xFF), (0x4E00, 0x4FFF)):
+        points = np.unique(kinds[first : last + 1])
+        points = points[points > 0]
+        vectors = language.letter_vectors(points)
+        assert len(np.unique(vectors, axis=0)) == len(points)
+        apart = np.abs(vectors @ vectors.T / language.DIMENSIONS - np.eye(len(points)))
+        assert apart.max() < 0.25 and set(np.unique(vectors)) == {-1.0, 1.0}
+
+
+def test_many_letters_give_the_same_codes_and_bounded_slices(monkeypatch):
+    """Beyond the size that is numbered anew the codes are sorted; cosines do not hang on the slice."""
+    kinds = language.symbols()
+    for text in ("the cat", "日本" + "".join(chr(0x4E00 + 7 * k) for k in range(600)), ""):
+        _, codes = language.grams([text], kinds)
+        seen, place = language.distinct(codes)
+        assert (seen[place] == codes).all() and (np.diff(seen) > 0).all()
+    texts = ["the cat sat", "".join(chr(0x4E00 + 7 * k) for k in range(600)), None, "Привет мир"]
+    model = np.random.default_rng(1).normal(size=(3, 128)).astype(np.float32)
+    whole = language.cosines(texts, model, kinds)[0]
+    monkeypatch.setattr(language, "SLICE", 5)
+    assert np.allclose(whole, language.cosines(texts, model, kinds)[0], atol=1e-5)
+
+
+def test_predictions_against_plain_bundles(spark, documents):
+    """Letter by letter, with dictionaries: the same language and cosine for every document."""
+    kinds = language.symbols()
+    rows = documents.select("doc_id", "text", "lang", (language.fold("doc_id", 3) == 1).alias("held")).collect()
+    cache: dict[str, np.ndarray] = {}
+
+    def bundle(text):
+        marks = [0, *(int(kinds[ord(c)]) for c in text or ""), 0]
+        out = np.zeros(language.DIMENSIONS)
+        for a, b, c in zip(marks, marks[1:], marks[2:], strict=False):
+            if b:
+                if (a, b, c) not in cache:
+                    x, y, z = language.letter_vectors(np.array([a, b, c]))
+                    cache[a, b, c] = np.roll(x, 2) * np.roll(y, 1) * z
+                out += cache[a, b, c]
+        return out
+
+    bundles = {r["doc_id"]: bundle(r["text"]) for r in rows}
+    sums: dict[str, np.ndarray] = {}
+    for r in rows:
+        if not r["held"] and r["lang"] is not None and r["text"] is not None:
+            sums[r["lang"]] = sums.get(r["lang"], 0) + bundles[r["doc_id"]]
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    for got in language.predict_languages(documents).collect():
+        own = unit(bundles[got["doc_id"]])
+        cosine = {k: float(own @ unit(v)) for k, v in sums.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        if own.any():
+            assert got["lang_pred"] == best and got["score"] == pytest.approx(cosine[best], abs=1e-3)
+        else:
+            assert (got["lang_pred"], got["score"]) == ("und", 0.0)
+
+
 def test_grams_are_bound_bundles():
     """The product of counts and gram vectors is the bundle made letter by letter."""
     kinds = language.symbols()
     owner, codes = language.grams(["Abc, öd", None, "x"], kinds)
-    letters = language.letter_vectors(64, 1)
+    letters = {int(m): language.letter_vectors(np.array([m]), 64, 1)[0] for m in {0, *kinds[[ord(c) for c in "Abc, öd"]]}}
     bundle = np.zeros(64)
     marks = [0, *kinds[[ord(c) for c in "Abc, öd"]], 0]
     for k in range(1, len(marks) - 1):
