@@ -8,12 +8,16 @@ probability 1 - delta every chosen cutoff keeps its promise and all rules togeth
 good documents. Of the admissible cutoffs the one that rejects the most bad documents, less `price` per good one, is chosen,
 the laxest of equals. A rule with no gain, or a stratum with too few labels for the promise, rejects nothing.
 
-Defined cases: a null text has no words and fails the base rule. A null or unseen language is the stratum "".
-Labels of unknown documents and null labels are ignored; contradicting labels of one document count each.
+The counts of labelled documents go by stratum, one small group each, so any number of strata is chosen for in tasks.
+
+Defined cases: a null text has no words and fails the base rule. A null language is the stratum ""; one without labels rejects by
+the base rule only. Labels of unknown documents and null labels are ignored; contradicting labels of one document count each, as do
+rows that repeat. Very long texts count whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from math import exp, lgamma, log, log1p
 
@@ -117,25 +121,47 @@ def measures(docs: DataFrame) -> DataFrame:
     return on_batches(wanted, work, ROW).withColumn("base_failed", failed)
 
 
+def beta_fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction of the incomplete beta integral, 1 + d1 / (1 + d2 / (1 + ...)), by Lentz's method. For x below
+    (a + 1) / (a + b + 2) its terms are about the square root of a + b at most."""
+    value = above = 1.0
+    below, m = 0.0, 0
+    while True:
+        m += 1
+        k = m // 2
+        if m % 2:
+            d = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
+        else:
+            d = k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
+        below = 1 / ((1 + d * below) or 1e-300)
+        above = (1 + d / above) or 1e-300
+        value *= above * below
+        if not d or abs(above * below - 1) < 1e-14:
+            return value
+
+
+def binomial_tail(bad: int, n: int, rate: float) -> float:
+    """The probability of `bad` or fewer of `n`, bad < n, as an incomplete beta integral: no sum over `bad` terms."""
+    if rate <= 0:
+        return 1.0
+    if rate >= 1:
+        return 0.0
+
+    def integral(a: float, b: float, x: float) -> float:
+        return exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log1p(-x)) / (a * beta_fraction(a, b, x))
+
+    a, b = n - bad, bad + 1
+    return integral(a, b, 1 - rate) if 1 - rate < (a + 1) / (a + b + 2) else 1 - integral(b, a, rate)
+
+
 def upper_bound(bad: int, n: int, miss: float) -> float:
     """Clopper-Pearson: the largest rate at which `bad` or fewer of `n` still has probability `miss`."""
     if bad >= n:
         return 1.0
-
-    def below(rate: float) -> float:
-        if rate <= 0:
-            return 1.0
-        if rate >= 1:
-            return 0.0
-        logs = [lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(rate) + (n - k) * log1p(-rate)
-                for k in range(bad + 1)]
-        top = max(logs)
-        return exp(top) * sum(exp(x - top) for x in logs) if top > -700 else 0.0
-
     low, high = bad / n, 1.0
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if below(middle) > miss else (low, middle)
+        low, high = (middle, high) if binomial_tail(bad, n, middle) > miss else (low, middle)
     return high
 
 
@@ -155,39 +181,43 @@ def _rejections(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def choose(counts: list[tuple], alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE) -> list[tuple]:
-    """(stratum, rule, cutoff) of the chosen cutoffs. counts: (stratum, quality, rule, step, n)."""
+def choose(counts: list[tuple], total: int | None = None, alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE) -> list[tuple]:
+    """(stratum, rule, cutoff) of the chosen cutoffs. counts: (stratum, quality, rule, step, n). total: all strata, if more than here."""
     strata = sorted({c[0] for c in counts})
     steps = len(GRID)
     table = {(s, q, r): np.zeros(steps + 1, np.int64) for s in strata for q in (0, 1) for r in RULES}
     for stratum, quality, rule, step, n in counts:
         table[stratum, quality, rule][step] += n
-    tests = max(1, len(strata) * len(RULES) * steps)
+    tests = max(1, (total or len(strata)) * len(RULES) * steps)
     chosen = []
     for stratum in strata:
         for rule in RULES:
             good, bad = (table[stratum, q, rule] for q in (1, 0))
             lost, caught = np.cumsum(good)[:steps], np.cumsum(bad)[:steps]  # rejected if the cutoff lies below the measure
-            best, cut = 0.0, None
-            for k in range(steps):
-                gain = caught[k] - price * lost[k]
-                if gain > best and upper_bound(int(lost[k]), int(good.sum()), delta / tests) <= alpha / len(RULES):
-                    best, cut = gain, GRID[k]
-            if cut is not None:
-                chosen.append((stratum, rule, cut))
+            gain = caught - price * lost
+            if gain.max() <= 0:
+                continue
+            # a stricter cutoff loses as many good documents or more, so the admissible ones come first
+            rate = lambda k: upper_bound(int(lost[k]), int(good.sum()), delta / tests)  # noqa: B023, E731
+            admissible = bisect_right(range(steps), alpha / len(RULES), key=rate)
+            if admissible and gain[:admissible].max() > 0:
+                chosen.append((stratum, rule, GRID[int(gain[:admissible].argmax())]))
     return chosen
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Per stratum one column per rule: the cutoff, or null. As many rows as there are strata with a cutoff."""
-    counts = [tuple(r) for r in _rejections(rows, labels).collect()]  # strata x 2 x rules x (grid + 1) sums at most
-    found: dict[str, dict[str, float]] = {}
-    for stratum, rule, cut in choose(counts):
-        found.setdefault(stratum, {})[rule] = cut
-    return rows.sparkSession.createDataFrame(
-        [(s, *[x.get(r) for r in RULES]) for s, x in found.items()],
-        "at string, " + ", ".join(f"cut_{r} double" for r in RULES),
-    )
+    counts = materialize(_rejections(rows, labels).select("stratum", "quality", "rule", "step", "n"))
+    total = counts.agg(F.count_distinct("stratum")).first()[0]
+    kinds = [("at", pa.string()), *((f"cut_{r}", pa.float64()) for r in RULES)]
+
+    def pick(table: pa.Table) -> pa.Table:  # one stratum: 2 x rules x (grid + 1) rows at most
+        found = {rule: cut for _, rule, cut in choose([tuple(r.values()) for r in table.to_pylist()], total)}
+        made = [{"at": table.column("stratum")[0].as_py()} | {f"cut_{r}": found.get(r) for r in RULES}] if found else []
+        return pa.Table.from_pylist(made, pa.schema(kinds))
+
+    chosen = counts.groupBy("stratum").applyInArrow(pick, "at string, " + ", ".join(f"cut_{r} double" for r in RULES))
+    return materialize(chosen)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -289,12 +289,40 @@ def test_upper_bound_is_exact():
     """The bound is where the binomial tail equals the miss probability."""
     from math import comb
 
-    for bad, n in ((0, 50), (3, 80), (10, 40)):
+    for bad, n in ((0, 50), (3, 80), (10, 40), (0, 1), (1, 2), (120, 130), (90, 900)):
         p = quality.upper_bound(bad, n, 0.01)
         assert sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bad + 1)) == pytest.approx(0.01, rel=1e-6)
     assert quality.upper_bound(5, 5, 0.1) == 1.0
 
 
+def test_binomial_tail_against_sums():
+    from math import comb
+
+    for n in (1, 2, 5, 50, 200, 900):
+        for bad in sorted({0, min(1, n - 1), n // 7, n // 2, n - 1}):
+            for rate in (1e-6, 0.001, 0.01, 0.1, 0.3, 0.5, 0.7, 0.9, 0.999):
+                want = sum(comb(n, k) * rate**k * (1 - rate) ** (n - k) for k in range(bad + 1))
+                assert quality.binomial_tail(bad, n, rate) == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_bound_of_many_labels_is_quick_and_closes_in():
+    """Bounds shrink to the rate with the labels; a sum over every rejected document would take hours here."""
+    found = [quality.upper_bound(n // 100, n, 1e-5) for n in (10**3, 10**5, 10**7, 10**9)]
+    assert found == sorted(found, reverse=True) and 0.01 < found[-1] < 0.0101
+
+
+def test_cutoffs_of_many_strata_are_chosen_apart(spark):
+    """One stratum at a time gives what all together give, with the tests of all counted."""
+    steps = len(quality.GRID)
+    counts = [(s, 1, r, steps, 6000) for s in ("a", "b") for r in quality.RULES] + [
+        (s, 0, r, k, 100) for s, k in (("a", 3), ("b", 9)) for r in quality.RULES]
+    apart = [x for s in ("a", "b") for x in quality.choose([c for c in counts if c[0] == s], 2)]
+    assert apart == quality.choose(counts) and len(apart) == 2 * len(quality.RULES)
+    # few labels a stratum suffice for none
+    many = [(f"s{k}", *c[1:]) for k in range(40) for c in [("", 1, r, steps, 90) for r in quality.RULES]]
+    assert quality.choose(many + [("s1", 0, "digit_share", 2, 30)]) == []
+
+
 def test_cutoffs_keep_their_promise():
     """A rule that separates is used where labels suffice, and not where they are few."""
     step = len(quality.GRID) // 2
