@@ -5,12 +5,16 @@
    numbers of a longer dotted chain, any run of whole digit groups inside a longer digit run, telephone numbers without a plus.
 3. Boosted trees score each candidate from its format and context. They learn from candidates whose kind the rules settle: base
    spans are positive; candidates that break a hard rule (checksum, a part over 255, no domain, digits of another kind's
-   base span) are negative; all others are unlabelled and only scored. Half of the sample fits the trees, the other half
-   calibrates: a logistic curve turns the trees' sum into a probability, and each kind's threshold is the smallest probability
-   above which the share of positives is at least `PRECISION`.
+   base span) are negative; all others are unlabelled and only scored. In the order of a hash of id and place every
+   second one fits the trees, the others calibrate: a logistic curve turns the trees' sum into a probability, and each kind's threshold is the smallest
+   probability above which the share of positives is at least `PRECISION`.
 4. Candidates above their threshold that touch no base span are taken greedily by probability, no two of them overlapping.
 
-The trees learn from at most `sample` labelled candidates, those with the smallest hash of text position and id.
+All labelled candidates of all texts count. The bins' edges are exact quantiles, equal binned candidates become one row with
+their number, and each level of a tree needs only the sums per node, feature and bin. Gradients are rounded to whole multiples of
+2**-`FRACTION`, so that the sums, and with them the model, do not depend on how the rows are dealt. Up to `ONE_TASK` distinct
+binned candidates are added up in one place; beyond, each level is one pass of tasks over the written rows, which gives the same
+sums. Calibration counts the other half by score, which is the trees' sum rounded to a grid of 2 * `GRID` * `TOP` + 1 values.
 
 Defined cases: null and empty texts have no spans. Null and repeated ids are rows like others. Long texts are scanned in linear time.
 """
@@ -19,17 +23,22 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stockcast.llm.text import appended, materialize, on_batches
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, TREES, DEPTH, RATE, BINS, PRECISION = 20_000, 40, 3, 0.2, 32, 0.98
+TREES, DEPTH, RATE, BINS, PRECISION = 40, 3, 0.2, 32, 0.98
+#: bits of a gradient behind the point; steps of a score and its largest size; distinct rows that one task adds up
+FRACTION, GRID, TOP, ONE_TASK = 30, 256, 16, 50_000
+#: leading bits of a hash that name a row's slice
+SLICE_BITS = 12
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
@@ -203,33 +212,52 @@ def label(text: str, span: Span, base: list[Span]) -> int:
 # boosted trees on binned features
 
 
-def grow(bins: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One regression tree of full depth: per inner node the feature and bin (left if below or equal), per leaf its value."""
-    n, width = bins.shape
-    feature, cut, leaf = np.zeros(2**depth - 1, np.int32), np.full(2**depth - 1, BINS, np.int32), np.zeros(n, np.int64)
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray]  # per inner node the feature and bin (left if below or equal), per leaf its value
+
+
+def sums(bins: np.ndarray, y: np.ndarray, n: np.ndarray, model: dict, grown: Tree, level: int) -> np.ndarray:
+    """Gradient and curvature of `n` times each row, summed by node of the growing tree's `level`, feature and bin."""
+    p = 1 / (1 + np.exp(-raw_margin(model, bins)))
+    parts = np.rint(np.stack([y - p, p * (1 - p)]) * 2.0**FRACTION).astype(np.int64) * n.astype(np.int64)
+    feature, cut, _ = grown
+    node = np.zeros(len(bins), np.int64)
+    for _ in range(level):
+        node = 2 * node + 1 + (bins[np.arange(len(bins)), feature[node]] > cut[node])
+    node -= 2**level - 1
+    out = np.zeros((2, 2**level, bins.shape[1], BINS), np.int64)
+    for f in range(bins.shape[1]):
+        for k in range(2):
+            np.add.at(out[k, :, f], (node, bins[:, f]), parts[k])
+    return out
+
+
+def grow(total: Callable[[Tree, int], np.ndarray], width: int, depth: int) -> Tree:
+    """One regression tree of full depth from the sums of each level."""
+    grown = np.zeros(2**depth - 1, np.int32), np.full(2**depth - 1, BINS, np.int32), np.zeros(2**depth)
+    feature, cut, value = grown
     for level in range(depth):
         nodes = 2**level
-        best = np.full(nodes, 1e-6)
-        for f in range(width):
-            place = leaf * BINS + bins[:, f]
-            g = np.bincount(place, weights=gradient, minlength=nodes * BINS).reshape(nodes, BINS).cumsum(axis=1)
-            h = np.bincount(place, weights=curvature, minlength=nodes * BINS).reshape(nodes, BINS).cumsum(axis=1)
-            total_g, total_h = g[:, -1:], h[:, -1:]
-            gain = g**2 / (h + 1) + (total_g - g) ** 2 / (total_h - h + 1) - total_g**2 / (total_h + 1)
-            where = gain.argmax(axis=1)
-            value = gain[np.arange(nodes), where]
-            better = value > best
-            best[better] = value[better]
-            at = nodes - 1 + np.flatnonzero(better)
-            feature[at], cut[at] = f, where[better]
-        node = nodes - 1 + leaf
-        leaf = 2 * leaf + (bins[np.arange(n), feature[node]] > cut[node])
-    g = np.bincount(leaf, weights=gradient, minlength=2**depth)
-    h = np.bincount(leaf, weights=curvature, minlength=2**depth)
-    return feature, cut, g / (h + 1)
-
-
-def tree_values(tree: tuple, bins: np.ndarray) -> np.ndarray:
+        g, h = (total(grown, level) / 2.0**FRACTION).cumsum(axis=3)
+        all_g, all_h = g[:, :, -1:], h[:, :, -1:]
+        gain = g**2 / (h + 1) + (all_g - g) ** 2 / (all_h - h + 1) - all_g**2 / (all_h + 1)
+        for node in range(nodes):
+            best = 1e-6
+            for f in range(width):
+                where = gain[node, f].argmax()
+                if gain[node, f, where] > best:
+                    best, feature[nodes - 1 + node], cut[nodes - 1 + node] = gain[node, f, where], f, where
+            if level == depth - 1:
+                f, where = feature[nodes - 1 + node], min(cut[nodes - 1 + node], BINS - 1)
+                left, whole = (g[node, f, where], h[node, f, where]), (all_g[node, f, 0], all_h[node, f, 0])
+                value[2 * node] = left[0] / (left[1] + 1)
+                value[2 * node + 1] = (whole[0] - left[0]) / (whole[1] - left[1] + 1)
+    return grown
+
+
+QUANTILES = np.linspace(0, 1, BINS + 1)[1:-1]
+
+
+def tree_values(tree: Tree, bins: np.ndarray) -> np.ndarray:
     feature, cut, value = tree
     node = np.zeros(len(bins), np.int64)
     while node.size and node[0] < len(feature):
@@ -241,39 +269,57 @@ def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)]).astype(np.int32)
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> dict:
-    edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(x.shape[1])]
-    bins = binned(x, edges)
-    start = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    value, grown = np.full(len(y), start), []
+def fitted(total: Callable[[dict, Tree, int], np.ndarray], model: dict, trees: int = TREES, depth: int = DEPTH) -> dict:
+    """The model (edges, start, rate) with its trees, each from the sums that `total` gives for the model so far."""
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-value))
-        tree = grow(bins, y - p, p * (1 - p), depth)
-        value += rate * tree_values(tree, bins)
-        grown.append(tree)
-    return {"edges": edges, "start": start, "rate": rate, "trees": grown}
+        tree = grow(lambda grown, level: total(model, grown, level), len(model["edges"]), depth)
+        model = {**model, "trees": [*model["trees"], tree]}
+    return model
+
+
+def empty_model(edges: list[np.ndarray], positive: int, n: int, rate: float = RATE) -> dict:
+    return {"edges": edges, "start": float(np.log((positive + 1) / (n - positive + 1))), "rate": rate, "trees": []}
+
+
+def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> dict:
+    edges = [np.unique(np.quantile(x[:, k], QUANTILES)) for k in range(x.shape[1])]
+    bins, once = binned(x, edges), np.ones(len(y), np.int64)
+    return fitted(lambda *state: sums(bins, y, once, *state), empty_model(edges, int(y.sum()), len(y), rate), trees, depth)
+
+
+def raw_margin(model: dict, bins: np.ndarray) -> np.ndarray:
+    return model["start"] + model["rate"] * sum((tree_values(t, bins) for t in model["trees"]), np.zeros(len(bins)))
 
 
 def margin(model: dict, x: np.ndarray) -> np.ndarray:
-    bins = binned(x, model["edges"])
-    return model["start"] + model["rate"] * sum(tree_values(t, bins) for t in model["trees"])
+    return raw_margin(model, binned(x, model["edges"]))
 
 
-def calibrate(margins: np.ndarray, y: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, list[float]]:
-    """Slope and offset of the logistic curve, and each kind's threshold; above 1 where no threshold is precise enough."""
+def scores(margins: np.ndarray) -> np.ndarray:
+    """Margins as whole steps of the grid that calibration counts by."""
+    return np.rint(np.clip(margins, -TOP, TOP) * GRID).astype(np.int32)
+
+
+def probability(score: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(score / GRID * curve[0] + curve[1], -30, 30)))
+
+
+def calibrate(kinds: np.ndarray, score: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    """Slope and offset of the logistic curve, and each kind's threshold; above 1 where no threshold is precise enough. Each row
+    stands for `n` candidates."""
     w = np.array([1.0, 0.0])
-    x = np.column_stack([margins, np.ones(len(margins))])
+    x = np.column_stack([score / GRID, np.ones(len(score))])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), x.T @ (y - p) - 1e-2 * (w - [1.0, 0.0]))
-    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = probability(score, w)
+        w += np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), x.T @ (n * (y - p)) - 1e-2 * (w - [1.0, 0.0]))
+    p = probability(score, w)
     limits = []
     for kind in range(len(KINDS)):
-        order = np.flatnonzero(kinds == kind)
-        order = order[np.argsort(-p[order], kind="stable")]
-        precise = np.cumsum(y[order]) / np.arange(1, len(order) + 1) >= PRECISION
-        last = np.flatnonzero(precise)
-        limits.append(max(0.5, float(p[order[last[-1]]])) if len(last) and y[order].any() else 2.0)
+        own = np.flatnonzero(kinds == kind)
+        values, group = np.unique(-p[own], return_inverse=True)  # the highest first; equal ones pass or fail together
+        positive, all_n = np.bincount(group, weights=(n * y)[own]), np.bincount(group, weights=n[own])
+        last = np.flatnonzero(positive.cumsum() / all_n.cumsum() >= PRECISION) if len(own) else []
+        limits.append(max(0.5, float(-values[last[-1]])) if len(last) and positive.any() else 2.0)
     return w, limits
 
 
@@ -304,34 +350,102 @@ def named(spans: list[Span]) -> list[str]:
     return [f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans, key=lambda x: (x[1], x[0], x[2]))]
 
 
-def learn(scanned: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """Trees, calibration and thresholds from the sample; None if a class is missing."""
+def labelled(scanned: DataFrame) -> DataFrame:
+    """Every candidate whose kind the rules settle: whether it fits the trees or calibrates, its label and its features."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for doc_id, data, labels in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 y = np.frombuffer(labels, np.int8)
-                x = np.frombuffer(data, np.float32).reshape(len(y), -1) if len(y) else None
-                for k in np.flatnonzero(y >= 0).tolist():
-                    yield {"doc_id": [doc_id], "at": [k], "y": [int(y[k])], "x": [x[k].tobytes()]}
-
-    rows = on_batches(scanned.where("length(labels) > 0").select("doc_id", "features", "labels"), work, "doc_id long, at int, y int, x binary")
-    got = rows.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at", "x").limit(sample).toArrow()
-    y = got.column("y").to_numpy()
-    if len(y) < 20 or y.min() == y.max():
-        return None
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(len(y), -1).astype(float)
-    half = np.arange(len(y)) % 2 == 0
-    if y[half].min() == y[half].max() or y[~half].min() == y[~half].max():
+                at = np.flatnonzero(y >= 0)
+                if len(at):
+                    x = np.frombuffer(data, np.float32).reshape(len(y), -1)[at].astype(float)
+                    yield {"doc_id": [doc_id] * len(at), "at": at, "y": y[at], **{f"x{k}": x[:, k] for k in range(x.shape[1])}}
+
+    schema = "doc_id long, at int, y int, " + ", ".join(f"x{k} double" for k in range(len(NAMES)))
+    rows = on_batches(scanned.where("length(labels) > 0").select("doc_id", "features", "labels"), work, schema)
+    return alternated(rows.withColumn("hash", F.xxhash64("doc_id", "at")), "hash").drop("hash", "doc_id", "at")
+
+
+def alternated(rows: DataFrame, key: str) -> DataFrame:
+    """Add `fits`, true for every second row in the order of the hash `key`, then of all columns. The hash's leading bits cut the rows
+    into slices, each numbered by itself and shifted by the rows of the slices before it."""
+    sliced = materialize(rows.withColumn("slice", F.shiftright(key, 64 - SLICE_BITS)))
+    counts = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("size"))  # at most 2**SLICE_BITS rows
+    before = counts.select("slice", (F.sum("size").over(Window.orderBy("slice")) - F.col("size")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("slice").orderBy(key, *rows.columns))
+    placed = sliced.withColumn("inside", inside).join(before, "slice")
+    return placed.select(*rows.columns, ((F.col("before") + F.col("inside")) % 2 == 1).alias("fits"))
+
+
+def binned_rows(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """Equal binned candidates of one half, kind and label as one row with their number."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            x = np.column_stack([batch.column(f"x{k}").to_numpy() for k in range(len(edges))])
+            bins = binned(x, edges).astype(np.uint8)
+            yield {"fits": batch.column("fits"), "kind": x[:, 0].astype(int), "y": batch.column("y"), "bins": [b.tobytes() for b in bins]}
+
+    made = on_batches(rows, work, "fits boolean, kind int, y int, bins binary", 10_000)
+    return made.groupBy("fits", "kind", "y", "bins").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _arrays(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int32)
+    return bins, batch.column("y").to_numpy().astype(float), batch.column("n").to_numpy()
+
+
+def summed_in_tasks(rows: DataFrame) -> Callable[[dict, Tree, int], np.ndarray]:
+    """The sums of one level by one pass over the written rows: each task sends its sums, whose size does not grow with its rows."""
+
+    def total(model: dict, grown: Tree, level: int) -> np.ndarray:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            own = sum((sums(*_arrays(batch), model, grown, level) for batch in batches if batch.num_rows), np.int64(0))
+            if own.ndim:
+                yield {"sums": [own.tobytes()]}
+
+        got = on_batches(rows, work, "sums binary", ONE_TASK).toArrow().column("sums").to_pylist()
+        return sum(np.frombuffer(x, np.int64) for x in got).reshape(2, 2**level, len(model["edges"]), BINS)
+
+    return total
+
+
+def learn(scanned: DataFrame, one_task: int = ONE_TASK) -> dict | None:
+    """Trees, calibration and thresholds from all labelled candidates; None if there are few or a class is missing in a half."""
+    rows = materialize(labelled(scanned))
+    counts = [F.count_if((F.col("fits") == half) & (F.col("y") == y)) for half in (True, False) for y in (0, 1)]
+    quantiles = [F.percentile(F.when(F.col("fits"), F.col(f"x{k}")), F.lit(QUANTILES.tolist())) for k in range(len(NAMES))]
+    got = rows.agg(F.array(*counts), F.array(*quantiles)).first()
+    (negative, positive, *others), edges = got[0], got[1]
+    if negative + positive + sum(others) < 20 or not all(got[0]):
         return None
-    model = boost(x[half], y[half].astype(float))
-    model["curve"], model["limits"] = calibrate(margin(model, x[~half]), y[~half].astype(float), x[~half, 0])
+    model = empty_model([np.unique(e) for e in edges], positive, negative + positive)
+    groups = materialize(binned_rows(rows, model["edges"]))
+    fit = groups.where("fits").select("bins", "y", "n")
+    distinct = fit.count()
+    if distinct <= one_task:
+        held = _arrays(fit.toArrow())
+        model = fitted(lambda *state: sums(*held, *state), model)
+    else:
+        parts = -(-distinct // max(one_task, 1))
+        model = fitted(summed_in_tasks(materialize(fit.repartition(parts))), model)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            if batch.num_rows:
+                own = scores(raw_margin(model, _arrays(batch)[0]))
+                yield {"kind": batch.column("kind"), "score": own, "y": batch.column("y"), "n": batch.column("n")}
+
+    by_score = on_batches(groups.where("not fits").select("kind", "bins", "y", "n"), scored, "kind int, score int, y int, n long")
+    table = by_score.groupBy("kind", "score", "y").agg(F.sum("n").alias("n")).orderBy("kind", "score", "y").toArrow()
+    model["curve"], model["limits"] = calibrate(*(table.column(c).to_numpy() for c in ("kind", "score", "y", "n")))
     return model
 
 
 def chosen(model: dict, found: np.ndarray, x: np.ndarray, base: list[Span]) -> list[Span]:
     """Candidates above their kind's threshold that touch neither a base span nor a better candidate."""
-    p = 1 / (1 + np.exp(-np.clip(margin(model, x) * model["curve"][0] + model["curve"][1], -30, 30)))
+    p = probability(scores(margin(model, x)), model["curve"])
     fit = np.flatnonzero(p >= np.array(model["limits"])[found[:, 0]])
     order = fit[np.lexsort((found[fit, 1], -(found[fit, 2] - found[fit, 1]), -p[fit]))]
     taken = sorted((a, b) for _, a, b in base)
@@ -361,10 +475,10 @@ def chosen(model: dict, found: np.ndarray, x: np.ndarray, base: list[Span]) -> l
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
 
-def find_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def find_spans(docs: DataFrame) -> DataFrame:
     """doc_id, base counts, base_sha256, all spans and the number of added ones, for every document."""
     scanned = materialize(scan(docs))
-    model = learn(scanned, sample)
+    model = learn(scanned)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -410,9 +524,9 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[last:]])
 
 
-def redact(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """All documents, their spans masked and n_chars, if there is one, set to the new length; all other columns as they are."""
-    model = learn(materialize(scan(docs)), sample)
+    model = learn(materialize(scan(docs)))
     name = "text without personal data"
 
     def start():

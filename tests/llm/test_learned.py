@@ -227,6 +227,35 @@ def test_trees_learn_a_rule():
     assert ((pii.margin(model, x[1000:]) > 0) == y[1000:]).mean() > 0.95
 
 
+def _candidates(spark, n, odd):
+    """`n` easy candidates, and `odd` that break a rule, as one scanned row of each text."""
+    rows, draw = [], np.random.default_rng(3)
+    for k in range(n + odd):
+        x = np.zeros((1, len(pii.NAMES)), np.float32)
+        x[0, 0], x[0, 1], x[0, 2] = k % 4, draw.integers(5, 30), (k >= n) * 9 + draw.integers(0, 5)
+        rows.append((k, bytearray(x.tobytes()), bytearray(np.array([k < n], np.int8).tobytes())))
+    return spark.createDataFrame(rows, "doc_id long, features binary, labels binary").repartition(5)
+
+
+def _same(a, b):
+    plain = lambda m: [m["start"], *map(list, m["edges"]), *[list(v) for t in m["trees"] for v in t], list(m["curve"]), m["limits"]]
+    return plain(a) == plain(b)
+
+
+def test_every_labelled_candidate_counts(spark):
+    n, odd = 24_000, 6_000
+    model = pii.learn(_candidates(spark, n, odd))
+    order = spark.range(n + odd).select((F.col("id") < n).alias("y")).orderBy(F.xxhash64("id", F.lit(0))).collect()
+    positive = sum(r["y"] for r in order[::2])
+    assert model["start"] == pytest.approx(np.log((positive + 1) / (len(order) / 2 - positive + 1)), abs=1e-12)
+
+
+def test_passes_of_tasks_give_the_same_model(spark):
+    rows = _candidates(spark, 600, 200)
+    one, many = pii.learn(rows), pii.learn(rows.repartition(3), one_task=150)
+    assert one["trees"] and _same(one, many)
+
+
 # toxicity
 
 
