@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockcast import schemas
-from stockcast.plans.preparation import clean_sources, prepare_demand
+from stockcast.operators.demand import dense_demand
+from stockcast.plans.preparation import clean_sources, prepare_demand, prepare_sales
+from stockcast.session import materialize
 from stockcast.sources import tables
 from stockcast.sources.tables import promotions_from_json, small_table
 
@@ -42,6 +44,18 @@ FROM_ALL = """
   join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
   join {part} on l_partkey = p_partkey"""
 
+#: the rows of FROM_ALL for Spark: the small tables meet first, so that each order line moves once per key of its own
+LINES = """
+  select * from {lineitem}
+  join (select * from {orders} join {customer} on o_custkey = c_custkey) on l_orderkey = o_orderkey
+  join (select * from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey) on l_suppkey = s_suppkey
+  join {part} on l_partkey = p_partkey"""
+
+#: what shipments, orders and scope take from the joined rows
+LINE_COLUMNS = [
+    "l_linenumber", "l_quantity", "l_shipdate", "o_orderdate", "o_orderstatus", "c_mktsegment", "n_name", "r_name", "p_brand",
+]
+
 SHIPMENTS = """
   select case when l_quantity = 16 and l_linenumber = 3 then 'T10:30' else cast(l_shipdate as string) end gi_date, c_mktsegment customercode,
     case when l_linenumber = 1 then concat(' ', r_name, ' ') when l_linenumber = 6 then null
@@ -197,39 +211,58 @@ DOCUMENTS = """
   union all select concat('b', cast(item_id as string)), '' from {benchmark}"""
 
 
-def query(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def query(spark: SparkSession, sf_dir: str, text: str, joined: DataFrame | None = None) -> DataFrame:
+    """Run `text`; where it reads FROM_ALL, from `joined` if given, else from the tables joined anew."""
+    text = text.replace(FROM_ALL, " from {lines}")
     read = {
         name: tables.read_table(spark, f"{sf_dir}/{name}.parquet", schema)
         for name, schema in TABLES.items()
         if "{" + name + "}" in text
     }
+    if "{lines}" in text:
+        read["lines"] = query(spark, sf_dir, LINES) if joined is None else joined
     return spark.sql(text, **read)
 
 
-def shipments(spark, sf_dir) -> DataFrame:
-    return query(spark, sf_dir, SHIPMENTS)
+def lines(spark, sf_dir) -> DataFrame:
+    """The joined rows, written down: shipments, orders and scope of one query come from one join."""
+    return materialize(query(spark, sf_dir, LINES).select(*LINE_COLUMNS))
 
 
-def orders(spark, sf_dir) -> DataFrame:
-    return query(spark, sf_dir, ORDERS)
+def shipments(spark, sf_dir, joined=None) -> DataFrame:
+    return query(spark, sf_dir, SHIPMENTS, joined)
+
+
+def orders(spark, sf_dir, joined=None) -> DataFrame:
+    return query(spark, sf_dir, ORDERS, joined)
 
 
 def renames(spark) -> DataFrame:
     return small_table(spark, RENAMES, tables.RENAMES)
 
 
-def cleaned(spark, sf_dir) -> DataFrame:
-    return clean_sources(
-        shipments(spark, sf_dir), orders(spark, sf_dir), renames(spark),
-        as_of=AS_OF, special_customer=SPECIAL, cutoff=CUTOFF,
-    )
+_OPTIONS = {"as_of": AS_OF, "special_customer": SPECIAL, "cutoff": CUTOFF}
 
 
-def demand(spark, sf_dir) -> DataFrame:
-    return prepare_demand(
-        shipments(spark, sf_dir), orders(spark, sf_dir), renames(spark),
-        start=START, as_of=AS_OF, special_customer=SPECIAL, cutoff=CUTOFF,
-    )
+def _logs(spark, sf_dir, joined) -> tuple[DataFrame, DataFrame, DataFrame]:
+    joined = lines(spark, sf_dir) if joined is None else joined
+    return shipments(spark, sf_dir, joined), orders(spark, sf_dir, joined), renames(spark)
+
+
+def cleaned(spark, sf_dir, joined=None) -> DataFrame:
+    return clean_sources(*_logs(spark, sf_dir, joined), **_OPTIONS)
+
+
+def sales(spark, sf_dir, joined=None) -> DataFrame:
+    """Sums of the days with sales, written down: a query's demand, keys and pairs come from one preparation."""
+    return prepare_sales(*_logs(spark, sf_dir, joined), **_OPTIONS)
+
+
+def demand(spark, sf_dir, sold=None) -> DataFrame:
+    """Gap-free demand, of `sold` (the days with sales) if given."""
+    if sold is not None:
+        return dense_demand(sold, START)
+    return prepare_demand(*_logs(spark, sf_dir, None), start=START, **_OPTIONS)
 
 
 def growing_demand(spark, sf_dir) -> DataFrame:
@@ -240,9 +273,7 @@ def growing_demand(spark, sf_dir) -> DataFrame:
         {hot.format("'HOT'", "r_name")} warehouse_code, concat('P', cast(floor(l_partkey / 100) as string)) sku,
         cast(l_quantity as string) qty""" + FROM_ALL
     rows = query(spark, sf_dir, text)
-    return prepare_demand(
-        rows, orders(spark, sf_dir).limit(0), renames(spark), start=START, as_of=AS_OF, special_customer=SPECIAL, cutoff=CUTOFF,
-    )
+    return prepare_demand(rows, orders(spark, sf_dir).limit(0), renames(spark), start=START, **_OPTIONS)
 
 
 def holidays(spark, sf_dir) -> DataFrame:
@@ -282,8 +313,8 @@ def config(spark, sf_dir) -> DataFrame:
     return query(spark, sf_dir, CONFIG)
 
 
-def scope(spark, sf_dir) -> DataFrame:
-    return query(spark, sf_dir, SCOPE)
+def scope(spark, sf_dir, joined=None) -> DataFrame:
+    return query(spark, sf_dir, SCOPE, joined)
 
 
 def requests(spark, sf_dir) -> DataFrame:

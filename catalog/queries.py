@@ -35,9 +35,9 @@ def lists_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in lists})
 
 
-def stored_demand(spark, sf) -> DataFrame:
+def stored_demand(spark, sf, sold=None) -> DataFrame:
     """The demand table as the jobs after preparation get it: written once, then read."""
-    return materialize(fx.demand(spark, sf))
+    return materialize(fx.demand(spark, sf, sold))
 
 
 def _volumes(rows: DataFrame) -> DataFrame:
@@ -133,14 +133,15 @@ def prep_demand(spark, sf):
     return fx.demand(spark, sf)
 
 
-def _wanted_pairs(spark, sf):
+def _wanted_pairs(spark, sf, lines=None):
     """Pairs of the request; some of them have no demand."""
-    return scope.resolve_scope(scope.scope_pairs(fx.scope(spark, sf)), fx.requests(spark, sf))
+    return scope.resolve_scope(scope.scope_pairs(fx.scope(spark, sf, lines)), fx.requests(spark, sf))
 
 
 @register
 def filter_scope(spark, sf):
-    return demand.filter_scope(fx.demand(spark, sf), _wanted_pairs(spark, sf))
+    lines = fx.lines(spark, sf)
+    return demand.filter_scope(fx.demand(spark, sf, fx.sales(spark, sf, lines)), _wanted_pairs(spark, sf, lines))
 
 
 @register
@@ -184,9 +185,9 @@ def top_skus(spark, sf):
     return impact.top_series(_volumes(stored_demand(spark, sf)), 10)
 
 
-def _train_and_top(spark, sf, n):
+def _train_and_top(spark, sf, n, sold=None):
     """The top series with their pair's last day, and their demand before it: no other series' rows are cut."""
-    rows = stored_demand(spark, sf)
+    rows = stored_demand(spark, sf, sold)
     stats = materialize(demand.series_stats(rows))
     series = materialize(demand.train_volume(stats.join(demand.series_latest(stats), SERIES)).select(*SERIES, "volume", "latest_date"))
     top = materialize(impact.top_series(series, n))
@@ -235,8 +236,8 @@ def holiday_toggles(spark, sf):
     return calendar.toggle_holidays(calendar.base_holidays(fx.holidays(spark, sf)), settings)
 
 
-def _impact_holidays(spark, sf):
-    return calendar.impact_holidays(impact.impact_dates(*_train_and_top(spark, sf, 30)))
+def _impact_holidays(spark, sf, sold=None):
+    return calendar.impact_holidays(impact.impact_dates(*_train_and_top(spark, sf, 30, sold)))
 
 
 @register
@@ -269,10 +270,13 @@ def promo_master_valid(spark, sf):
     return promo.promo_master_valid(promo.promo_master(fx.promotions(spark, sf)))
 
 
+def _promo_days(spark, sf, skus):
+    return promo.promo_daily(promo.promo_master_valid(promo.promo_master(fx.promotions(spark, sf))), skus)
+
+
 @register
 def promo_daily(spark, sf):
-    valid = promo.promo_master_valid(promo.promo_master(fx.promotions(spark, sf)))
-    return promo.promo_daily(valid, fx.cleaned(spark, sf))
+    return _promo_days(spark, sf, fx.cleaned(spark, sf))
 
 
 @register
@@ -393,8 +397,8 @@ def poisson_forecast(spark, sf):
     return poisson.poisson_forecast(demand.series_stats(fx.demand(spark, sf)), 14)
 
 
-def _routes(spark, sf, promo_days):
-    rows = stored_demand(spark, sf)
+def _routes(spark, sf, promo_days, sold=None):
+    rows = stored_demand(spark, sf, sold)
     keys = demand.series_keys(rows)
     pareto = routing.pareto_series(_volumes(rows))
     return keys, routing.model_series(pareto, keys, promo_days)
@@ -419,8 +423,8 @@ def forecast_route_all_promoted(spark, sf):
 # --- post-processing
 
 
-def _forecast(spark, sf):
-    return fx.stand_in_forecast(fx.demand(spark, sf))
+def _forecast(spark, sf, sold=None):
+    return fx.stand_in_forecast(fx.demand(spark, sf, sold))
 
 
 @register
@@ -473,21 +477,22 @@ def output_shape(spark, sf):
 
 @register
 def scoped_replace(spark, sf):
-    forecast = materialize(_forecast(spark, sf))
+    lines = fx.lines(spark, sf)
+    sold = fx.sales(spark, sf, lines)
+    forecast = materialize(_forecast(spark, sf, sold))
     old = post.output_shape(forecast)
     none = F.when(F.col("warehousecode") != "None", F.col("warehousecode"))
     old = old.withColumn("warehousecode", none).withColumn("yhat", F.lit(-1).cast("bigint"))
     padded = F.when(F.col("warehousecode") == "None", "").otherwise(F.concat(F.lit(" "), "warehousecode"))
-    batch = post.output_shape(demand.filter_scope(forecast, _batch_pairs(spark, sf)))
+    batch = post.output_shape(demand.filter_scope(forecast, _batch_pairs(spark, sf, sold, lines)))
     result = post.scoped_replace(old, batch.withColumn("warehousecode", padded))
     return result.withColumn("ds", F.col("ds").cast("date"))
 
 
-def _batch_pairs(spark, sf):
+def _batch_pairs(spark, sf, rows, lines):
     """The pairs that sold most, all warehouses of FURNITURE without a code, and the request."""
-    rows = fx.cleaned(spark, sf)
     none = rows.filter((F.col("warehousecode") == "None") & (F.col("customer_code") == "FURNITURE"))
-    return clean.top_pairs(rows).select(*PAIR).unionByName(none.select(*PAIR)).unionByName(_wanted_pairs(spark, sf))
+    return clean.top_pairs(rows).select(*PAIR).unionByName(none.select(*PAIR)).unionByName(_wanted_pairs(spark, sf, lines))
 
 
 @register
@@ -663,9 +668,10 @@ def train_forecast(spark, sf):
 
 @register
 def pair_status(spark, sf):
-    pairs = _wanted_pairs(spark, sf)
+    lines = fx.lines(spark, sf)
+    pairs = _wanted_pairs(spark, sf, lines)
     return train.train_pairs(
-        stored_demand(spark, sf), fx.holidays(spark, sf), pairs, as_of=fx.AS_OF, config=fx.config(spark, sf)
+        stored_demand(spark, sf, fx.sales(spark, sf, lines)), fx.holidays(spark, sf), pairs, as_of=fx.AS_OF, config=fx.config(spark, sf)
     )
 
 

@@ -29,13 +29,16 @@ def clean_sources(
     return union_sources(*kept)
 
 
+def prepare_sales(shipments: DataFrame, orders: DataFrame, renames: DataFrame, **options) -> DataFrame:
+    """Sums of the days with sales of every series, written down: the raw logs are to be read just once."""
+    return materialize(daily_demand(clean_sources(shipments, orders, renames, **options)))
+
+
 def prepare_demand(
     shipments: DataFrame, orders: DataFrame, renames: DataFrame, *, start: str = SPINE_START, **options
 ) -> DataFrame:
     """Daily demand of every series from `start` to the last day with data, gaps filled with 0.
 
-    The sparse daily sums are written down in between: filling needs the last day of the whole table
-    first, and the raw logs are to be read just once.
+    The sparse daily sums are written down in between, as filling needs the last day of the whole table first.
     """
-    daily = materialize(daily_demand(clean_sources(shipments, orders, renames, **options)))
-    return dense_demand(daily, start)
+    return dense_demand(prepare_sales(shipments, orders, renames, **options), start)
