@@ -254,7 +254,8 @@ def holiday_features(spark, sf):
 @register
 def series_holidays(spark, sf):
     promo_days = calendar.promo_holidays(campaign_daily(spark), {"lower_window": 0, "upper_window": 1})
-    return calendar.series_holidays(demand.series_keys(fx.cleaned(spark, sf)), _impact_holidays(spark, sf), promo_days)
+    sold = fx.sales(spark, sf)
+    return calendar.series_holidays(demand.series_keys(sold), _impact_holidays(spark, sf, sold), promo_days)
 
 
 # --- promotions
