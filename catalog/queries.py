@@ -449,7 +449,8 @@ def bias_apply(spark, sf):
 
 @register
 def forecast_promo_flag(spark, sf):
-    return rounded(post.forecast_promo_flag(_forecast(spark, sf), promo_daily(spark, sf)))
+    sold = fx.sales(spark, sf)
+    return rounded(post.forecast_promo_flag(_forecast(spark, sf, sold), _promo_days(spark, sf, sold)))
 
 
 @register

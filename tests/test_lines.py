@@ -44,6 +44,7 @@ def test_lines_are_the_rows_of_the_plain_join(spark, folder):
 READS = {
     "scoped_replace": 1,
     "series_holidays": 1,
+    "forecast_promo_flag": 2,
 }
 
 
