@@ -418,7 +418,8 @@ def forecast_route(spark, sf):
 @register
 def forecast_route_all_promoted(spark, sf):
     """With one promotion on everything, every series gets the structural model."""
-    return routing.route(*_routes(spark, sf, promo_daily(spark, sf)))
+    sold = fx.sales(spark, sf)
+    return routing.route(*_routes(spark, sf, _promo_days(spark, sf, sold), sold))
 
 
 # --- post-processing

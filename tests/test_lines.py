@@ -45,6 +45,7 @@ READS = {
     "scoped_replace": 1,
     "series_holidays": 1,
     "forecast_promo_flag": 2,
+    "forecast_route_all_promoted": 2,
 }
 
 
