@@ -321,7 +321,8 @@ def promo_regressor(spark, sf):
 
 @register
 def series_features(spark, sf):
-    return rounded(features.series_features(fx.demand(spark, sf), promo_daily(spark, sf), lags=[1, 7, 14], rolling=[3, 28]))
+    sold = fx.sales(spark, sf)
+    return rounded(features.series_features(fx.demand(spark, sf, sold), _promo_days(spark, sf, sold), lags=[1, 7, 14], rolling=[3, 28]))
 
 
 @register

@@ -46,6 +46,7 @@ READS = {
     "series_holidays": 1,
     "forecast_promo_flag": 2,
     "forecast_route_all_promoted": 2,
+    "series_features": 2,
 }
 
 
