@@ -354,13 +354,19 @@ def labelled(scanned: DataFrame) -> DataFrame:
     """Every candidate whose kind the rules settle: whether it fits the trees or calibrates, its label and its features."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
+        for batch in batches:  # one batch out for each one in: each has 27 columns of its own in the JVM
+            ids, places, kinds, parts = [], [], [], []
             for doc_id, data, labels in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 y = np.frombuffer(labels, np.int8)
                 at = np.flatnonzero(y >= 0)
                 if len(at):
-                    x = np.frombuffer(data, np.float32).reshape(len(y), -1)[at].astype(float)
-                    yield {"doc_id": [doc_id] * len(at), "at": at, "y": y[at], **{f"x{k}": x[:, k] for k in range(x.shape[1])}}
+                    ids += [doc_id] * len(at)
+                    places.append(at)
+                    kinds.append(y[at])
+                    parts.append(np.frombuffer(data, np.float32).reshape(len(y), -1)[at])
+            if ids:
+                x = np.concatenate(parts).astype(float)
+                yield {"doc_id": ids, "at": np.concatenate(places), "y": np.concatenate(kinds), **{f"x{k}": x[:, k] for k in range(x.shape[1])}}
 
     schema = "doc_id long, at int, y int, " + ", ".join(f"x{k} double" for k in range(len(NAMES)))
     rows = on_batches(scanned.where("length(labels) > 0").select("doc_id", "features", "labels"), work, schema)

@@ -175,13 +175,15 @@ def _entries(docs: DataFrame, counts: np.ndarray, shares: int, num: int, den: in
             cuts = np.searchsorted(owner[order], np.arange(shares + 1))
             keys = np.array([x[0] for x in sets], np.int64)
             sizes = np.array([len(x[1]) for x in sets], np.int32)
+            sent: dict[str, list] = {c: [] for c in ("owner", "tokens", "places", "keys", "sizes")}
             for o in range(shares):
                 own = order[cuts[o] : cuts[o + 1]]
                 if len(own):
                     used, local = np.unique(places[own], return_inverse=True)
-                    yield {"kind": [1], "doc_id": [None], "mark": [None], "n": [None], "key": [None], "map": [None], "owner": [o],
-                           "tokens": [tokens[own].tobytes()], "places": [local.astype(np.int32).tobytes()],
-                           "keys": [keys[used].tobytes()], "sizes": [sizes[used].tobytes()]}
+                    for c, value in zip(sent, (o, tokens[own].tobytes(), local.astype(np.int32).tobytes(), keys[used].tobytes(), sizes[used].tobytes()), strict=True):
+                        sent[c].append(value)
+            k = len(sent["owner"])
+            yield {"kind": [1] * k, **{c: [None] * k for c in ("doc_id", "mark", "n", "key", "map")}, **sent}
 
     return on_batches(_with_text(docs), work, ENTRY)
 

@@ -23,6 +23,8 @@ __all__ = [
 
 #: rows of an Arrow batch: texts can be long, so a batch stays a few MB in the usual case
 BATCH_ROWS = 1000
+#: words whose hash or score a task remembers
+REMEMBERED_WORDS = 1 << 17
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +46,9 @@ def words(text: str | None, lower: bool = True) -> list[bytes]:
 
 
 class Interned(dict):
-    """64-bit hash of each word, computed once per task and word. Emptied when it has grown large."""
+    """64-bit hash of each word, kept while the table is small: a word takes about 150 bytes, so a task's table stays at 20 MB."""
 
-    LIMIT = 1 << 20
+    LIMIT = REMEMBERED_WORDS
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -71,7 +73,7 @@ def on_batches(frame: DataFrame, work, schema: str, rows: int = BATCH_ROWS) -> D
                 [_array(made[name], target.field(name).type) for name in names], schema=target
             )
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(_giving_back(run), schema)
 
 
 def appended(frame: DataFrame, column: str, name: str, kind: str, start) -> DataFrame:
@@ -87,13 +89,23 @@ def appended(frame: DataFrame, column: str, name: str, kind: str, start) -> Data
             new = pa.array(made(batch.column(at).to_pylist()), target)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(_giving_back(run), schema)
 
 
 def arrow_batches(frame: DataFrame, work, schema: StructType, rows: int) -> DataFrame:
     """`work` maps the Arrow batches of a partition, of at most `rows` rows, to batches of `schema`."""
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return frame.mapInArrow(work, schema)
+    return frame.mapInArrow(_giving_back(work), schema)
+
+
+def _giving_back(work):
+    """`work`; after its last batch the task gives Arrow's unused memory back, which a reused worker would hold on to."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(parts)
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def bucketed(frame: DataFrame, key: str, buckets: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.llm.text import appended, fold, materialize, on_batches, words
+from stockcast.llm.text import REMEMBERED_WORDS, appended, fold, materialize, on_batches, words
 
 MAX_LABELLED, MAX_KEYS = 20_000, 200_000
 PRIOR, NEUTRAL, DRIFT, CEILING, EXPECTED, THRESHOLD = 4.0, 0.9, 0.04, 6.0, 0.05, 0.3
@@ -61,13 +61,19 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, bound: int) -> D
 def key_counts(rows: DataFrame) -> tuple[list[tuple[bytes, int, int]], tuple[int, int]]:
     """(key, clean, toxic): labelled texts with a word of that beginning, for keys in LEAST toxic ones or more; and all texts."""
 
+    def counted(sums: dict[bytes, list[int]]) -> dict:
+        return {"key": list(sums), "clean": [x[0] for x in sums.values()], "toxic": [x[1] for x in sums.values()]}
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         sums: dict[bytes, list[int]] = {}
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 for key in {k for word in set(tokens(text.as_py())) if word for k in beginnings(word)}:
                     sums.setdefault(key, [0, 0])[toxic] += 1
-        yield {"key": list(sums), "clean": [x[0] for x in sums.values()], "toxic": [x[1] for x in sums.values()]}
+            if len(sums) >= REMEMBERED_WORDS:  # the shuffle adds up what a task counts in several parts
+                yield counted(sums)
+                sums.clear()
+        yield counted(sums)
 
     parts = on_batches(rows.select("text", "toxic"), work, "key binary, clean long, toxic long")
     table = parts.groupBy("key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -105,7 +111,7 @@ def log_odds(counts: list[tuple[bytes, int, int]], texts: tuple[int, int], prior
 class TokenScores(dict):
     """Score of each word, found once: its longest known beginning's log-odds, 0 if near 0, less the drift."""
 
-    LIMIT = 1 << 20
+    LIMIT = REMEMBERED_WORDS
 
     def __init__(self, odds: dict[bytes, float]) -> None:
         super().__init__()
